@@ -1,6 +1,15 @@
 """All registered queries, by name."""
 
-from . import charts, lookups  # noqa: F401
+from . import (  # noqa: F401
+    aggregates,
+    charts,
+    coding,
+    lookups,
+    pathway,
+    people,
+    periods,
+    readmit,
+)
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

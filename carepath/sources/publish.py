@@ -57,7 +57,7 @@ def append_rows(df: DataFrame, table: str) -> None:
 
 def stamp(df: DataFrame, run: datetime, column: str = "SnapshotDate") -> DataFrame:
     """Time of the run, passed in, so that a rerun gives the same rows."""
-    return df.withColumn(column, F.lit(run).cast("timestamp"))
+    return df.withColumn(column, F.lit(run).cast("timestamp_ntz"))
 
 
 def _months(table: DataFrame, month: str, window: Window) -> list[date]:
