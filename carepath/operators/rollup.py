@@ -58,14 +58,31 @@ def labelled_grouping_sets(
     category: str = "Category",
     variable: str = "Variable",
     total: str = TOTAL,
+    additive: bool = False,
 ) -> DataFrame:
-    """Every geography by every category from a single scan and a single exchange.
+    """Every geography by every category from a single scan of ``df``.
 
     Labels come from the grouping indicators, not from NULL tests, so a NULL member
     of a category stays NULL and is not mistaken for the total. Sums are combined
     within each task before the exchange; a level that holds every row costs no
     more to shuffle than one row per task.
+
+    Records pass once per grouping set. With ``additive`` (all aggregates are sums
+    or counts) they pass only once per category, at the finest geography, and the
+    geographies are made from those sums.
     """
+    if additive and len(geographies) > 1 and len(categories) > 1:
+        places = list(dict.fromkeys(c for g in geographies for c in g.columns.values()))
+        carried = list(dict.fromkeys(c for cat in categories for c in cat.carry))
+        finest = labelled_grouping_sets(
+            df, list(dict.fromkeys([*fixed, *places])), [Geography("", None)], categories,
+            aggregates, "__level", "__category", "__variable", total,
+        ).drop("__level")
+        out = labelled_grouping_sets(
+            finest, [*fixed, "__category", "__variable", *carried], geographies, [ALL],
+            {name: F.sum(F.col(f"`{name}`")) for name in aggregates}, level, category, variable,
+        ).drop(category, variable)
+        return out.withColumnsRenamed({"__category": category, "__variable": variable})
     sets = []
     for geo in geographies:
         for cat in categories:

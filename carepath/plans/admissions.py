@@ -197,7 +197,7 @@ def _breakdown(
 ) -> DataFrame:
     names = list(COUNTS)
     fixed = base.withColumnRenamed(month, "Month")
-    wide = labelled_grouping_sets(fixed, ["Month"], WIDE, categories, COUNTS, "GroupType")
+    wide = labelled_grouping_sets(fixed, ["Month"], WIDE, categories, COUNTS, "GroupType", additive=True)
     carried = [c for cat in categories for c in cat.carry]
     by_code = labelled_grouping_sets(
         fixed,

@@ -325,5 +325,6 @@ def main_metrics(base: DataFrame, run: datetime, submission: str = SUBMISSION) -
         GEOGRAPHIES,
         CATEGORIES,
         METRICS,
+        additive=True,
     ).withColumnRenamed("LatestDementiaDiagnosisCode", "Dementia Diagnosis Code")
     return stamp(counts.withColumn("DataSubmissionType", F.lit(submission)), run)

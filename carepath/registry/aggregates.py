@@ -108,6 +108,7 @@ def grouping_sets_labels(spark, folder):
         ],
         {"n": F.sum("n"), "n_f": F.sum("n_f")},
         "GroupType",
+        additive=True,
     )
 
 

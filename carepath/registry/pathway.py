@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.bands import Band, band_flags, band_label
@@ -183,6 +184,7 @@ base AS (
   LEFT JOIN nation ON c_nationkey = n_nationkey AND n_name NOT LIKE '%_20'
   LEFT JOIN region ON n_regionkey = r_regionkey)
 """
+FLAGS = ["A", "N", "R"]
 STATUS = ["NewRef", "OpenRef", "DischRef", "Refwaiting1stcontact", "RefwithCarePlanCreated"]
 
 
@@ -191,12 +193,23 @@ def base_table(spark, folder):
     lines = table(spark, folder, "lineitem", "l_orderkey", "l_shipdate", "l_returnflag", "l_linestatus")
     shipped = as_date("l_shipdate")
     attended = F.col("l_returnflag").isin("A", "R") & (F.col("l_linestatus") == "F")
-    # Everything needed of an order's lines in one pass and one exchange.
-    per_order = lines.groupBy("l_orderkey").agg(
-        F.collect_set(month_start(shipped)).alias("months"),
-        F.min(F.when(attended, shipped)).alias("first_contact"),
-        F.max(F.when(F.col("l_returnflag") == "N", shipped)).alias("discharged"),
-        F.max(F.struct(shipped.alias("d"), "l_returnflag")).alias("last"),
+    # Lines are summed to one row per order and month; the facts of the whole order are
+    # then taken over its months. Day and flag rank share one number, so that all
+    # aggregates are on plain numbers and stay hash aggregates.
+    flags = F.array(*[F.lit(f) for f in FLAGS])
+    code = F.unix_date(shipped) * 4 + F.array_position(flags, F.col("l_returnflag"))
+    per_month = lines.groupBy("l_orderkey", month_start(shipped).alias("Month")).agg(
+        F.min(F.when(attended, shipped)).alias("contact"),
+        F.max(F.when(F.col("l_returnflag") == "N", shipped)).alias("left"),
+        F.max(code).alias("code"),
+    )
+    order = W.partitionBy("l_orderkey")
+    submissions = per_month.select(
+        "l_orderkey",
+        "Month",
+        F.min("contact").over(order).alias("first_contact"),
+        F.max("left").over(order).alias("discharged"),
+        F.element_at(flags, (F.max("code").over(order) % 4).cast("int")).alias("latest_flag"),
     )
     nations = table(spark, folder, "nation").where(~F.col("n_name").like("%_20"))
     customers = attach(
@@ -208,11 +221,9 @@ def base_table(spark, folder):
         {"ICB_Name": "r_name"}, default="Other",
     ).withColumn("Sub_ICB_Name", F.coalesce("Sub_ICB_Name", F.lit("Other")))
     orders = table(spark, folder, "orders").withColumn("received", as_date("o_orderdate"))
-    # The last of the joins and the only one that multiplies rows: months of an order.
     base = (
-        orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .withColumn("Month", F.explode("months"))
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(submissions, F.col("o_orderkey") == F.col("l_orderkey"))
         .withColumn("period_end", month_end("Month"))
     )
     status = caseload_flags(
@@ -221,7 +232,7 @@ def base_table(spark, folder):
     return base.select(
         "Month", "o_orderkey", "Sub_ICB_Name", "ICB_Name",
         F.col("c_mktsegment").alias("Provider_Name"), "c_acctbal", "o_orderstatus",
-        "o_orderpriority", F.col("last.l_returnflag").alias("latest_flag"),
+        "o_orderpriority", "latest_flag",
         wait_days("received", "first_contact", "period_end").alias("wait"),
         in_period("first_contact", "Month", "period_end").alias("SeenNow"),
         *[c.alias(n) for n, c in status.items()],
@@ -303,7 +314,8 @@ def metric_matrix(spark, folder):
         }
     )
     return labelled_grouping_sets(
-        banded, ["Month", "latest_flag"], GEOGRAPHIES, CATEGORIES, {s: F.sum(s) for s in STATUS}
+        banded, ["Month", "latest_flag"], GEOGRAPHIES, CATEGORIES, {s: F.sum(s) for s in STATUS},
+        additive=True,
     )
 
 

@@ -6,16 +6,17 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from carepath.session import configured  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     warehouse = tmp_path_factory.mktemp("warehouse")
     session = (
-        SparkSession.builder.master("local[4]")
+        configured(SparkSession.builder.master("local[4]"))
         .appName("carepath-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", str(warehouse))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
