@@ -71,12 +71,13 @@ LOCAL = [
     ),
 ]
 
+# Published counts and the flag each one sums; every row counts in the first.
 COUNTS = {
-    "Emergency Admissions": F.count("*"),
-    "Emergency Admissions - Aged 65 Years and Over": F.sum("Age65"),
-    "Emergency Admissions - Dementia Diagnosis": F.sum("Dementia"),
-    "Emergency Admissions - Delirium Diagnosis": F.sum("Delirium"),
-    "Emergency Admissions - MCI Diagnosis": F.sum("MCI"),
+    "Emergency Admissions": "Counted",
+    "Emergency Admissions - Aged 65 Years and Over": "Age65",
+    "Emergency Admissions - Dementia Diagnosis": "Dementia",
+    "Emergency Admissions - Delirium Diagnosis": "Delirium",
+    "Emergency Admissions - MCI Diagnosis": "MCI",
 }
 
 
@@ -196,15 +197,18 @@ def _breakdown(
     base: DataFrame, month: str, categories: list[Category], allocation: DataFrame
 ) -> DataFrame:
     names = list(COUNTS)
-    fixed = base.withColumnRenamed(month, "Month")
-    wide = labelled_grouping_sets(fixed, ["Month"], WIDE, categories, COUNTS, "GroupType", additive=True)
+    fixed = base.withColumnRenamed(month, "Month").withColumn("Counted", F.lit(1))
+    sums = {name: F.sum(flag_column) for name, flag_column in COUNTS.items()}
+    wide = labelled_grouping_sets(
+        fixed, ["Month"], WIDE, categories, sums, "GroupType", additive=True
+    )
     carried = [c for cat in categories for c in cat.carry]
     by_code = labelled_grouping_sets(
         fixed,
         ["Month"],
         [Geography("code", "Sub ICB Code", {"Sub ICB Code": "Sub ICB Code"})],
         categories,
-        COUNTS,
+        sums,
         "__level",
     ).drop("__level")
     shared = reallocate(by_code, "Sub ICB Code", allocation, names)

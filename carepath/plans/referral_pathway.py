@@ -62,11 +62,11 @@ CATEGORIES = [
     Category("Ethnicity", "EthnicGroup"),
 ]
 METRICS = {
-    "NewReferrals": F.sum("NewRef"),
-    "OpenReferrals": F.sum("OpenRef"),
-    "Discharges": F.sum("DischRef"),
-    "OpenWaitingFirstCont": F.sum("Refwaiting1stcontact"),
-    "OpenRefwithCarePlanCreated": F.sum("RefwithCarePlanCreated"),
+    "NewReferrals": "NewRef",
+    "OpenReferrals": "OpenRef",
+    "Discharges": "DischRef",
+    "OpenWaitingFirstCont": "Refwaiting1stcontact",
+    "OpenRefwithCarePlanCreated": "RefwithCarePlanCreated",
 }
 
 
@@ -324,7 +324,7 @@ def main_metrics(base: DataFrame, run: datetime, submission: str = SUBMISSION) -
         ],
         GEOGRAPHIES,
         CATEGORIES,
-        METRICS,
+        {name: F.sum(status) for name, status in METRICS.items()},
         additive=True,
     ).withColumnRenamed("LatestDementiaDiagnosisCode", "Dementia Diagnosis Code")
     return stamp(counts.withColumn("DataSubmissionType", F.lit(submission)), run)
