@@ -1,8 +1,8 @@
 """Month-partitioned output tables: publish, archive, replace.
 
-Each step is one Spark write that either commits or leaves the old partitions, and
-each can be run again: archived rows are partitioned by the run that took them out,
-published rows by month, and both are replaced partition by partition.
+A run that was broken off can be run again with the same window and run time.
+Archived rows are partitioned by the run that took them out and are written once;
+published rows are partitioned by month and replaced month by month.
 """
 
 from __future__ import annotations
@@ -16,17 +16,20 @@ from pyspark.sql import functions as F
 from ..functions.dates import RefreshWindow, Window, latest_month, refresh_window
 
 RUN = "ArchivedRun"
+OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def _write(df: DataFrame, table: str, partitions: Sequence[str]) -> None:
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         ordered = df.select(*spark.table(table).columns)
-        (
-            ordered.write.option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .insertInto(table)
-        )
+        # insertInto takes the overwrite mode from the session only.
+        before = spark.conf.get(OVERWRITE)
+        spark.conf.set(OVERWRITE, "dynamic")
+        try:
+            ordered.write.mode("overwrite").insertInto(table)
+        finally:
+            spark.conf.set(OVERWRITE, before)
     else:
         rest = [c for c in df.columns if c not in partitions]
         (
@@ -66,6 +69,12 @@ def _months(table: DataFrame, month: str, window: Window) -> list[date]:
     return [r[0] for r in rows.collect()]
 
 
+def _archived(spark: SparkSession, archive: str, run: datetime) -> bool:
+    if not spark.catalog.tableExists(archive):
+        return False
+    return not spark.table(archive).where(F.col(RUN) == run.isoformat()).isEmpty()
+
+
 def _drop_months(spark: SparkSession, table: str, month: str, months: Sequence[date]) -> None:
     for m in months:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{month}` = DATE'{m}')")
@@ -91,8 +100,9 @@ def publish_rolling(
     spark = new.sparkSession
     if spark.catalog.tableExists(table):
         current = spark.table(table)
-        leaving = current.where(F.col(month).between(*window.delete))
-        _write(leaving.withColumn(RUN, F.lit(run.isoformat())), archive, [RUN])
+        if not _archived(spark, archive, run):
+            leaving = current.where(F.col(month).between(*window.delete))
+            _write(leaving.withColumn(RUN, F.lit(run.isoformat())), archive, [RUN])
         gone = _months(current, month, window.delete)
     else:
         gone = []
