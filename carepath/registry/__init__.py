@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     aggregates,
     charts,
     coding,
+    dashboards,
     lookups,
     pathway,
     people,
