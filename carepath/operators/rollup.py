@@ -72,16 +72,16 @@ def labelled_grouping_sets(
     geographies are made from those sums.
     """
     if additive and len(geographies) > 1 and len(categories) > 1:
-        places = list(dict.fromkeys(c for g in geographies for c in g.columns.values()))
-        carried = list(dict.fromkeys(c for cat in categories for c in cat.carry))
-        finest = labelled_grouping_sets(
-            df, list(dict.fromkeys([*fixed, *places])), [Geography("", None)], categories,
-            aggregates, "__level", "__category", "__variable", total,
-        ).drop("__level")
-        out = labelled_grouping_sets(
-            finest, [*fixed, "__category", "__variable", *carried], geographies, [ALL],
-            {name: F.sum(F.col(f"`{name}`")) for name in aggregates}, level, category, variable,
-        ).drop(category, variable)
+        places = [c for g in geographies for c in g.columns.values()]
+        carried = [c for cat in categories for c in cat.carry]
+        finest = category_sums(
+            df, list(dict.fromkeys([*fixed, *places])), categories, aggregates,
+            "__category", "__variable", total,
+        )
+        out = geography_sums(
+            finest, [*fixed, "__category", "__variable", *dict.fromkeys(carried)], geographies,
+            list(aggregates), level,
+        )
         return out.withColumnsRenamed({"__category": category, "__variable": variable})
     sets = []
     for geo in geographies:
@@ -122,6 +122,38 @@ def labelled_grouping_sets(
     )
 
 
+def category_sums(
+    df: DataFrame,
+    fixed: Sequence[str],
+    categories: Sequence[Category],
+    aggregates: Mapping[str, Column],
+    category: str = "Category",
+    variable: str = "Variable",
+    total: str = TOTAL,
+) -> DataFrame:
+    """Every category at the one geography given by ``fixed``.
+
+    Several rollups that start from this result share its exchange.
+    """
+    return labelled_grouping_sets(
+        df, fixed, [Geography("", None)], categories, aggregates, "__level", category, variable, total
+    ).drop("__level")
+
+
+def geography_sums(
+    sums: DataFrame,
+    fixed: Sequence[str],
+    geographies: Sequence[Geography],
+    measures: Sequence[str],
+    level: str = "Orgtype",
+) -> DataFrame:
+    """Sums of a finer level re-summed for each geography."""
+    return labelled_grouping_sets(
+        sums, fixed, geographies, [ALL], {m: F.sum(F.col(f"`{m}`")) for m in measures},
+        level, "__all", "__total",
+    ).drop("__all", "__total")
+
+
 def org_rollup(
     df: DataFrame,
     period: Sequence[str],
@@ -143,9 +175,7 @@ def org_rollup(
     leaves = df.groupBy(*period, *[F.col(f"`{c}`") for c in leaf]).agg(
         *[s.alias(m) for m, s in sums.items()]
     )
-    out = labelled_grouping_sets(leaves, period, levels, [ALL], sums, level).drop(
-        "Category", "Variable"
-    )
+    out = geography_sums(leaves, period, levels, measures, level)
     if national is not None:
         lv = national_level
         whole = national.groupBy(*period).agg(*[s.alias(m) for m, s in sums.items()])

@@ -21,7 +21,7 @@ from ..functions.disclosure import suppress
 from ..functions.groups import ICB, PROVIDER, REGION_SHORT_NAMES, SUB_ICB
 from ..functions.labels import code_title, recode
 from ..operators.refdata import attach, current, decode
-from ..operators.rollup import ALL, Category, Geography, labelled_grouping_sets
+from ..operators.rollup import ALL, Category, Geography, category_sums, geography_sums
 from ..operators.weights import allocation_table, reallocate, split_rows
 from ..sources.publish import stamp
 from ..sources.staging import stage
@@ -196,32 +196,26 @@ def sub_icb_allocation(sub_icbs: DataFrame, splits: DataFrame | None = None) ->
 def _breakdown(
     base: DataFrame, month: str, categories: list[Category], allocation: DataFrame
 ) -> DataFrame:
+    """Counts at all levels from one pass over the records.
+
+    Records are summed by hospital and Sub-ICB code; both the wide levels and the
+    shared-out Sub-ICBs are made from those sums.
+    """
     names = list(COUNTS)
-    fixed = base.withColumnRenamed(month, "Month").withColumn("Counted", F.lit(1))
-    sums = {name: F.sum(flag_column) for name, flag_column in COUNTS.items()}
-    wide = labelled_grouping_sets(
-        fixed, ["Month"], WIDE, categories, sums, "GroupType", additive=True
-    )
     carried = [c for cat in categories for c in cat.carry]
-    by_code = labelled_grouping_sets(
-        fixed,
-        ["Month"],
-        [Geography("code", "Sub ICB Code", {"Sub ICB Code": "Sub ICB Code"})],
+    labels = ["Month", "Category", "Variable", *carried]
+    code = "Sub ICB Code"
+    finest = category_sums(
+        base.withColumnRenamed(month, "Month").withColumn("Counted", F.lit(1)),
+        ["Month", *WIDE[0].columns.values(), code],
         categories,
-        sums,
-        "__level",
-    ).drop("__level")
-    shared = reallocate(by_code, "Sub ICB Code", allocation, names)
-    local = labelled_grouping_sets(
-        shared.withColumnsRenamed({"Category": "__category", "Variable": "__variable"}),
-        ["Month", "__category", "__variable", *carried],
-        LOCAL,
-        [ALL],
-        {n: F.sum(F.col(f"`{n}`")) for n in names},
-        "GroupType",
-    ).drop("Category", "Variable")
-    local = local.withColumnsRenamed({"__category": "Category", "__variable": "Variable"})
-    wide = wide.withColumns({n: F.col(f"`{n}`").cast("double") for n in names})
+        {name: F.sum(counted).cast("double") for name, counted in COUNTS.items()},
+    )
+    wide = geography_sums(finest, labels, WIDE, names, "GroupType")
+    by_code = finest.groupBy(*labels, code).agg(*[F.sum(n).alias(n) for n in names])
+    local = geography_sums(
+        reallocate(by_code, code, allocation, names), labels, LOCAL, names, "GroupType"
+    )
     out = wide.unionByName(local)
     return out if carried else out.withColumn(CHAPTER, F.lit(None).cast("string"))
 

@@ -12,7 +12,7 @@ from ..functions.disclosure import round_count, suppress
 from ..functions.groups import ICB, PROVIDER, SUB_ICB
 from ..operators.readmissions import bucket_columns, readmission_pairs
 from ..operators.reshape import unpivot_groups
-from ..operators.rollup import ALL, Geography, labelled_grouping_sets
+from ..operators.rollup import Geography, geography_sums
 from ..operators.weights import reallocate
 from ..sources.publish import stamp
 from ..sources.staging import stage
@@ -134,20 +134,20 @@ def readmission_counts(
     base = pairs(tables, first_month, n_months, pick)
     if staged:
         base = stage(base, "readmissions")
-    zero = bucket_columns(GAP, FLAGS, EDGES)
-    wide = labelled_grouping_sets(base, ["Month"], WIDE, [ALL], zero, "Org_Type")
-    by_code = base.groupBy("Month", "Sub ICB Code").agg(
-        *[c.alias(n) for n, c in bucket_columns(GAP, FLAGS, EDGES, empty_as_null=True).items()]
+    buckets = bucket_columns(GAP, FLAGS, EDGES, empty_as_null=True)
+    names, code = list(buckets), "Sub ICB Code"
+    # One pass over the pairs serves the wide levels and the shared-out Sub-ICBs.
+    finest = base.groupBy("Month", *WIDE[0].columns.values(), code).agg(
+        *[c.cast("double").alias(n) for n, c in buckets.items()]
     )
-    shared = reallocate(
-        by_code, "Sub ICB Code", sub_icb_allocation(tables["subicb_2026"], splits), list(zero)
-    )
-    local = labelled_grouping_sets(
-        shared, ["Month"], LOCAL, [ALL], {n: F.sum(F.col(f"`{n}`")) for n in zero}, "Org_Type"
+    wide = geography_sums(finest, ["Month"], WIDE, names, "Org_Type").fillna(0.0, names)
+    by_code = finest.groupBy("Month", code).agg(*[F.sum(n).alias(n) for n in names])
+    allocation = sub_icb_allocation(tables["subicb_2026"], splits)
+    local = geography_sums(
+        reallocate(by_code, code, allocation, names), ["Month"], LOCAL, names, "Org_Type"
     ).drop("__region")
-    wide = wide.withColumns({n: F.col(f"`{n}`").cast("double") for n in zero})
     long = unpivot_groups(
-        wide.unionByName(local).drop("Category", "Variable", "__code"),
+        wide.unionByName(local).drop("__code"),
         ["Month", "Org_Type", "Organisation_Name", "Region Name"],
         {g: [f"{f} - {v}" for v in VALUES] for g, f in GROUPS.items()},
         VALUES,
