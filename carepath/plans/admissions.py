@@ -71,9 +71,9 @@ LOCAL = [
     ),
 ]
 
-# Published counts and the flag each one sums; every row counts in the first.
+# Published counts and the flag each one sums; None counts every row.
 COUNTS = {
-    "Emergency Admissions": "Counted",
+    "Emergency Admissions": None,
     "Emergency Admissions - Aged 65 Years and Over": "Age65",
     "Emergency Admissions - Dementia Diagnosis": "Dementia",
     "Emergency Admissions - Delirium Diagnosis": "Delirium",
@@ -206,10 +206,13 @@ def _breakdown(
     labels = ["Month", "Category", "Variable", *carried]
     code = "Sub ICB Code"
     finest = category_sums(
-        base.withColumnRenamed(month, "Month").withColumn("Counted", F.lit(1)),
+        base.withColumnRenamed(month, "Month"),
         ["Month", *WIDE[0].columns.values(), code],
         categories,
-        {name: F.sum(counted).cast("double") for name, counted in COUNTS.items()},
+        {
+            name: (F.sum(summed) if summed else F.count("*")).cast("double")
+            for name, summed in COUNTS.items()
+        },
     )
     wide = geography_sums(finest, labels, WIDE, names, "GroupType")
     by_code = finest.groupBy(*labels, code).agg(*[F.sum(n).alias(n) for n in names])
