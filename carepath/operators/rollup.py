@@ -82,7 +82,15 @@ def labelled_grouping_sets(
             finest, [*fixed, "__category", "__variable", *dict.fromkeys(carried)], geographies,
             list(aggregates), level,
         )
-        return out.withColumnsRenamed({"__category": category, "__variable": variable})
+        places = [c for g in geographies for c in [*g.columns, *g.constants]]
+        return out.withColumnsRenamed({"__category": category, "__variable": variable}).select(
+            *[
+                F.col(f"`{c}`")
+                for c in dict.fromkeys(
+                    [*fixed, level, *places, category, variable, *carried, *aggregates]
+                )
+            ]
+        )
     sets = []
     for geo in geographies:
         for cat in categories:
