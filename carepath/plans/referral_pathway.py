@@ -161,12 +161,18 @@ def referral_base(
     wildcards: bool = False,
     one_row_per_referral: bool = False,
     person_id_from: date = PERSON_ID_FROM,
+    colocate: bool = False,
 ) -> DataFrame:
     """One row per referral and reporting month, with waits and status flags.
 
     A record with care plans on both sides of the period end gives two rows, as
     does a referral with two team types; ``one_row_per_referral`` keeps the greater
     care-plan flag.
+
+    ``colocate`` brings all parts of a referral together once: the three joins on the
+    referral and the removal of repeated rows then move the base no further. It needs
+    ``spark.sql.requireAllClusterKeysForCoPartition=false`` and referral ids none of
+    which is very frequent; without it adaptive execution can split a hot id.
     """
     flags = (
         current(tables["submission_flags"], end=None, flag=("Der_IsLatest", "Y"))
@@ -201,8 +207,14 @@ def referral_base(
         .join(flags, "NHSEUniqSubmissionID", "inner")
         .join(tables["patient_index"].select("RecordNumber", "EthnicCategory", "Gender"), "RecordNumber")
         .join(_plan_span(tables["care_plan"]), "RecordNumber", "left")
-        .join(teams, ["UniqServReqID", "RecordNumber"], "left")
         .withColumn("__person", era_key(start, person_id_from, "Der_Person_ID", "Person_ID"))
+    )
+    parts = [base, teams, contacts, ranked]
+    if colocate:
+        parts = [part.repartition("UniqServReqID") for part in parts]
+    base, teams, contacts, ranked = parts
+    base = (
+        base.join(teams, ["UniqServReqID", "RecordNumber"], "left")
         .join(contacts, ["UniqServReqID", "__person"], "left")
         .join(ranked, ["UniqServReqID", "__diag_person"], "left")
     )

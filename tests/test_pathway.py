@@ -164,6 +164,13 @@ def test_base_waits_and_metrics(spark):
     no_team = got["r5", d(2021, 5, 1), 0]
     assert no_team.ServTeamTypeRefToMH is None and no_team.LatestDiagnosisArea is None
     assert referral_base(src, MONTHS, one_row_per_referral=True).count() == 6
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    spark.conf.set(name, "false")
+    try:
+        together = referral_base(src, MONTHS, colocate=True)
+        assert sorted(map(str, together.collect())) == sorted(map(str, rows))
+    finally:
+        spark.conf.unset(name)
 
     waits = {(r.Month, r.RefwithCarePlanCreated): r for r in wait_times(base, RUN).collect()}
     assert set(waits) == {(d(2021, 3, 1), 0), (d(2021, 5, 1), 0), (d(2021, 5, 1), 1), (d(2021, 6, 1), 0)}
