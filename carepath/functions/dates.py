@@ -105,6 +105,5 @@ def refresh_window(
 
 
 def latest_month(df: DataFrame, month: str) -> date | None:
-    """One-row aggregate; on a month-partitioned table it reads footers only."""
-    value = df.agg(F.max(month_start(month)).alias("m")).first()[0]
-    return value
+    """Latest month present, from a one-row aggregate over that one column."""
+    return df.agg(F.max(month_start(month)).alias("m")).first()[0]

@@ -42,7 +42,7 @@ pairs AS (
 
 def pairs(spark, folder, pick="earliest"):
     orders = table(spark, folder, "orders")
-    # One row of bounds, from the file footers.
+    # One row of bounds, read from one column.
     low, high = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
     first = low.date().replace(day=1)
     count = (high.year - first.year) * 12 + high.month - first.month + 1

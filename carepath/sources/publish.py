@@ -19,8 +19,14 @@ RUN = "ArchivedRun"
 OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
+def _sized(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows of one partition in few files, a large partition in several."""
+    return df.hint("rebalance", *[F.col(c) for c in partitions])
+
+
 def _write(df: DataFrame, table: str, partitions: Sequence[str]) -> None:
     spark = df.sparkSession
+    df = _sized(df, partitions)
     if spark.catalog.tableExists(table):
         ordered = df.select(*spark.table(table).columns)
         # insertInto takes the overwrite mode from the session only.
@@ -45,7 +51,8 @@ def create_table(df: DataFrame, table: str, month: str = "Month") -> None:
     """Output of a full build, replacing the table as a whole."""
     rest = [c for c in df.columns if c != month]
     (
-        df.select(*rest, month)
+        _sized(df, [month])
+        .select(*rest, month)
         .write.mode("overwrite")
         .partitionBy(month)
         .format("parquet")
@@ -60,7 +67,7 @@ def append_rows(df: DataFrame, table: str) -> None:
 
 def stamp(df: DataFrame, run: datetime, column: str = "SnapshotDate") -> DataFrame:
     """Time of the run, passed in, so that a rerun gives the same rows."""
-    return df.withColumn(column, F.lit(run).cast("timestamp_ntz"))
+    return df.withColumn(column, F.lit(run.isoformat(sep=" ")).cast("timestamp_ntz"))
 
 
 def _months(table: DataFrame, month: str, window: Window) -> list[date]:
