@@ -45,18 +45,22 @@ def pathway_tables(spark, folder) -> dict[str, DataFrame]:
     left = lines.groupBy("l_orderkey").agg(
         F.max(F.when(F.col("l_returnflag") == "N", F.col("day"))).alias("ServDischDate")
     )
-    records = (
-        lines.select("l_orderkey", "Month")
-        .distinct()
-        .join(left, "l_orderkey")
-        .join(
-            table(spark, folder, "orders").join(
-                customers, F.col("o_custkey") == F.col("c_custkey")
-            ),
-            order == F.col("o_orderkey"),
-        )
-        .withColumn("RecordNumber", _record(order, F.col("Month")))
+    # Months of an order, joined with no more of the order than each table needs.
+    reported = lines.select("l_orderkey", "Month").distinct().withColumn(
+        "RecordNumber", _record(order, F.col("Month"))
     )
+    records = reported.join(
+        table(spark, folder, "orders")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(left, F.col("o_orderkey") == order)
+        .drop("l_orderkey"),
+        order == F.col("o_orderkey"),
+    )
+    segments = reported.join(
+        people.join(customers, F.col("o_custkey") == F.col("c_custkey")),
+        order == F.col("o_orderkey"),
+    )
+    served = reported.where(order % 7 != 0).join(people, order == F.col("o_orderkey"))
     seen = lines.join(people, order == F.col("o_orderkey")).withColumns(
         {"UniqServReqID": _text("r", order), "Der_Person_ID": person}
     )
@@ -93,7 +97,7 @@ def pathway_tables(spark, folder) -> dict[str, DataFrame]:
             (F.col("o_custkey") % 60 + 40).cast("int").alias("AgeServReferRecDate"),
             F.substring("o_orderpriority", 1, 1).alias("PrimReasonReferralMH"),
         ),
-        "patient_index": records.select(
+        "patient_index": segments.select(
             "RecordNumber",
             F.substring("c_mktsegment", 1, 1).alias("EthnicCategory"),
             (key % 3).cast("string").alias("Gender"),
@@ -104,7 +108,7 @@ def pathway_tables(spark, folder) -> dict[str, DataFrame]:
                 F.col("l_linenumber") != 5, F.date_add("day", (F.col("l_linenumber") % 3) * 20)
             ).alias("CarePlanCreatDate"),
         ),
-        "service_type": records.where(key % 7 != 0).select(
+        "service_type": served.select(
             _text("r", key).alias("UniqServReqID"),
             "RecordNumber",
             person.alias("Der_Person_ID"),
