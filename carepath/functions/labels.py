@@ -59,10 +59,6 @@ def code_title(code: Column | str, title: Column | str, separator: str = ": ") -
     return F.when(both, F.concat(code.cast("string"), F.lit(separator), title.cast("string")))
 
 
-def or_label(c: Column | str, label: str) -> Column:
-    return F.coalesce(_col(c), F.lit(label))
-
-
 def order_label(
     event: Column | str,
     reference: Column | str,

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.groups import MISSING
 from ..functions.labels import key as text_key
 
 _KEY = "__ref_key"
@@ -78,7 +79,7 @@ def decode(
     code: str,
     dictionary: DataFrame,
     out: str,
-    default: str | None = "Missing/invalid",
+    default: str | None = MISSING,
     key: str = "Main_Code_Text",
     value: str = "Main_Description",
     collated: bool = False,

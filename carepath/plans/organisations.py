@@ -19,7 +19,6 @@ from ..functions.groups import (
 from ..functions.labels import key
 from ..operators.refdata import attach, current, resolve_code
 from ..operators.rollup import Geography
-from ..sources.tables import Tables
 
 # Hierarchy rows that are not reporting organisations.
 COMMISSIONER_TYPE = "CLINICAL COMMISSIONING GROUP"
@@ -131,7 +130,3 @@ def national(**columns: str) -> Geography:
 
 def type_is(c: str, *values: str) -> Column:
     return key(c).isin([v.upper() for v in values])
-
-
-def domain(tables: Tables, *names: str) -> list[DataFrame]:
-    return [tables[n] for n in names]
