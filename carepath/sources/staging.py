@@ -15,14 +15,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def staging_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get(SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"{SETTING} must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="carepath-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="carepath-"))
+    return context.getCheckpointDir()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
