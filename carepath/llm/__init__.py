@@ -1,6 +1,6 @@
 """Operators for training-data pipelines and their registered queries."""
 
-from . import quality, simhash  # noqa: F401
+from . import quality, simhash, substring  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
