@@ -1,6 +1,6 @@
 """Operators for training-data pipelines and their registered queries."""
 
-from . import decontaminate, quality, simhash, substring  # noqa: F401
+from . import decontaminate, packing, quality, simhash, substring  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
