@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,6 +166,29 @@ def shared(rows: DataFrame, seen_twice: bool) -> DataFrame:
     return told.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
 
 
+def squeezed(docs: DataFrame, text: str) -> DataFrame:
+    """docs with the column text compressed, so that a shuffle moves less."""
+    place = docs.columns.index(text)
+    names = docs.columns
+    fields = ", ".join(f"`{c}` {'binary' if c == text else t}" for c, t in docs.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column(place)]
+            small = pa.array([None if t is None else press.compress(t.encode()) for t in texts], pa.binary())
+            arrays = [small if i == place else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return docs.mapInArrow(run, fields)
+
+
+def restored(column: pa.Array) -> pa.Array:
+    expand = zstandard.ZstdDecompressor()
+    texts = [None if t is None else expand.decompress(t) for t in column.to_pylist()]
+    return pa.array(texts, pa.large_binary()).view(pa.large_string())
+
+
 def key_set(packed: list[bytes]) -> np.ndarray:
     return np.unique(np.concatenate([unpack_sorted(p, 1)[0] for p in packed]))
 
@@ -201,14 +225,14 @@ def anchors(docs: DataFrame, length: int, n_buckets: int) -> DataFrame:
 
 
 def windows(docs: DataFrame, length: int, n_buckets: int) -> DataFrame:
-    """docs: (doc_id, text, keys), keys being the document's shared anchors."""
+    """docs: (doc_id, squeezed text, keys), keys being the document's shared anchors."""
     anchor = length - PERIOD + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Run(n_buckets, seen_twice=False)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            raw, offsets = text_bytes(batch.column(1))
+            raw, offsets = text_bytes(restored(batch.column(1)))
             for d in range(len(ids)):
                 part = raw[offsets[d] : offsets[d + 1]]
                 starts, stops, first = word_bounds(part, np.array([0, len(part)]))
@@ -265,12 +289,12 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", le
     n_buckets = max(LEAST_BUCKETS, math.ceil(size / 6 * len(COVER) / PERIOD / RUN))
     hits = shared(anchors(bare, length, n_buckets), seen_twice=True)
     hits = hits.withColumnRenamed("doc_id", "hit_id")
-    candidates = bare.join(hits, F.col("doc_id") == F.col("hit_id")).select("doc_id", "text", "keys")
+    candidates = squeezed(bare, "text").join(hits, F.col("doc_id") == F.col("hit_id")).select("doc_id", "text", "keys")
     repeats = shared(windows(candidates, length, n_buckets), seen_twice=False)
 
     name = named_apart(docs, "hit_id", "keys")
     right = repeats.toDF(name["hit_id"], name["keys"])
-    joined = docs.join(right, F.col(id_col).cast("long") == F.col(name["hit_id"]), "left").drop(name["hit_id"])
+    joined = squeezed(docs, text).join(right, F.col(id_col).cast("long") == F.col(name["hit_id"]), "left").drop(name["hit_id"])
     place = docs.columns.index(text)
     taken = [c for c in ("n_words", "n_removed") if c in docs.columns]
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if c not in taken)
@@ -279,7 +303,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", le
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(place)
+            column = restored(batch.column(place)).cast(pa.string())
             raw, offsets = text_bytes(column)
             counts = np.zeros(len(column), np.int64)
             for i, j in blocks(offsets):
