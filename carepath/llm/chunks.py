@@ -12,23 +12,26 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
-CHUNKS = 500_000
+from .wordbytes import BLOCK, SPACE, blocks, text_bytes
+
+CHUNKS = 800_000
 CHARACTERS = 16_000_000
 
 #: White space beyond ASCII, or what only some libraries call white space.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-#: Byte-level tokenizers: white space and what follows it.
+#: White space and what follows it.
 SPACED = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-#: Tokenizers that drop white space.
-BARE = re.compile(r"[^\x20\x09-\x0D]+")
+#: Bytes that such characters begin with in UTF-8.
+MAYBE_ODD = np.zeros(256, bool)
+MAYBE_ODD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 WHITE = " \t\n\v\f\r"
 WHITE_OR_END = {*WHITE, ""}
 
@@ -94,26 +97,27 @@ class Encoder:
         return self.flat[np.arange(to[-1] if len(to) else 0) + np.repeat(begin - to + count, count)]
 
     def split(self, text: str) -> list[str]:
-        if self.drops_space:
-            return BARE.findall(text)
         # Runs of mixed white space must not be cut.
-        return [text] if ODD_SPACE.search(text) else SPACED.findall(text)
+        return [text] if not self.drops_space and ODD_SPACE.search(text) else SPACED.findall(text)
 
     def _joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids and sizes of chunks encoded as one text, told apart by the edges of words."""
-        text = (" " if self.drops_space else "").join(chunks)
+        text = "".join(chunks)
         ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         edges = np.flatnonzero(self.edge[ids])
         if not self.drops_space:
             if len(edges) != len(chunks):
                 return None
             return ids, np.diff(edges, append=len(ids))
-        words = [len(self.parts.findall(unicodedata.normalize("NFC", c).lower())) for c in chunks]
+        words = [1 if c[1:].isalpha() else self._parts(c) for c in chunks]
         last = np.cumsum(words) - 1
         if len(edges) != last[-1] + 1 or min(words) < 1:
             return None
         return ids, np.diff(edges[last], prepend=-1)
 
+    def _parts(self, chunk: str) -> int:
+        return len(self.parts.findall(unicodedata.normalize("NFC", chunk).lower()))
+
     def _marked(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and sizes of chunks, kept apart by a special token."""
         text = self.marker.join(chunks)
@@ -129,7 +133,7 @@ class Encoder:
         if not fresh:
             return
         if self.drops_space:
-            plain = np.array(["<|" not in c for c in fresh])
+            plain = np.array([c[:1] in WHITE and "<|" not in c and not c.isspace() for c in fresh])
         else:
             plain = np.array([c[0] in WHITE and c[1:2] not in WHITE_OR_END and "<|" not in c for c in fresh])
         first = len(self.begin)
@@ -163,15 +167,35 @@ class Encoder:
         self.room()
         return self.count[self.numbered(chunks)]
 
-    def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and the len(texts) + 1 indexes where each begins."""
-        self.room()
-        split = [self.split(t) if t else [] for t in texts]
-        n = self.numbered([c for chunks in split for c in chunks])
-        count = self.count[n]
-        to = np.append(0, np.cumsum(count))
-        ends = to[np.append(0, np.cumsum([len(c) for c in split], dtype=np.int64))]
-        return self._gather(self.begin[n], count), ends
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a column of texts in a row, and the len(texts) + 1 indexes where each begins."""
+        raw, offsets = text_bytes(texts)
+        flat, ends = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        done = 0
+        for i, j in blocks(offsets, 4 * BLOCK):
+            self.room()
+            n, first = self._number_block(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            count = self.count[n]
+            flat.append(self._gather(self.begin[n], count))
+            ends.append(done + np.append(0, np.cumsum(count))[first[1:]])
+            done += len(flat[-1])
+        return np.concatenate(flat), np.concatenate(ends)
+
+    def _number_block(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the chunks of some texts, and the index of each text's first chunk."""
+        space = SPACE[raw]
+        cut = np.zeros(len(raw) + 1, bool)
+        cut[1:-1] = space[1:] & ~space[:-1]
+        if not self.drops_space:
+            for d in np.unique(np.searchsorted(offsets, np.flatnonzero(MAYBE_ODD[raw]), "right") - 1):
+                if ODD_SPACE.search(raw[offsets[d] : offsets[d + 1]].tobytes().decode()):
+                    cut[offsets[d] : offsets[d + 1]] = False
+        cut[offsets] = True
+        cut[-1] = True
+        at = np.flatnonzero(cut)
+        chunks = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(raw)).dictionary_encode()
+        known = self.numbered(chunks.dictionary.to_pylist())
+        return known[chunks.indices.to_numpy()], np.searchsorted(at, offsets)
 
 
 def _split_pattern(part: dict) -> str | None:
@@ -181,18 +205,6 @@ def _split_pattern(part: dict) -> str | None:
     return part["pattern"]["Regex"] if part["type"] == "Split" else None
 
 
-def batches(texts: list[str | None], size: int = 1 << 19) -> Iterator[tuple[int, int]]:
-    """Runs [i, j) of texts of about size characters together."""
-    i = held = 0
-    for j, t in enumerate(texts):
-        held += len(t or "")
-        if held >= size:
-            yield i, j + 1
-            i, held = j + 1, 0
-    if i < len(texts):
-        yield i, len(texts)
-
-
 @lru_cache(maxsize=2)
 def encoder(name: str) -> Encoder:
     """The process's encoder for a vocabulary file."""

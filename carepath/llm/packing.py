@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import query, table
-from .chunks import batches, encoder
+from .chunks import encoder
 
 LENGTH = 1024
 GROUP = 4096
@@ -64,15 +64,14 @@ def tokens(docs: DataFrame, id_col: str, text: str, name: str, end: int, groups:
     )
     kind = bare.schema["doc_id"].dataType.simpleString()
 
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(name)
         width = "<u2" if max(enc.size, end + 1) <= 1 << 16 else "<u4"
-        for batch in stream:
-            texts = batch.column(2).to_pylist()
-            for i, j in batches(texts):
-                flat, at = enc.ids(texts[i:j])
-                ids = [np.append(flat[at[k] : at[k + 1]], np.uint32(end)).astype(width).tobytes() for k in range(j - i)]
-                part = batch.slice(i, j - i)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                flat, at = enc.ids(part.column(2))
+                ids = [np.append(flat[at[k] : at[k + 1]], np.uint32(end)).astype(width).tobytes() for k in range(len(at) - 1)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(ids, pa.binary()), pa.array([int(width[-1])] * len(ids), pa.int32())],
                     ["group", "doc_id", "ids", "width"],

@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of text that are worked on at once; a longer document is worked on alone.
 BLOCK = 1 << 20
 
@@ -35,7 +35,7 @@ def blocks(offsets: np.ndarray, size: int = BLOCK) -> Iterator[tuple[int, int]]:
 
 def word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the index of each document's first word (n + 1)."""
-    solid = ~_SPACE[raw]
+    solid = ~SPACE[raw]
     begins, ends = solid.copy(), solid.copy()
     begins[1:] &= ~solid[:-1]
     ends[:-1] &= ~solid[1:]
