@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,8 +28,6 @@ CHARACTERS = 16_000_000
 
 #: White space beyond ASCII, or what only some libraries call white space.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-#: White space and what follows it.
-SPACED = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 #: Bytes that such characters begin with in UTF-8.
 MAYBE_ODD = np.zeros(256, bool)
 MAYBE_ODD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -96,10 +95,6 @@ class Encoder:
         to = np.cumsum(count)
         return self.flat[np.arange(to[-1] if len(to) else 0) + np.repeat(begin - to + count, count)]
 
-    def split(self, text: str) -> list[str]:
-        # Runs of mixed white space must not be cut.
-        return [text] if not self.drops_space and ODD_SPACE.search(text) else SPACED.findall(text)
-
     def _joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids and sizes of chunks encoded as one text, told apart by the edges of words."""
         text = "".join(chunks)
@@ -165,7 +160,8 @@ class Encoder:
     def counts(self, chunks: list[str]) -> np.ndarray:
         """Number of ids of each chunk."""
         self.room()
-        return self.count[self.numbered(chunks)]
+        n = self.numbered(chunks)
+        return self.count[n]
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a column of texts in a row, and the len(texts) + 1 indexes where each begins."""
@@ -174,15 +170,26 @@ class Encoder:
         done = 0
         for i, j in blocks(offsets, 4 * BLOCK):
             self.room()
-            n, first = self._number_block(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            n, first, _ = self._number_block(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             count = self.count[n]
             flat.append(self._gather(self.begin[n], count))
             ends.append(done + np.append(0, np.cumsum(count))[first[1:]])
             done += len(flat[-1])
         return np.concatenate(flat), np.concatenate(ends)
 
-    def _number_block(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the chunks of some texts, and the index of each text's first chunk."""
+    def sizes(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text the characters and the ids of each of its chunks."""
+        raw, offsets = text_bytes(texts)
+        for i, j in blocks(offsets, 4 * BLOCK):
+            self.room()
+            part = raw[offsets[i] : offsets[j]]
+            n, first, at = self._number_block(part, offsets[i : j + 1] - offsets[i])
+            chars = np.diff(np.append(0, np.cumsum((part & 0xC0) != 0x80))[at])
+            for a, b in zip(first[:-1], first[1:], strict=True):
+                yield chars[a:b], self.count[n[a:b]]
+
+    def _number_block(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Numbers of the chunks of some texts, the index of each text's first chunk, and cuts."""
         space = SPACE[raw]
         cut = np.zeros(len(raw) + 1, bool)
         cut[1:-1] = space[1:] & ~space[:-1]
@@ -195,7 +202,7 @@ class Encoder:
         at = np.flatnonzero(cut)
         chunks = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at), pa.py_buffer(raw)).dictionary_encode()
         known = self.numbered(chunks.dictionary.to_pylist())
-        return known[chunks.indices.to_numpy()], np.searchsorted(at, offsets)
+        return known[chunks.indices.to_numpy()], np.searchsorted(at, offsets), at
 
 
 def _split_pattern(part: dict) -> str | None:
