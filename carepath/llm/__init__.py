@@ -1,6 +1,6 @@
 """Operators for training-data pipelines and their registered queries."""
 
-from . import chat, decontaminate, edits, language, packing, quality, rans, simhash, substring  # noqa: F401
+from . import chat, decontaminate, edits, html, language, packing, quality, rans, simhash, substring  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
