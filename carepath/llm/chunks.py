@@ -1,6 +1,7 @@
 """Token ids of whole texts, with each distinct chunk of text encoded once per task.
 
-A chunk is a piece of text at whose ends the tokenizer cuts anyway, so the ids of a text are
+A chunk is a piece of text at whose ends the tokenizer cuts anyway (before white space; between
+ASCII letters, digits and punctuation), so the ids of a text are
 those of its chunks in a row. Most words of a corpus repeat; their ids come from a dictionary
 that loses its rare entries when it has grown to CHUNKS entries or CHARACTERS characters. New
 chunks are encoded in one call and told apart by the edges of words, or where that is in doubt
@@ -31,6 +32,13 @@ ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 #: Bytes that such characters begin with in UTF-8.
 MAYBE_ODD = np.zeros(256, bool)
 MAYBE_ODD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+#: ASCII letters 1, digits 2, punctuation 3; an apostrophe may belong to either side.
+CLASS = np.zeros(256, np.int8)
+CLASS[[*range(65, 91), *range(97, 123)]] = 1
+CLASS[48:58] = 2
+CLASS[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = 3
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 WHITE = " \t\n\v\f\r"
 WHITE_OR_END = {*WHITE, ""}
 
@@ -59,6 +67,7 @@ class Encoder:
         pieces = [self.tokenizer.id_to_token(i) or "" for i in range(self.size)]
         #: The end of a word, or white space at the start of a piece: either tells chunks apart.
         self.drops_space = not self._alone(" ")
+        self.lowers = self._alone("A") == self._alone("a")
         edge = "</w>" if self.drops_space else "\u0120\u010a\u0109\u010d\u010b\u010c"
         self.edge = np.array([p.endswith(edge) if self.drops_space else p[:1] in edge for p in pieces])
         self.edge[list(added)] = False
@@ -183,16 +192,29 @@ class Encoder:
         for i, j in blocks(offsets, 4 * BLOCK):
             self.room()
             part = raw[offsets[i] : offsets[j]]
-            n, first, at = self._number_block(part, offsets[i : j + 1] - offsets[i])
+            n, first, at = self._number_block(part, offsets[i : j + 1] - offsets[i], fine=False)
             chars = np.diff(np.append(0, np.cumsum((part & 0xC0) != 0x80))[at])
             for a, b in zip(first[:-1], first[1:], strict=True):
                 yield chars[a:b], self.count[n[a:b]]
 
-    def _number_block(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Numbers of the chunks of some texts, the index of each text's first chunk, and cuts."""
+    def _number_block(self, raw: np.ndarray, offsets: np.ndarray, fine: bool = True) -> tuple[np.ndarray, ...]:
+        """Numbers of the chunks of some texts, the index of each text's first chunk, and cuts.
+
+        Without fine, cuts are before white space only.
+        """
         space = SPACE[raw]
         cut = np.zeros(len(raw) + 1, bool)
         cut[1:-1] = space[1:] & ~space[:-1]
+        if fine:
+            # Special tokens are looked for in the text as it is.
+            marked = np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))
+            plain = np.ones(len(raw), bool)
+            for d in np.unique(np.searchsorted(offsets, marked, "right") - 1):
+                plain[offsets[d] : offsets[d + 1]] = False
+            kind = CLASS[raw]
+            cut[1:-1] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0) & plain[1:]
+            if self.lowers:
+                raw = np.where(plain, LOWER[raw], raw)
         if not self.drops_space:
             for d in np.unique(np.searchsorted(offsets, np.flatnonzero(MAYBE_ODD[raw]), "right") - 1):
                 if ODD_SPACE.search(raw[offsets[d] : offsets[d + 1]].tobytes().decode()):

@@ -68,8 +68,8 @@ def tokens(docs: DataFrame, id_col: str, text: str, name: str, end: int, groups:
         enc = encoder(name)
         width = "<u2" if max(enc.size, end + 1) <= 1 << 16 else "<u4"
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
+            for i in range(0, batch.num_rows, 2048):
+                part = batch.slice(i, 2048)
                 flat, at = enc.ids(part.column(2))
                 ids = [np.append(flat[at[k] : at[k + 1]], np.uint32(end)).astype(width).tobytes() for k in range(len(at) - 1)]
                 yield pa.RecordBatch.from_arrays(

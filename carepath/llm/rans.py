@@ -49,8 +49,9 @@ MAX_PARTS = 1_000_000
 TOKENIZER = "word_bpe_49k.json"
 END = 2
 
-_LOW = np.uint64(1 << 31)
 _TOTAL = 1 << BITS
+#: States lie in [_LOW, _LOW << 32), below 2 ** 53, so that floating-point division is exact.
+_LOW = 1 << 20
 
 SCHEMA = (
     "version int, part int, segment int, before long, n_ids long, symbols binary, frequencies binary, "
@@ -61,7 +62,9 @@ SCHEMA = (
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids and their frequencies, at least 1 each and 2 ** BITS together."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    counts = counts[symbols]
     if len(symbols) > _TOTAL:
         raise ValueError(f"more than {_TOTAL} distinct ids in a segment")
     spare = _TOTAL - len(symbols)
@@ -73,28 +76,29 @@ def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def encode_blocks(index: np.ndarray, freq: np.ndarray) -> list[tuple[bytes, bytes]]:
     """(checkpoints, words) of blocks of equal length: index is (blocks, steps, LANES) into freq."""
     n, steps, _ = index.shape
-    freq = freq.astype(np.uint64)
-    start = np.cumsum(freq) - freq
-    limit = freq << np.uint64(63 - BITS)
-    state = np.full((n, LANES), _LOW, np.uint64)
+    index = np.ascontiguousarray(index.transpose(1, 0, 2))
+    divisor = freq.astype(np.float64)
+    limit = divisor * float(_LOW << 32 >> BITS)
+    spread = _TOTAL - freq.astype(np.int64)
+    start = np.cumsum(freq, dtype=np.int64) - freq
+    state = np.full((n, LANES), _LOW, np.int64)
     out = np.zeros((steps, n, LANES), np.uint32)
     sent = np.zeros((steps, n, LANES), bool)
     marks = {}
     for t in range(steps - 1, -1, -1):
-        s = index[:, t, :]
-        f = freq[s]
+        s = index[t]
         full = state >= limit[s]
-        out[t], sent[t] = state, full  # the low 32 bits
-        state = np.where(full, state >> np.uint64(32), state)
-        q = state // f
-        state = (q << np.uint64(BITS)) + (state - q * f) + start[s]
+        out[t], sent[t] = state & 0xFFFFFFFF, full
+        state = np.where(full, state >> 32, state)
+        # state // f * 2 ** BITS + state % f + start
+        state = state + (state / divisor[s]).astype(np.int64) * spread[s] + start[s]
         if t % CHECKPOINT == 0:
             marks[t] = state
     words = []
     for b in range(n):
         read = np.append(0, np.cumsum(sent[:, b, :].sum(axis=1)))
         points = b"".join(
-            np.uint64(read[t]).tobytes() + marks[t][b].tobytes() for t in range(0, steps, CHECKPOINT)
+            np.append(read[t], marks[t][b]).astype("<i8").tobytes() for t in range(0, steps, CHECKPOINT)
         )
         words.append((points, out[:, b, :][sent[:, b, :]].tobytes()))
     return words
@@ -103,7 +107,9 @@ def encode_blocks(index: np.ndarray, freq: np.ndarray) -> list[tuple[bytes, byte
 def encode_ids(ids: np.ndarray) -> tuple[bytes, bytes, list[dict]]:
     """Symbols, frequencies and blocks of one segment."""
     symbols, freq = frequencies(ids)
-    index = np.searchsorted(symbols, ids)
+    place = np.zeros(int(symbols[-1]) + 1, np.int64)
+    place[symbols] = np.arange(len(symbols))
+    index = place[ids]
     filler = int(np.argmax(freq))
     blocks = []
     whole = len(ids) // BLOCK
@@ -126,34 +132,33 @@ def decode_ids(symbols: bytes, freq_bytes: bytes, blocks: list[dict]) -> np.ndar
     names = np.cumsum(np.frombuffer(zlib.decompress(symbols), "<u4"), dtype=np.uint32)
     freq = np.frombuffer(zlib.decompress(freq_bytes), "<u4").astype(np.int64)
     of = np.repeat(np.arange(len(freq)), freq)
-    slot_id, slot_freq = names[of], freq[of].astype(np.uint64)
-    slot_rest = (np.arange(_TOTAL) - (np.cumsum(freq) - freq)[of]).astype(np.uint64)
-    words = np.concatenate([np.frombuffer(b["words"], "<u4") for b in blocks] + [np.zeros(1, np.uint32)]).astype(np.uint64)
+    slot_id, slot_freq = names[of], freq[of]
+    slot_rest = np.arange(_TOTAL) - (np.cumsum(freq) - freq)[of]
+    words = np.concatenate([np.frombuffer(b["words"], "<u4") for b in blocks] + [np.zeros(1, np.uint32)]).astype(np.int64)
     base, at, state, home, steps = 0, [], [], [], []
     for k, b in enumerate(blocks):
-        points = np.frombuffer(b["checkpoints"], "<u8").reshape(-1, 1 + LANES)
+        points = np.frombuffer(b["checkpoints"], "<i8").reshape(-1, 1 + LANES)
         total = -(-b["n_ids"] // LANES)
-        at.append(base + points[:, 0].astype(np.int64))
+        at.append(base + points[:, 0])
         state.append(points[:, 1:])
         home += [(k, i) for i in range(len(points))]
         steps += [min(CHECKPOINT, total - i * CHECKPOINT) for i in range(len(points))]
         base += len(b["words"]) // 4
-    at, state, steps = np.concatenate(at), np.concatenate(state).astype(np.uint64), np.array(steps)
+    at, state, steps = np.concatenate(at), np.concatenate(state), np.array(steps)
     order = np.argsort(-steps, kind="stable")
     at, state = at[order], state[order]
     live = np.searchsorted(-steps[order], -np.arange(CHECKPOINT), "left")  # rows with a step t
     got = np.zeros((CHECKPOINT, len(at), LANES), np.uint32)
-    mask, bits, word = np.uint64(_TOTAL - 1), np.uint64(BITS), np.uint64(32)
     for t in range(int(steps.max())):
         m = live[t]
         x = state[:m]
-        slot = (x & mask).astype(np.int64)
+        slot = x & (_TOTAL - 1)
         got[t, :m] = slot_id[slot]
-        x = slot_freq[slot] * (x >> bits) + slot_rest[slot]
+        x = slot_freq[slot] * (x >> BITS) + slot_rest[slot]
         need = x < _LOW
         count = np.cumsum(need, axis=1)
         fed = words[np.minimum(at[:m, None] + count - 1, len(words) - 1)]
-        state[:m] = np.where(need, (x << word) | fed, x)
+        state[:m] = np.where(need, (x << 32) | fed, x)
         at[:m] += count[:, -1]
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
@@ -229,8 +234,8 @@ def write(
         enc = encoder(tokenizer)
         writer = _Writer(TaskContext.get().partitionId())
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                part = batch.slice(i, 512)
+            for i in range(0, batch.num_rows, 2048):
+                part = batch.slice(i, 2048)
                 flat, at = enc.ids(part.column(1))
                 for k, doc in enumerate(part.column(0).to_pylist()):
                     yield from writer.add(doc, np.append(flat[at[k] : at[k + 1]], np.uint32(end)))
@@ -293,8 +298,8 @@ def _times(a: int, b: int) -> int:
 
 def joined_crc32(crcs: list[int], lengths: list[int]) -> int:
     """CRC-32 of byte strings put together, from their own CRCs and lengths."""
-    out = 0
-    for crc, n in zip(crcs, lengths, strict=True):
+    out = crcs[0]
+    for crc, n in zip(crcs[1:], lengths[1:], strict=True):
         shift, power, bits = 1 << 31, 1 << 23, n  # x^0 and x^8
         while bits:
             if bits & 1:
