@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 # Code lists as published by the source guidance, print artefacts
 # (stray spaces, trailing wildcards) included, because exact matching is on them.
 
-ICD10_DEMENTIA = """
-F00.0 F00.1 F00.2 F00.9 F01.0 F01.1 F01.2 F01.3 F01.8 F01.9
-F02.0 F02.1 F02.2 F02.3 F02.4 F02.8 F03 F05.1
-F000 F001 F002 F009 F010 F011 F012 F013 F018 F019
-F020 F021 F022 F023 F024 F028 F051
-""".split()
+ICD10_CONDITION = [
+    "F00.0", "F00.1", "F00.2", "F00.9", "F01.0", "F01.1", "F01.2", "F01.3", "F01.8",
+    "F01.9", "F02.0", "F02.1", "F02.2", "F02.3", "F02.4", "F02.8", "F03", "F05.1", "F000",
+    "F001", "F002", "F009", "F010", "F011", "F012", "F013", "F018", "F019", "F020", "F021",
+    "F022", "F023", "F024", "F028", "F051",
+]
 
 ICD10_DAGGER = ["G318", "G31.8"]
 
-SNOMED_DEMENTIA = [
+SNOMED_CONDITION = [
     "52448006", "15662003", "191449005", "191457008", "191461002", "231438001",
     "268612007", "45864009", "26929004", "416780008", "416975007", "4169750 07",
     "429998004", "230285003", "56267009", "230286002", "230287006", "230270009",
@@ -36,28 +36,28 @@ SNOMED_DEMENTIA = [
     "6475002", "66108005",
 ]
 
-READ_V2_DEMENTIA = [
+READ_V2_CONDITION = [
     "E00..%", "E0 0..%", "Eu01.%", "Eu 01.%", "Eu02.%", "Eu 02.%", "E012.%", "Eu00.%",
     "Eu 0 0.%", "F110.%", "A411.%", "A 411.%", "E02y1", "E041.", "E0 41.", "Eu041",
     "Eu 0 41", "F111.", "F112.", "F116.", "F118.", "F21y2", "A410.", "A 410.",
 ]
 
-CTV3_DEMENTIA = ["XE1Xr%", "X002w%", "XE1Xs", "Xa0sE"]
+CTV3_CONDITION = ["XE1Xr%", "X002w%", "XE1Xs", "Xa0sE"]
 
 MCI_CODES = ["F06.7", "F067", "386805003", "28E0.", "Xaagi"]
 
 COHORT_PREFIXES = ["F03"]
 
 # Codes looked for inside the joined diagnosis string of a spell.
-DEMENTIA_IN_SPELL = """
-F000 F001 F002 F009 F010 F011 F012 F013 F018 F019
-F020 F021 F022 F023 F024 F028 F03 F051
-""".split()
+CONDITION_IN_SPELL = [
+    "F000", "F001", "F002", "F009", "F010", "F011", "F012", "F013", "F018", "F019", "F020",
+    "F021", "F022", "F023", "F024", "F028", "F03", "F051",
+]
 MCI_IN_SPELL = ["F067"]
 DELIRIUM_IN_SPELL = ["F050", "F058", "F059"]
 
 COHORT_CODES = (
-    ICD10_DEMENTIA + ICD10_DAGGER + SNOMED_DEMENTIA + READ_V2_DEMENTIA + CTV3_DEMENTIA + MCI_CODES
+    ICD10_CONDITION + ICD10_DAGGER + SNOMED_CONDITION + READ_V2_CONDITION + CTV3_CONDITION + MCI_CODES
 )
 
 
@@ -98,7 +98,7 @@ def in_codes(
 
 def diagnosis_area(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.isin(MCI_CODES), "MCI").otherwise("Dementia")
+    return F.when(c.isin(MCI_CODES), "MCI").otherwise("Condition")
 
 
 def is_emergency(method: Column | str) -> Column:

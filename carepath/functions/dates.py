@@ -104,6 +104,12 @@ def refresh_window(
     )
 
 
+def month_bounds(df: DataFrame, day: str) -> Window:
+    """First day of the earliest month and last day of the latest one, from one aggregate."""
+    low, high = df.agg(F.min(month_start(day)), F.max(month_end(day))).first()
+    return Window(low, high)
+
+
 def latest_month(df: DataFrame, month: str) -> date | None:
     """Latest month present, from a one-row aggregate over that one column."""
     return df.agg(F.max(month_start(month)).alias("m")).first()[0]

@@ -24,7 +24,7 @@ def display(c: Column | str, digits: int | None = 0) -> Column:
     if digits == 0:
         return F.round(c, 0).cast("bigint").cast("string")
     if digits is None:
-        return c.cast("string")
+        return F.regexp_replace(c.cast("decimal(38,12)").cast("string"), r"\.?0+$|(\.\d*?)0+$", "$1")
     return F.round(c, digits).cast(f"decimal(38,{digits})").cast("string")
 
 

@@ -40,7 +40,14 @@ def rate(
     pop: str = "Pop",
     per: int = 100_000,
     out: str = "Rate",
+    how: str = "left",
 ) -> DataFrame:
-    """Counts per head of population, for groups present on both sides."""
-    joined = counts.join(denominators.select(*on, pop), list(on), "inner")
+    """Counts per head of population.
+
+    A count whose group has no population stays, with a NULL rate. ``how="full"`` also
+    keeps populations without a count, as a count of 0.
+    """
+    joined = counts.join(denominators.select(*on, pop), list(on), how)
+    if how == "full":
+        joined = joined.withColumn(count, F.coalesce(count, F.lit(0)))
     return joined.withColumn(out, ratio(F.col(count) * F.lit(float(per)), pop))

@@ -11,7 +11,7 @@ from ..functions.bands import STAY_BANDS, band_label
 from ..functions.caseload import flag
 from ..functions.codes import (
     DELIRIUM_IN_SPELL,
-    DEMENTIA_IN_SPELL,
+    CONDITION_IN_SPELL,
     MCI_IN_SPELL,
     flag_codes,
     is_emergency,
@@ -75,7 +75,7 @@ LOCAL = [
 COUNTS = {
     "Emergency Admissions": None,
     "Emergency Admissions - Aged 65 Years and Over": "Age65",
-    "Emergency Admissions - Dementia Diagnosis": "Dementia",
+    "Emergency Admissions - Condition Diagnosis": "Condition",
     "Emergency Admissions - Delirium Diagnosis": "Delirium",
     "Emergency Admissions - MCI Diagnosis": "MCI",
 }
@@ -83,7 +83,7 @@ COUNTS = {
 
 def diagnosis_flags(text: str, age: str) -> dict:
     return {
-        "Dementia": flag_codes(text, DEMENTIA_IN_SPELL),
+        "Condition": flag_codes(text, CONDITION_IN_SPELL),
         "MCI": flag_codes(text, MCI_IN_SPELL),
         "Delirium": flag_codes(text, DELIRIUM_IN_SPELL),
         "Age65": flag(F.col(age) >= 65),

@@ -13,9 +13,9 @@ from ..operators.spc import p_chart, split_phase
 from ..sources.tables import Tables, era_union
 from .organisations import RATE_LEVELS, RATE_NATIONAL, rebased, type_is
 
-ESTIMATE = "DEMENTIA_ESTIMATE_65_PLUS"
-REGISTER = "DEMENTIA_REGISTER_65_PLUS"
-RATE = "DEMENTIA_RATE_65_PLUS"
+ESTIMATE = "CONDITION_ESTIMATE_65_PLUS"
+REGISTER = "CONDITION_REGISTER_65_PLUS"
+RATE = "CONDITION_RATE_65_PLUS"
 DAY = "Effective_Snapshot_Date"
 ORG = ["Org Type", "Org Name", "Org Code", "ICB Name", "Region Name"]
 

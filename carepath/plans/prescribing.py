@@ -19,7 +19,7 @@ SHARE_WITH = "Proportion_of_DEM_WITH_ANTI_PSY_AND_PSY_DIAG"
 SOURCE = {
     "Without Psychosis Diagnosis": WITHOUT,
     "With Psychosis Diagnosis": WITH,
-    "Dementia Register": REGISTER,
+    "Condition Register": REGISTER,
 }
 
 
@@ -52,12 +52,12 @@ def proportions(tables: Tables) -> DataFrame:
     )
 
 
-def prescribing(tables: Tables, keep_unmatched: bool = False, clamp: bool = False) -> DataFrame:
+def prescribing(tables: Tables, keep_unmatched: bool = True, clamp: bool = False) -> DataFrame:
     """Control chart of both proportions.
 
-    Organisations without a present code have no place on the chart. With
-    ``keep_unmatched`` each such group stays as one row that carries its centre
-    lines and no months.
+    Organisations without a present code have no place on the chart. Each such group
+    stays as one row that carries its centre lines and no months, unless
+    ``keep_unmatched`` is off.
     """
     chart = p_chart(
         proportions(tables),

@@ -21,13 +21,13 @@ from .admissions import diagnosis_flags, sub_icb_allocation
 from .organisations import national, reporting_commissioners, with_commissioner, with_provider
 
 GAP = "TimeBetweenAdmissions"
-FLAGS = {"Dem": "Dementia", "Age65": "Age65", "Delirium": "Delirium", "MCI": "MCI", "Total": None}
+FLAGS = {"Dem": "Condition", "Age65": "Age65", "Delirium": "Delirium", "MCI": "MCI", "Total": None}
 EDGES = (30, 60, 90)
 VALUES = [f"Readmissions{e}days" for e in EDGES]
 
 # Published group names, in output order.
 GROUPS = {
-    "Emergency Admissions - Dementia Diagnosis": "Dem",
+    "Emergency Admissions - Condition Diagnosis": "Dem",
     "Emergency Admissions - 65+": "Age65",
     "Emergency Admissions - Delirium Diagnosis": "Delirium",
     "Emergency Admissions - MCI Diagnosis": "MCI",
@@ -96,7 +96,7 @@ def pairs(
         pick=pick,
         discharge_order=[F.col("Extract_Date_Time"), most_diagnoses_first, F.col("APCS_Ident")],
         admission_order=[F.col("APCS_Ident")],
-        discharge_carry=["Dementia", "MCI", "Delirium", "Age65"],
+        discharge_carry=["Condition", "MCI", "Delirium", "Age65"],
         admission_carry=["Der_Commissioner_Code", "Der_Provider_Code"],
     )
     found = with_commissioner(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.bands import AGE_BANDS, AGE_UNKNOWN, band_flags, band_label
 from ..functions.caseload import caseload_flags, in_period, is_open, wait_days
 from ..functions.codes import COHORT_CODES, COHORT_PREFIXES, diagnosis_area, in_codes
-from ..functions.dates import Window, local_time, month_start
+from ..functions.dates import Window, as_date, local_time, month_start
 from ..functions.groups import (
     ATTENDED,
     CONTACT_CHANNELS,
@@ -102,7 +102,7 @@ def diagnosis_cohort(
 def ranked_diagnoses(cohort: DataFrame) -> DataFrame:
     """Earliest and latest diagnosis of each referral.
 
-    At one time, MCI is taken as the earliest and Dementia as the latest.
+    At one time, MCI is taken as the earliest and Condition as the latest.
     """
     ts, mci = F.col("CodedDiagTimestamp"), F.col("DiagnosisArea") == "MCI"
     return earliest_latest(
@@ -130,20 +130,26 @@ def _plan_span(care_plan: DataFrame) -> DataFrame:
     All that a record's plans can add to the base is a flag of 0, of 1 or both, so
     they are summed up before the join and no record multiplies its referrals.
     """
+    created = as_date("CarePlanCreatDate")
     return care_plan.groupBy("RecordNumber").agg(
-        F.min("CarePlanCreatDate").alias("__plan_first"),
-        F.max("CarePlanCreatDate").alias("__plan_last"),
+        F.min(created).alias("__plan_first"),
+        F.max(created).alias("__plan_last"),
         F.max(F.col("CarePlanCreatDate").isNull().cast("int")).alias("__plan_undated"),
     )
 
 
 def _plan_flags(open_: Column, end: Column) -> Column:
-    """Array of the distinct care-plan flags of a row."""
-    with_plan = open_ & (F.col("__plan_first") <= end)
+    """Array of the distinct care-plan flags of a row.
+
+    A plan that is not known to lie within the period counts as none, so there is a flag
+    always, also where the period has no end.
+    """
+    no = F.lit(False)
+    with_plan = F.coalesce(open_ & (F.col("__plan_first") <= end), no)
     without = (
-        ~open_
+        ~F.coalesce(open_, no)
         | F.col("__plan_first").isNull()
-        | (F.col("__plan_last") > end)
+        | ~F.coalesce(F.col("__plan_last") <= end, no)
         | (F.col("__plan_undated") == 1)
     )
     none = F.array().cast("array<int>")
@@ -161,18 +167,12 @@ def referral_base(
     wildcards: bool = False,
     one_row_per_referral: bool = False,
     person_id_from: date = PERSON_ID_FROM,
-    colocate: bool = False,
 ) -> DataFrame:
     """One row per referral and reporting month, with waits and status flags.
 
     A record with care plans on both sides of the period end gives two rows, as
     does a referral with two team types; ``one_row_per_referral`` keeps the greater
     care-plan flag.
-
-    ``colocate`` brings all parts of a referral together once: the three joins on the
-    referral and the removal of repeated rows then move the base no further. It needs
-    ``spark.sql.requireAllClusterKeysForCoPartition=false`` and referral ids none of
-    which is very frequent; without it adaptive execution can split a hot id.
     """
     flags = (
         current(tables["submission_flags"], end=None, flag=("Der_IsLatest", "Y"))
@@ -197,9 +197,9 @@ def referral_base(
         "UniqServReqID",
         F.col("Der_Person_ID").alias("__diag_person"),
         F.col("EarliestCodedDiagTimestamp").alias("EarliestDiagDate"),
-        F.col("EarliestDiagnosisCode").alias("EarliestDementiaDiagnosisCode"),
+        F.col("EarliestDiagnosisCode").alias("EarliestConditionDiagnosisCode"),
         "EarliestDiagnosisArea",
-        F.col("LatestDiagnosisCode").alias("LatestDementiaDiagnosisCode"),
+        F.col("LatestDiagnosisCode").alias("LatestConditionDiagnosisCode"),
         "LatestDiagnosisArea",
     )
     base = (
@@ -209,10 +209,6 @@ def referral_base(
         .join(_plan_span(tables["care_plan"]), "RecordNumber", "left")
         .withColumn("__person", era_key(start, person_id_from, "Der_Person_ID", "Person_ID"))
     )
-    parts = [base, teams, contacts, ranked]
-    if colocate:
-        parts = [part.repartition("UniqServReqID") for part in parts]
-    base, teams, contacts, ranked = parts
     base = (
         base.join(teams, ["UniqServReqID", "RecordNumber"], "left")
         .join(contacts, ["UniqServReqID", "__person"], "left")
@@ -272,11 +268,11 @@ def referral_base(
         wait_days(received, contact, end).alias("WaitRefContact"),
         in_period(contact, start, end).alias("FirstContactDateMonthFlag"),
         *[c.alias(n) for n, c in status.items()],
-        F.explode(_plan_flags(is_open("ServDischDate", end), end)).alias("RefwithCarePlanCreated"),
-        "EarliestDiagDate", "EarliestDementiaDiagnosisCode", "EarliestDiagnosisArea",
+        F.explode(_plan_flags(is_open("ServDischDate", as_date(end)), as_date(end))).alias("RefwithCarePlanCreated"),
+        "EarliestDiagDate", "EarliestConditionDiagnosisCode", "EarliestDiagnosisArea",
         wait_days(received, diagnosed, end).alias("WaitRefDiag"),
         in_period(diagnosed, start, end).alias("EarliestDiagDateMonthFlag"),
-        "LatestDementiaDiagnosisCode", "LatestDiagnosisArea",
+        "LatestConditionDiagnosisCode", "LatestDiagnosisArea",
         order_label(
             diagnosed, received,
             "Diagnosis After Referral", "Diagnosis Before Referral", "No Diagnosis",
@@ -308,7 +304,7 @@ def wait_times(
     return stamp(
         shown.withColumns(
             {
-                "DementiaDiagnosis": F.col("EarliestDementiaDiagnosisCode")
+                "ConditionDiagnosis": F.col("EarliestConditionDiagnosisCode")
                 .isNotNull().cast("int").cast("string"),
                 **waits,
                 "DataSubmissionType": F.lit(submission),
@@ -325,18 +321,18 @@ def main_metrics(base: DataFrame, run: datetime, submission: str = SUBMISSION) -
             "AgeGroup": band_label("AgeServReferRecDate", AGE_BANDS, AGE_UNKNOWN),
             "GenderGroup": group_codes("Gender", GENDER_GROUPS, GENDER_DEFAULT),
             "EthnicGroup": group_codes("EthnicCategory", ETHNIC_GROUPS, ETHNIC_DEFAULT),
-                        "DementiaDiagnosis": F.col("LatestDementiaDiagnosisCode").isNotNull().cast("int"),
+                        "ConditionDiagnosis": F.col("LatestConditionDiagnosisCode").isNotNull().cast("int"),
         }
     )
     counts = labelled_grouping_sets(
         banded,
         [
-            "Month", "TeamType", "PrimReason", "LatestDementiaDiagnosisCode",
-            "LatestDiagnosisArea", "DementiaDiagnosis",
+            "Month", "TeamType", "PrimReason", "LatestConditionDiagnosisCode",
+            "LatestDiagnosisArea", "ConditionDiagnosis",
         ],
         GEOGRAPHIES,
         CATEGORIES,
         {name: F.sum(status) for name, status in METRICS.items()},
         additive=True,
-    ).withColumnRenamed("LatestDementiaDiagnosisCode", "Dementia Diagnosis Code")
+    ).withColumnRenamed("LatestConditionDiagnosisCode", "Condition Diagnosis Code")
     return stamp(counts.withColumn("DataSubmissionType", F.lit(submission)), run)

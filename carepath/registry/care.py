@@ -11,7 +11,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import Window, as_date, month_end, month_start
+from ..functions.dates import as_date, month_bounds, month_end, month_start
 from ..functions.labels import recode
 from ..plans.population import area_lookup, open_referral_rates, population_table
 from ..plans.referral_pathway import main_metrics, referral_base, wait_times
@@ -21,7 +21,6 @@ from .domain import ORGS_SQL, activity_tables, hierarchy
 
 RUN = datetime(2024, 6, 1, 9, 0)
 CUT = date(1998, 1, 1)
-MONTHS = Window(date(1995, 1, 1), date(2001, 12, 1))
 LINE_CODES = {1: "F067", 2: "F000", 3: "F03X", 4: "28E0."}
 
 
@@ -165,7 +164,7 @@ plans AS (
 diag AS (
   SELECT DISTINCT l_orderkey AS k, l_shipdate AS ts,
          CASE l_linenumber WHEN 1 THEN 'F067' WHEN 2 THEN 'F000' WHEN 3 THEN 'F03X' ELSE '28E0.' END AS code,
-         CASE WHEN l_linenumber IN (1, 4) THEN 'MCI' ELSE 'Dementia' END AS area
+         CASE WHEN l_linenumber IN (1, 4) THEN 'MCI' ELSE 'Condition' END AS area
   FROM lines WHERE l_returnflag <> 'N' AND l_linenumber <= 4),
 first_diag AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY k
                ORDER BY ts, area DESC, code) AS rn FROM diag) WHERE rn = 1),
@@ -202,12 +201,13 @@ base AS (
   LEFT JOIN hier c ON COALESCE(x.new_code, 'C' || c_nationkey) = c.code
   LEFT JOIN successors s ON 'P' || (r.k % 130) = s.old_code
   LEFT JOIN hospitals h ON COALESCE(s.new_code, 'P' || (r.k % 130)) = h.code
-  WHERE r.m BETWEEN DATE '1995-01-01' AND DATE '2001-12-01')
+)
 """
 
 
 def base(spark, folder):
-    return referral_base(pathway_tables(spark, folder), MONTHS, person_id_from=CUT)
+    months = month_bounds(table(spark, folder, "lineitem", "l_shipdate"), "l_shipdate")
+    return referral_base(pathway_tables(spark, folder), months, person_id_from=CUT)
 
 
 WAITS = {
@@ -227,7 +227,7 @@ WAITS = {
     f"""
 WITH {PATHWAY_SQL}
 SELECT m AS "Month", icb_name AS "ICB_Name", first_area AS "EarliestDiagnosisArea",
-       CASE WHEN first_code IS NOT NULL THEN '1' ELSE '0' END AS "DementiaDiagnosis", COUNT(*) AS n,
+       CASE WHEN first_code IS NOT NULL THEN '1' ELSE '0' END AS "ConditionDiagnosis", COUNT(*) AS n,
        CAST(SUM(has_plan) AS BIGINT) AS plans,
        {", ".join(f'COUNT(*) FILTER (WHERE {w}) AS "{n}"' for n, w in WAITS.items())}
 FROM base WHERE team = 'Memory Services/Clinic/Drop in service' AND prim = 'Organic brain disorder'
@@ -236,7 +236,7 @@ GROUP BY 1, 2, 3, 4
 )
 def wait_times_dashboard(spark, folder):
     waits = wait_times(base(spark, folder), RUN)
-    return waits.groupBy("Month", "ICB_Name", "EarliestDiagnosisArea", "DementiaDiagnosis").agg(
+    return waits.groupBy("Month", "ICB_Name", "EarliestDiagnosisArea", "ConditionDiagnosis").agg(
         F.count("*").alias("n"),
         F.sum("RefwithCarePlanCreated").alias("plans"),
         *[F.sum(w).alias(w) for w in WAITS],
@@ -295,7 +295,7 @@ def referral_metrics_dashboard(spark, folder):
     keys = ["Orgtype", "Region", "Category", "Variable", "TeamType", "LatestDiagnosisArea"]
     per_org = metrics.groupBy(*keys, "OrgCode").agg(
         F.count("*").alias("n"),
-        F.count("Dementia Diagnosis Code").alias("k"),
+        F.count("Condition Diagnosis Code").alias("k"),
         *[F.sum(s).alias(s) for s in SUMS],
     )
     return per_org.groupBy(*keys).agg(
@@ -394,10 +394,10 @@ def population_dashboard(spark, folder):
     f"""
 WITH {PATHWAY_SQL}, metrics AS ({_metrics_sql()}), {POPULATION_SQL.replace(ORGS_SQL + ",", "")}
 SELECT x.m AS "Month", x.t AS "Orgtype", x.c AS "OrgCode", x.cat AS "Category", x.var AS "Variable",
-       x.n AS "OpenReferrals", p.pop AS "Pop",
+       x.n AS "OpenReferrals", CAST(p.pop AS DOUBLE) AS "Pop",
        x.n * CAST(100000 AS DOUBLE) / p.pop AS "OpenReferralsPer100k"
 FROM (SELECT m, t, c, cat, var, CAST(SUM("OpenReferrals") AS BIGINT) AS n FROM metrics GROUP BY ALL) x
-JOIN (SELECT t, c, cat, var, CASE WHEN cat = 'Ethnicity' THEN ROUND(pop) ELSE pop END AS pop FROM pops) p
+LEFT JOIN (SELECT t, c, cat, var, CASE WHEN cat = 'Ethnicity' THEN ROUND(pop) ELSE pop END AS pop FROM pops) p
   ON x.t = p.t AND x.c = p.c AND x.cat = p.cat AND x.var = p.var
 """,
 )

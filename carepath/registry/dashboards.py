@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import Window
+from ..functions.dates import Window, month_bounds
+from ..functions.disclosure import suppress
 from ..plans.admissions import COUNTS, admissions, admissions_counts
 from ..plans.diagnosis_rate import diagnosis_rate
 from ..plans.prescribing import prescribing
-from ..plans.readmissions import readmission_counts
+from ..plans.readmissions import readmission_counts, readmissions
 from .base import query
 from .domain import (
     ACTIVITY_SQL,
@@ -41,8 +42,8 @@ phased AS (
 whole AS (SELECT t, c, SUM(n_f) / SUM(n) AS p2 FROM phased GROUP BY t, c),
 part AS (SELECT t, c, ph, SUM(n_f) / SUM(n) AS p FROM phased WHERE ph IS NOT NULL GROUP BY t, c, ph)
 SELECT t AS "Org Type", o AS "Org Name", c AS "Org Code", i AS "ICB Name", r AS "Region Name",
-       day AS "Effective_Snapshot_Date", n AS "DEMENTIA_ESTIMATE_65_PLUS",
-       n_f AS "DEMENTIA_REGISTER_65_PLUS", n_f / n AS "DEMENTIA_RATE_65_PLUS",
+       day AS "Effective_Snapshot_Date", n AS "CONDITION_ESTIMATE_65_PLUS",
+       n_f AS "CONDITION_REGISTER_65_PLUS", n_f / n AS "CONDITION_RATE_65_PLUS",
        {LIMITS_SQL.format(s="")}, {LIMITS_SQL.format(s="2")}
 FROM phased JOIN whole USING (t, c) JOIN part USING (t, c, ph)
 """,
@@ -63,6 +64,10 @@ SELECT t AS "Org Type", o AS "Org Name", c AS "Org Code", i AS "ICB Name", r AS
        n_f / n AS "Proportion_of_DEM_WITH_ANTI_PSY_AND_NO_PSY_DIAG",
        {LIMITS_SQL.format(s="")}, {LIMITS_SQL.format(s="2")}
 FROM points JOIN bar USING (t, c)
+UNION ALL
+SELECT DISTINCT t, o, c, i, r, CAST(NULL AS DATE), NULL, NULL, NULL, NULL, NULL,
+       SUM(n_f) OVER w / SUM(n) OVER w, NULL, NULL, SUM(n_p) OVER w / SUM(n) OVER w, NULL, NULL
+FROM points WHERE c IS NULL WINDOW w AS (PARTITION BY t, o, i, r)
 """,
 )
 def prescribing_dashboard(spark, folder):
@@ -71,13 +76,21 @@ def prescribing_dashboard(spark, folder):
 
 NAMES = list(COUNTS)
 PLAIN = ["COUNT(*)", "SUM(age65)", "SUM(dem)", "SUM(del)", "SUM(mci)"]
-WINDOW = Window(date(1995, 1, 1), date(2001, 12, 31))
+
+
+def window(tables) -> Window:
+    """Every month with an admission or a discharge."""
+    stays = tables["spell"]
+    both = stays.select(F.col("Admission_Date").cast("date").alias("d")).unionByName(
+        stays.select(F.col("Discharge_Date").cast("date").alias("d"))
+    )
+    return month_bounds(both, "d")
 
 
 def _admission_parts():
     """(source filter, month, category, label, variable, chapter) of each breakdown."""
     adm, dis = "date_trunc('month', adm)", "date_trunc('month', dis)"
-    inside = "BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'"
+    inside = "IS NOT NULL"
     parts = [
         (f"adm {inside}", adm, label, value, chapter)
         for label, value, chapter in (
@@ -141,7 +154,8 @@ FROM counts
 """,
 )
 def admissions_dashboard(spark, folder):
-    return admissions(activity_tables(spark, folder), WINDOW, RUN, splits(spark))
+    tables = activity_tables(spark, folder)
+    return admissions(tables, window(tables), RUN, splits(spark))
 
 
 @query(
@@ -154,15 +168,15 @@ FROM counts GROUP BY 1, 2, 3
 """,
 )
 def admissions_unsuppressed(spark, folder):
-    counts = admissions_counts(activity_tables(spark, folder), WINDOW, splits(spark))
+    tables = activity_tables(spark, folder)
+    counts = admissions_counts(tables, window(tables), splits(spark))
     return counts.groupBy("GroupType", "Category", "Variable").agg(
         F.count("*").alias("n_rows"), *[F.round(F.sum(n), 4).alias(n) for n in NAMES]
     )
 
 
-FIRST, N_MONTHS = date(1995, 1, 1), 80
 GROUP_FLAGS = {
-    "Emergency Admissions - Dementia Diagnosis": "dem",
+    "Emergency Admissions - Condition Diagnosis": "dem",
     "Emergency Admissions - 65+": "age65",
     "Emergency Admissions - Delirium Diagnosis": "del",
     "Emergency Admissions - MCI Diagnosis": "mci",
@@ -201,12 +215,11 @@ def _readmissions_sql() -> str:
     return " UNION ALL ".join(selects)
 
 
-@query(
-    "readmissions_dashboard",
-    f"""
+READMISSIONS_SQL = f"""
 WITH {ACTIVITY_SQL},
-months AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01',
-                                              INTERVAL 1 MONTH)) AS DATE) AS m),
+months AS (
+  SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS DATE) AS m
+  FROM (SELECT date_trunc('month', MIN(adm)) AS a, date_trunc('month', MAX(adm)) AS b FROM stays)),
 d AS (SELECT m, s.*, ROW_NUMBER() OVER (PARTITION BY m, person
              ORDER BY dis, adm, n_diag DESC, ident) AS rn
       FROM months JOIN stays s ON dis BETWEEN m - 90 AND m - 1 AND cls = '1'),
@@ -217,10 +230,64 @@ pairs AS (
          date_diff('day', d.dis, a.adm) AS gap
   FROM d JOIN a USING (m, person) WHERE d.rn = 1 AND a.rn = 1),
 counts AS ({_readmissions_sql()})
+"""
+
+
+@query(
+    "readmissions_dashboard",
+    f"""
+{READMISSIONS_SQL}
 SELECT m AS "Month", t AS "Org_Type", o AS "Organisation_Name", r AS "Region Name",
        {", ".join(f'ROUND({n}) AS "{n}"' for n in BUCKETS)}, g AS "AdmissionGroup"
 FROM counts
 """,
 )
 def readmissions_dashboard(spark, folder):
-    return readmission_counts(activity_tables(spark, folder), FIRST, N_MONTHS, splits=splits(spark))
+    tables = activity_tables(spark, folder)
+    return readmission_counts(tables, *_months(tables), splits=splits(spark))
+
+
+def _months(tables):
+    """First month with an admission, and how many months there are."""
+    low, high = month_bounds(tables["spell"], "Admission_Date")
+    return low, (high.year - low.year) * 12 + high.month - low.month + 1
+
+
+@query(
+    "readmissions_published",
+    f"""
+{READMISSIONS_SQL}
+SELECT m AS "Month", t AS "Org_Type", o AS "Organisation_Name", r AS "Region Name",
+       {", ".join(
+           f'''CASE WHEN ROUND({n}) < 7 THEN '*' ELSE CAST(CAST(ROUND({n}) AS BIGINT) AS VARCHAR) END AS "{n}"'''
+           for n in BUCKETS)},
+       g AS "AdmissionGroup", TIMESTAMP '2024-06-01 09:00:00' AS "SnapshotDate"
+FROM counts
+""",
+)
+def readmissions_published(spark, folder):
+    """The suppressed and stamped table."""
+    tables = activity_tables(spark, folder)
+    first, count = _months(tables)
+    return readmissions(tables, first, RUN, count, splits=splits(spark))
+
+
+@query(
+    "admissions_text",
+    f"""
+WITH {ACTIVITY_SQL}, counts AS ({_admissions_sql()})
+SELECT m AS "Month", t AS "GroupType", r AS "RegionCode", g AS "GeographyName", cat AS "Category",
+       var AS "Variable", chap AS "Primary Diagnosis Chapter",
+       {", ".join(
+           f'''CASE WHEN ROUND(v{i}, 6) < 7 THEN '*' ELSE regexp_replace(
+                CAST(CAST(ROUND(v{i}, 6) AS DECIMAL(38, 12)) AS VARCHAR), '[.]?0+$', '') END AS "{n}"'''
+           for i, n in enumerate(NAMES))}
+FROM counts
+""",
+)
+def admissions_text(spark, folder):
+    """Shared-out counts as text with all their decimals (to six places)."""
+    tables = activity_tables(spark, folder)
+    counts = admissions_counts(tables, window(tables), splits(spark))
+    rounded = counts.drop("GeographyCode").withColumns({n: F.round(n, 6) for n in NAMES})
+    return suppress(rounded, NAMES, digits=None)

@@ -26,7 +26,7 @@ SPLITS = [
     ("C0", "NATION_0", 0.588618993418278, "C15", "NATION_15", "SZ", "ICB Z", "RX", "South East"),
 ]
 DIAGNOSES = {"F": "||F03X,Z9", "O": "||Z1,F050", "P": "||F067"}
-TITLES = [("F", "F03", "Dementia", "V", "Mental"), ("O", "F05", None, "V", "Mental")]
+TITLES = [("F", "F03", "Condition", "V", "Mental"), ("O", "F05", None, "V", "Mental")]
 
 
 def hierarchy(spark, folder) -> DataFrame:
@@ -149,10 +149,10 @@ def _published(spark, folder) -> DataFrame:
 def rate_tables(spark, folder) -> dict[str, DataFrame]:
     long = (
         _published(spark, folder)
-        .withColumnsRenamed({"n": "DEMENTIA_ESTIMATE_65_PLUS", "n_f": "DEMENTIA_REGISTER_65_PLUS"})
+        .withColumnsRenamed({"n": "CONDITION_ESTIMATE_65_PLUS", "n_f": "CONDITION_REGISTER_65_PLUS"})
         .unpivot(
             ["kind", "code", "Month"],
-            ["DEMENTIA_ESTIMATE_65_PLUS", "DEMENTIA_REGISTER_65_PLUS"],
+            ["CONDITION_ESTIMATE_65_PLUS", "CONDITION_REGISTER_65_PLUS"],
             "Measure",
             "Measure_Value",
         )
@@ -179,7 +179,7 @@ def prescribing_tables(spark, folder) -> dict[str, DataFrame]:
         F.col("code").alias("Code"),
         F.col("n_f").alias("Without Psychosis Diagnosis"),
         F.col("n_p").alias("With Psychosis Diagnosis"),
-        F.col("n").alias("Dementia Register"),
+        F.col("n").alias("Condition Register"),
     )
     return {
         "commissioner_hierarchy": hierarchy(spark, folder),
@@ -317,7 +317,7 @@ stays AS (
          CASE o_orderstatus WHEN 'F' THEN 'Home' WHEN 'O' THEN 'Hospital' ELSE 'Missing/invalid' END AS src,
          CASE substr(o_orderpriority, 3, 1) WHEN 'L' THEN 'Home' WHEN 'H' THEN 'Hospital'
               ELSE 'Missing/invalid' END AS dest,
-         CASE WHEN o_orderstatus = 'F' THEN 'F03: Dementia' END AS diag,
+         CASE WHEN o_orderstatus = 'F' THEN 'F03: Condition' END AS diag,
          CASE WHEN o_orderstatus IN ('F', 'O') THEN 'V: Mental' END AS chapter
   FROM orders JOIN customer ON o_custkey = c_custkey
   LEFT JOIN changes x ON 'C' || c_nationkey = x.old_code

@@ -34,19 +34,19 @@ JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
 """,
 )
 def earliest_latest_query(spark, folder):
-    # Ties within a day go to a type, reverse-alphabetic first and alphabetic last.
-    types = ["click", "error", "purchase", "signup", "view"]
-    rank = F.array_position(F.array(*[F.lit(t) for t in types]), F.col("event_type"))
+    # Ties within a day go to a type, reverse-alphabetic first and alphabetic last: its code
+    # points, turned around, are an order of any text.
+    turned = F.concat(F.transform(F.split("event_type", ""), lambda c: -F.ascii(c)), F.array(F.lit(1)))
     events = table(spark, folder, "events", "user_id", "ts", "event_type", "event_id").select(
         "user_id", F.col("event_id").alias("Id"), F.col("ts").alias("Ts"),
-        F.col("event_type").alias("Type"), as_date("ts").alias("day"), rank.alias("rank"),
+        F.col("event_type").alias("Type"), as_date("ts").alias("day"), turned.alias("turned"),
     )
     return earliest_latest(
         events,
         ["user_id"],
         ["Id", "Ts", "Type"],
-        first=[F.col("day"), -F.col("rank")],
-        last=[F.col("day"), -F.col("rank")],
+        first=[F.col("day"), F.col("turned")],
+        last=[F.col("day"), F.col("turned")],
     )
 
 
@@ -184,7 +184,6 @@ base AS (
   LEFT JOIN nation ON c_nationkey = n_nationkey AND n_name NOT LIKE '%_20'
   LEFT JOIN region ON n_regionkey = r_regionkey)
 """
-FLAGS = ["A", "N", "R"]
 STATUS = ["NewRef", "OpenRef", "DischRef", "Refwaiting1stcontact", "RefwithCarePlanCreated"]
 
 
@@ -194,10 +193,9 @@ def base_table(spark, folder):
     shipped = as_date("l_shipdate")
     attended = F.col("l_returnflag").isin("A", "R") & (F.col("l_linestatus") == "F")
     # Lines are summed to one row per order and month; the facts of the whole order are
-    # then taken over its months. Day and flag rank share one number, so that all
-    # aggregates are on plain numbers and stay hash aggregates.
-    flags = F.array(*[F.lit(f) for f in FLAGS])
-    code = F.unix_date(shipped) * 4 + F.array_position(flags, F.col("l_returnflag"))
+    # then taken over its months. Day and flag (one character) share one number, so that
+    # all aggregates are on plain numbers and stay hash aggregates.
+    code = F.unix_date(shipped).cast("long") * (1 << 21) + F.ascii("l_returnflag")
     per_month = lines.groupBy("l_orderkey", month_start(shipped).alias("Month")).agg(
         F.min(F.when(attended, shipped)).alias("contact"),
         F.max(F.when(F.col("l_returnflag") == "N", shipped)).alias("left"),
@@ -209,7 +207,7 @@ def base_table(spark, folder):
         "Month",
         F.min("contact").over(order).alias("first_contact"),
         F.max("left").over(order).alias("discharged"),
-        F.element_at(flags, (F.max("code").over(order) % 4).cast("int")).alias("latest_flag"),
+        F.char(F.max("code").over(order) % (1 << 21)).alias("latest_flag"),
     )
     nations = table(spark, folder, "nation").where(~F.col("n_name").like("%_20"))
     customers = attach(

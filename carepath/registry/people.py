@@ -57,9 +57,9 @@ counts AS (
   FROM open_orders GROUP BY 1, 2, 3
   UNION ALL SELECT 'Region', r_name, band, COUNT(*) FROM open_orders GROUP BY 1, 2, 3
   UNION ALL SELECT 'National', 'All', band, COUNT(*) FROM open_orders GROUP BY 1, 2, 3)
-SELECT "Org_Type", "Org_Name", "Category", "Variable", n, "Pop",
+SELECT "Org_Type", "Org_Name", 'Balance' AS "Category", "Variable", n, "Pop",
        n * CAST(100000 AS DOUBLE) / "Pop" AS "Rate"
-FROM counts JOIN pops USING ("Org_Type", "Org_Name", "Variable")
+FROM counts LEFT JOIN (SELECT * REPLACE (CAST("Pop" AS DOUBLE) AS "Pop") FROM pops) USING ("Org_Type", "Org_Name", "Variable")
 """,
 )
 def rate_per_100k(spark, folder):

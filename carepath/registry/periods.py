@@ -10,6 +10,7 @@ from ..functions.dates import (
     as_date,
     end_of_month,
     latest_month,
+    month_bounds,
     month_end,
     month_start,
     refresh_window,
@@ -27,14 +28,17 @@ from .base import NATION_MONTH_SQL, orders_per_nation_month, query, table
     "month_spine",
     """
 SELECT CAST(m AS DATE) AS "Month", COUNT(o_orderkey) AS n
-FROM generate_series(DATE '1994-07-01', DATE '2002-06-01', INTERVAL 1 MONTH) g(m)
+FROM (SELECT unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS m FROM (
+  SELECT date_trunc('month', MIN(o_orderdate)) AS a, date_trunc('month', MAX(o_orderdate)) AS b FROM orders)) g
 LEFT JOIN orders ON date_trunc('month', o_orderdate) = m
 GROUP BY 1
 """,
 )
 def month_spine_query(spark, folder):
-    spine = month_spine(spark, date(1994, 7, 1), 96)
-    return monthly_counts(table(spark, folder, "orders", "o_orderdate"), spine, "o_orderdate")
+    orders = table(spark, folder, "orders", "o_orderdate")
+    low, high = month_bounds(orders, "o_orderdate")
+    spine = month_spine(spark, low, (high.year - low.year) * 12 + high.month - low.month + 1)
+    return monthly_counts(orders, spine, "o_orderdate")
 
 
 @query(

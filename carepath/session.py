@@ -9,10 +9,6 @@ SETTINGS = {
     # Split a hot key of a join even where that costs another exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A side found small at run time was shuffled already. Turning its join into a
-    # broadcast would move the work into the tasks of the other side, which may be
-    # few; sides known to be small from their files are broadcast as usual.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "1MB",
     "spark.sql.session.timeZone": "UTC",
 }
 

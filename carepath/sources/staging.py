@@ -6,7 +6,6 @@ the lineage, survives lost executors, and later reads still prune columns.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +16,8 @@ SETTING = "spark.checkpoint.dir"
 def staging_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise ValueError(f"{SETTING} must name a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="carepath-"))
-    return context.getCheckpointDir()
+    # The warehouse is shared as well.
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -79,7 +79,7 @@ def reference(spark):
         "icd10_titles": literal_rows(
             spark,
             [
-                ("F03X", "F03", "Unspecified dementia", "V", "Mental disorders", None),
+                ("F03X", "F03", "Unspecified condition", "V", "Mental disorders", None),
                 ("R41X", "R41", None, "XVIII", "Symptoms", None),
             ],
             "Alt_Code string, Category_2_Code string, Category_2_Description string, "
@@ -103,7 +103,7 @@ LONG = (
 def diagnosis_rates(spark):
     from decimal import Decimal
 
-    est, reg = "DEMENTIA_ESTIMATE_65_PLUS", "DEMENTIA_REGISTER_65_PLUS"
+    est, reg = "CONDITION_ESTIMATE_65_PLUS", "CONDITION_REGISTER_65_PLUS"
 
     def both(kind, code, day, e, r):
         return [

@@ -72,7 +72,7 @@ def test_codes(spark):
     texts = ["||F000||X", "F0281", "f000", "F03", "G318", "F067", "F059", "", None]
     got = column(
         spark, "string", texts,
-        F.struct(flag_codes("x", codes.DEMENTIA_IN_SPELL), flag_codes("x", codes.MCI_IN_SPELL),
+        F.struct(flag_codes("x", codes.CONDITION_IN_SPELL), flag_codes("x", codes.MCI_IN_SPELL),
                  flag_codes("x", codes.DELIRIUM_IN_SPELL)),
     )
     assert [tuple(g) for g in got] == [
@@ -101,6 +101,8 @@ def test_display(spark):
     assert column(spark, "double", numbers, suppressed("x")) == ["*", "*", "7", "8", "12345678", "*", None]
     assert column(spark, "double", numbers, round_count("x")) == [0, 7, 7, 8, 12345678, -3, None]
     assert column(spark, "double", [7.25, None], display("x", 1)) == ["7.3", None]
+    plain = column(spark, "double", [7.0, 12345678.0, 0.5, 100.0, 10.25, -3.0, None], display("x", None))
+    assert plain == ["7", "12345678", "0.5", "100", "10.25", "-3", None]
     assert column(spark, "long", [6, 7], suppressed("x", threshold=5, mark="-")) == ["6", "7"]
 
 

@@ -44,16 +44,16 @@ def test_diagnosis_rate(spark):
     points = by(rates(tables), "Org Type", "Org Code", "Effective_Snapshot_Date")
     feb, mar, apr, may = d(2020, 2, 1), d(2020, 3, 1), d(2020, 4, 1), d(2020, 5, 1)
     alpha = points["Sub-ICB", "A1", feb]
-    assert (alpha["DEMENTIA_ESTIMATE_65_PLUS"], alpha["DEMENTIA_REGISTER_65_PLUS"]) == (200.0, 130.0)
-    assert alpha["DEMENTIA_RATE_65_PLUS"] == 0.65
+    assert (alpha["CONDITION_ESTIMATE_65_PLUS"], alpha["CONDITION_REGISTER_65_PLUS"]) == (200.0, 130.0)
+    assert alpha["CONDITION_RATE_65_PLUS"] == 0.65
     assert alpha["ICB Name"] == "ICB X" and alpha["Region Name"] is None
-    assert points["Sub-ICB", "A1", apr]["DEMENTIA_REGISTER_65_PLUS"] == 140.0
+    assert points["Sub-ICB", "A1", apr]["CONDITION_REGISTER_65_PLUS"] == 140.0
     icb = points["ICB", "X", feb]
-    assert (icb["DEMENTIA_ESTIMATE_65_PLUS"], icb["Org Name"]) == (300.0, "ICB X")
+    assert (icb["CONDITION_ESTIMATE_65_PLUS"], icb["Org Name"]) == (300.0, "ICB X")
     assert points["Region", "R1", feb]["ICB Name"] is None
     # National rows are the published ones, not the sum of the parts.
-    assert points["National", "England", feb]["DEMENTIA_ESTIMATE_65_PLUS"] == 1000.0
-    assert points["Sub-ICB", None, feb]["DEMENTIA_ESTIMATE_65_PLUS"] == 10.0
+    assert points["National", "England", feb]["CONDITION_ESTIMATE_65_PLUS"] == 1000.0
+    assert points["Sub-ICB", None, feb]["CONDITION_ESTIMATE_65_PLUS"] == 10.0
 
     chart = by(diagnosis_rate(tables), "Org Type", "Org Code", "Effective_Snapshot_Date")
     assert ("Sub-ICB", None, feb) not in chart
@@ -74,7 +74,7 @@ def test_diagnosis_rate(spark):
 def test_prescribing(spark):
     schema = (
         "Month timestamp_ntz, Type string, Code string, `Without Psychosis Diagnosis` double, "
-        "`With Psychosis Diagnosis` double, `Dementia Register` double"
+        "`With Psychosis Diagnosis` double, `Condition Register` double"
     )
     old = [
         (t(2022, 8, 1), "CCG", "OLD1", 10.0, 5.0, 100.0),
@@ -89,14 +89,14 @@ def test_prescribing(spark):
         "antipsychotic_old": literal_rows(spark, old, schema),
         "antipsychotic_new": literal_rows(spark, new, schema),
     }
-    chart = by(prescribing(tables), "Org Type", "Org Code", "Effective_Snapshot_Date")
+    chart = by(prescribing(tables, keep_unmatched=False), "Org Type", "Org Code", "Effective_Snapshot_Date")
     row = chart["Sub-ICB", "A1", d(2022, 8, 1)]
     assert (row["pbar"], row["pbar2"]) == (60 / 400, 18 / 400)
     assert (row["UCL2"], row["LCL2"]) == pytest.approx(limits(18 / 400, 200), rel=1e-12)
     assert row["Proportion_of_DEM_WITH_ANTI_PSY_AND_NO_PSY_DIAG"] == 0.15
     assert chart["National", "England", d(2022, 8, 1)]["pbar"] == 0.15
     assert not [k for k in chart if k[1] is None]
-    kept = [r for r in prescribing(tables, keep_unmatched=True).collect() if r["Org Code"] is None]
+    kept = [r for r in prescribing(tables).collect() if r["Org Code"] is None]
     assert {r["Org Type"] for r in kept} == {"Sub-ICB", "ICB", "Region"} and len(kept) == 3
     assert all(r["pbar"] == 2 / 11 and r["DEM_REGISTER"] is None for r in kept)
 
@@ -134,7 +134,7 @@ def test_admissions(spark):
     assert got[jan, "National", "England", "Admission Source", "Missing/invalid"][names[0]] == 10.0
     untitled = got[jan, "National", "England", "Primary Diagnosis", None]
     assert untitled[names[0]] == 10.0 and untitled["Primary Diagnosis Chapter"] == "XVIII: Symptoms"
-    titled = got[jan, "National", "England", "Primary Diagnosis", "F03: Unspecified dementia"]
+    titled = got[jan, "National", "England", "Primary Diagnosis", "F03: Unspecified condition"]
     assert titled["Primary Diagnosis Chapter"] == "V: Mental disorders"
     assert got[jan, "Provider", "P1", "Total", "Total"][names[0]] == 23.0  # P0 became P1
     assert got[jan, "Provider", "Other", "Total", "Total"][names[0]] == 2.0
@@ -204,7 +204,7 @@ def test_readmissions(spark):
     v = ["Readmissions30days", "Readmissions60days", "Readmissions90days"]
     england = {k[3]: [r[c] for c in v] for k, r in got.items() if k[1] == "National"}
     assert england["Emergency Admissions"] == [1, 2, 0]
-    assert england["Emergency Admissions - Dementia Diagnosis"] == [0, 1, 0]
+    assert england["Emergency Admissions - Condition Diagnosis"] == [0, 1, 0]
     assert england["Emergency Admissions - MCI Diagnosis"] == [0, 1, 0]
     assert england["Emergency Admissions - Delirium Diagnosis"] == [1, 0, 0]
     assert england["Emergency Admissions - 65+"] == [0, 2, 0]
