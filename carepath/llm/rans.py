@@ -178,8 +178,8 @@ def decode_ids(symbols: bytes, freq_bytes: bytes, blocks: list[dict]) -> np.ndar
 class _Writer:
     """Cuts one part's documents into segments."""
 
-    def __init__(self, part: int):
-        self.part, self.segment, self.before = part, 0, 0
+    def __init__(self, part: int, size: int):
+        self.part, self.size, self.segment, self.before = part, size, 0, 0
         self.ids: list[np.ndarray] = []
         self.docs: list[int | None] = []
         self.counts: list[int] = []
@@ -188,14 +188,14 @@ class _Writer:
     def add(self, doc: int | None, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
         at = 0
         while True:
-            piece = ids[at : at + SEGMENT - self.held]
-            if at == 0 and len(piece) < len(ids) and self.held and len(ids) <= SEGMENT:
+            piece = ids[at : at + self.size - self.held]
+            if at == 0 and len(piece) < len(ids) and self.held and len(ids) <= self.size:
                 yield self.flush(0)  # a document is only cut if it fits in no segment
                 continue
             self.ids.append(piece), self.docs.append(doc), self.counts.append(len(piece))
             self.held += len(piece)
             at += len(piece)
-            if self.held == SEGMENT:
+            if self.held == self.size:
                 yield self.flush(at if at < len(ids) else 0)
             if at == len(ids):
                 return
@@ -224,7 +224,8 @@ _ARROW = pa.schema(
 
 
 def write(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, end: int = END
+    docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, end: int = END,
+    segment: int = SEGMENT,
 ) -> None:
     """Encode all documents in ascending order of id and write them under path."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -232,7 +233,7 @@ def write(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        writer = _Writer(TaskContext.get().partitionId())
+        writer = _Writer(TaskContext.get().partitionId(), segment)
         for batch in batches:
             for i in range(0, batch.num_rows, 2048):
                 part = batch.slice(i, 2048)
