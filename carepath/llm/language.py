@@ -20,12 +20,13 @@ are not learned from. One language only is predicted with score 1.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ from .wordbytes import BLOCK, SPACE, blocks, mix, text_bytes
 
 BUCKETS = 1 << 15
 DIMENSIONS = 16
-GRAMS = (1, 2, 3, 4)
+GRAMS = (1, 2, 3)
 #: Labelled texts per language that are learned from and calibrated on.
 MAX_SAMPLE = 2_000
 MAX_LANGUAGES = 500
@@ -46,31 +47,59 @@ RATE = 0.5
 PRECISION = 0.99
 UNKNOWN = "und"
 
-LETTER = regex.compile(r"\p{L}")
-#: Anything between words: not a letter, mark or apostrophe.
-BETWEEN = regex.compile(r"[^\p{L}\p{M}']+")
-#: A subword is hashed over this many characters at most; longer words are hashed in parts.
-LONG = 64
-
-
-def subwords(word: str) -> np.ndarray:
-    """Buckets of the n-grams of a word."""
-    out = []
-    for at in range(0, len(word), LONG):
-        part = word[at : at + LONG]
-        codes = np.array([2, *map(ord, part), 3], np.uint64)
-        value = np.zeros(len(codes), np.uint64)
-        for n in range(1, GRAMS[-1] + 1):
-            value = mix(value[: len(codes) - n + 1] * np.uint64(0x9E3779B97F4A7C13) + codes[n - 1 :])
-            if n in GRAMS and len(value):
-                out.append(value)
-            if not len(value):
-                break
-    return (np.concatenate(out) % np.uint64(BUCKETS)).astype(np.int64) if out else np.zeros(0, np.int64)
-
-
-def text_words(text: str) -> list[str]:
-    return [w for w in BETWEEN.split(text.lower()) if w]
+BEGIN, STOP = 2, 3  # marks for the ends of a word
+_FACTOR = np.uint64(0x9E3779B97F4A7C13)
+
+
+@lru_cache(maxsize=1)
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point: is it a letter; does it belong to words (letters, marks, apostrophe)."""
+    kinds = [unicodedata.category(chr(c))[0] for c in range(0x110000)]
+    letter = np.array([k == "L" for k in kinds])
+    inner = letter | np.array([k == "M" for k in kinds])
+    inner[ord("'")] = True
+    return letter, inner
+
+
+def grams(texts: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """(buckets, index of the text) for every length of n-gram, texts ascending; letters per text."""
+    letter, inner = _classes()
+    joined = "\0".join(t.replace("\0", " ").lower() for t in texts)
+    codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+    owner = np.cumsum(codes == 0)
+    letters = np.bincount(owner[letter[codes]], minlength=len(texts))
+    solid = np.concatenate([[False], inner[codes], [False]])
+    edge = np.flatnonzero(solid[1:] != solid[:-1])
+    starts, stops = edge[::2], edge[1::2]
+    if not len(starts):
+        return [], letters
+    # All words in a row, each between its marks.
+    size = stops - starts + 2
+    begin = np.cumsum(size) - size
+    word = np.repeat(np.arange(len(starts)), size)
+    marked = np.full(begin[-1] + size[-1], STOP, np.uint64)
+    marked[begin] = BEGIN
+    inside = np.arange(len(marked)) - begin[word]
+    middle = (inside > 0) & (inside < size[word] - 1)
+    marked[middle] = codes[(starts[word] + inside - 1)[middle]]
+    owner = owner[starts][word]
+    out, value = [], np.zeros(len(marked), np.uint64)
+    for n in range(1, max(GRAMS) + 1):
+        m = len(marked) - n + 1
+        value = mix(value[:m] * _FACTOR + marked[n - 1 :])
+        if n in GRAMS:
+            at = np.flatnonzero(word[:m] == word[n - 1 :])
+            out.append(((value[at] % np.uint64(BUCKETS)).astype(np.int64), owner[at]))
+    return out, letters
+
+
+def summed(rows: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of each owner; owners ascending."""
+    out = np.zeros((n, rows.shape[1]))
+    if len(owner):
+        at = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        out[owner[at]] = np.add.reduceat(rows, at, axis=0)
+    return out
 
 
 @dataclass
@@ -92,16 +121,13 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def bags(texts: list[str]) -> list[np.ndarray]:
-    seen: dict[str, np.ndarray] = {}
-    out = []
-    for text in texts:
-        found = []
-        for w in text_words(text):
-            if w not in seen:
-                seen[w] = subwords(w)
-            found.append(seen[w])
-        out.append(np.concatenate(found) if found else np.zeros(0, np.int64))
-    return out
+    """Buckets of all n-grams of each text."""
+    parts, _ = grams(texts)
+    cuts = [np.searchsorted(owner, np.arange(len(texts) + 1)) for _, owner in parts]
+    return [
+        np.concatenate([np.zeros(0, np.int64), *(b[c[i] : c[i + 1]] for (b, _), c in zip(parts, cuts, strict=True))])
+        for i in range(len(texts))
+    ]
 
 
 def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
@@ -209,7 +235,7 @@ def windows_of(text):
 class _Scorer:
     """Summed logits and number of subwords of each distinct word, kept within a task."""
 
-    LIMIT = 200_000
+    LIMIT = 400_000
 
     def __init__(self, model: Model):
         self.model = model
@@ -246,18 +272,20 @@ class _Scorer:
         """Logits, subwords and letters (0 or 1) of chunks, which end at white space."""
         if len(self.number) > self.LIMIT:
             self.clear()
-        at, fresh = [], []
+        fresh = []
         for c in chunks:
             if c not in self.number:
                 self.number[c] = len(self.number)
-                found = [subwords(w) for w in text_words(c)]
-                rows = np.concatenate(found) if found else np.zeros(0, np.int64)
-                value = self.model.logits[rows].sum(axis=0)
-                fresh.append([*value, len(rows), float(LETTER.search(c) is not None)])
-            at.append(self.number[c])
+                fresh.append(c)
         if fresh:
-            self.table = np.vstack([self.table, fresh])
-        return self.table[at]
+            parts, letters = grams(fresh)
+            value = np.zeros((len(fresh), self.table.shape[1]))
+            for buckets, owner in parts:
+                value[:, :-2] += summed(self.model.logits[buckets], owner, len(fresh))
+                value[:, -2] += np.bincount(owner, minlength=len(fresh))
+            value[:, -1] = letters > 0
+            self.table = np.vstack([self.table, value])
+        return self.table[np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))]
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
