@@ -75,7 +75,7 @@ def test_cases():
     assert visible_text("<div>" * 5000 + "deep" + "</div>" * 5000 + "end").split() == ["deep", "end"]
     assert visible_text("<table><tr>" * 60 + "<td>deep").split() == ["deep"]
     assert visible_text("<p hidden>a<p style='visibility:hidden'>b<input type=hidden value=x>c</p>d") == "d"
-    assert visible_text("<" * 20_000 + "x" * 20_000).endswith("x")
+    assert visible_text("<" * 20_000 + "x" * 20_000) == "<" * 19_999
     assert visible_text("<select><option>a<option>b</select>") == "a\nb"
 
 
