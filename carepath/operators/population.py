@@ -20,16 +20,17 @@ def population(
 ) -> DataFrame:
     """Population of each group of one category at every organisation level."""
     banded = base.withColumn("__variable", variable)
-    total = F.sum(count)
     out = labelled_grouping_sets(
         banded,
         [],
         levels,
         [Category(category, "__variable")],
-        {"Pop": F.round(total, 0) if whole_numbers else total},
+        {"Pop": F.sum(count)},
         level="Org_Type",
+        additive=True,
     )
-    return out.withColumn("Pop", F.col("Pop").cast("double"))
+    total = F.col("Pop")
+    return out.withColumn("Pop", (F.round(total, 0) if whole_numbers else total).cast("double"))
 
 
 def rate(

@@ -71,7 +71,7 @@ def labelled_grouping_sets(
     or counts) they pass only once per category, at the finest geography, and the
     geographies are made from those sums.
     """
-    if additive and len(geographies) > 1 and len(categories) > 1:
+    if additive and len(geographies) > 1:
         places = [c for g in geographies for c in g.columns.values()]
         carried = [c for cat in categories for c in cat.carry]
         finest = category_sums(

@@ -25,6 +25,7 @@ from ..operators.events import first_row
 from ..operators.population import population, rate
 from ..operators.refdata import attach
 from ..operators.rollup import Geography
+from ..sources.staging import stage
 from ..sources.tables import Tables
 
 # Fixed value: the census day.
@@ -111,10 +112,16 @@ def _census_base(
 
 
 def population_table(
-    tables: Tables, day: date = CENSUS_DAY, assign: str = "all"
+    tables: Tables, day: date = CENSUS_DAY, assign: str = "all", staged: bool = False
 ) -> DataFrame:
-    """Population by age, gender and ethnicity for Sub-ICBs, ICBs and England."""
+    """Population by age, gender and ethnicity for Sub-ICBs, ICBs and England.
+
+    ``staged`` writes the look-up once where it is not a table already; all three
+    breakdowns read it.
+    """
     lookup, hierarchy = tables["area_lookup"], tables["commissioner_hierarchy"]
+    if staged:
+        lookup = stage(lookup, "area-lookup")
     on_day = F.col("Effective_Snapshot_Date").cast("date") == F.lit(day)
     area_type = F.lower("Geography_Type")
     age = (

@@ -27,6 +27,7 @@ from ..operators.events import earliest_latest, first_event, primary_secondary
 from ..operators.refdata import current, decode, era_key
 from ..operators.rollup import ALL, Category, Geography, labelled_grouping_sets
 from ..sources.publish import stamp
+from ..sources.staging import stage
 from ..sources.tables import Tables
 from .organisations import national, with_commissioner, with_provider
 
@@ -286,6 +287,14 @@ def referral_base(
     return base.distinct()
 
 
+def pathway_outputs(
+    tables: Tables, months: Window, run: datetime, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Waits and metrics from one base, which is built once and staged."""
+    base = stage(referral_base(tables, months, **options), "referral-base")
+    return wait_times(base, run), main_metrics(base, run)
+
+
 def wait_times(
     base: DataFrame,
     run: datetime,

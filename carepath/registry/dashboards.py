@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import Window, month_bounds
+from ..functions.dates import Window, month_bounds, refresh_window, shift_months
 from ..functions.disclosure import suppress
 from ..plans.admissions import COUNTS, admissions, admissions_counts
 from ..plans.diagnosis_rate import diagnosis_rate
@@ -215,6 +215,28 @@ def _readmissions_sql() -> str:
     return " UNION ALL ".join(selects)
 
 
+@query(
+    "admissions_refreshed",
+    f"""
+WITH {ACTIVITY_SQL}, counts AS ({_admissions_sql()}),
+latest AS (SELECT date_trunc('month', GREATEST(MAX(adm), MAX(dis))) AS top FROM stays)
+SELECT m AS "Month", t AS "GroupType", r AS "RegionCode", g AS "GeographyName", cat AS "Category",
+       var AS "Variable", chap AS "Primary Diagnosis Chapter",
+       {", ".join(
+           f'''CASE WHEN v{i} < 7 THEN '*' ELSE CAST(CAST(ROUND(v{i}) AS BIGINT) AS VARCHAR) END AS "{n}"'''
+           for i, n in enumerate(NAMES))},
+       TIMESTAMP '2024-06-01 09:00:00' AS "SnapshotDate"
+FROM counts, latest WHERE m BETWEEN top - INTERVAL 11 MONTH AND top
+""",
+)
+def admissions_refreshed(spark, folder):
+    """What a refresh inserts when all months but the newest are published."""
+    tables = activity_tables(spark, folder)
+    newest = window(tables).last
+    months = refresh_window(shift_months(newest.replace(day=1), -1)).insert
+    return admissions(tables, months, RUN, splits(spark))
+
+
 READMISSIONS_SQL = f"""
 WITH {ACTIVITY_SQL},
 months AS (

@@ -32,3 +32,34 @@ def test_scans_are_pruned_and_filtered(spark):
     plan = QUERIES["readmissions_monthly"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "StringStartsWith(o_orderpriority,2)" in plan
     assert "o_totalprice" not in plan
+
+
+def test_no_join_without_keys_when_nothing_is_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        for key, fn in QUERIES.items():
+            plan = fn(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+            assert not [node for node in FORBIDDEN if node in plan], key
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_first_and_last_rows_of_a_busy_entity(spark):
+    """A third of all rows belong to one entity; its first and last rows are still right."""
+    from pyspark.sql import functions as F
+
+    from carepath.operators.events import earliest_latest
+
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("who"),
+        F.when(F.col("id") % 1000 == 6, None).otherwise((F.col("id") * 7919) % 10_007).alias("day"),
+        F.col("id").alias("row"),
+    )
+    got = earliest_latest(rows, ["who"], ["row", "day"], first=[F.col("day")], last=[F.col("day")])
+    want = rows.groupBy("who").agg(F.min(F.struct("day", "row")).alias("a"), F.max(F.struct("day", "row")).alias("b"))
+    plain = want.select("who", "a.row", "a.day", "b.row", "b.day")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[who" in plan and "Window" not in plan
