@@ -18,29 +18,34 @@ from ..functions.codes import (
 )
 from ..functions.dates import Window, in_range, month_start
 from ..functions.disclosure import suppress
-from ..functions.groups import ICB, PROVIDER, REGION_SHORT_NAMES, SUB_ICB
+from ..functions.groups import ICB, MISSING, PROVIDER, REGION_SHORT_NAMES, SUB_ICB, TOTAL
 from ..functions.labels import code_title, recode
-from ..operators.refdata import attach, current, decode
-from ..operators.rollup import ALL, Category, Geography, category_sums, geography_sums
+from ..functions.labels import key as text_key
+from ..operators.refdata import current
+from ..operators.rollup import Geography, geography_sums
 from ..operators.weights import allocation_table, reallocate, split_rows
 from ..sources.publish import stamp
 from ..sources.staging import stage
-from ..sources.tables import Tables
+from ..sources.tables import Tables, era_union
 from .organisations import national, reporting_commissioners, with_commissioner, with_provider
 
 # Ordinary, day case, mother and baby.
 PATIENT_CLASSES = ["1", "2", "5"]
 
 CHAPTER = "Primary Diagnosis Chapter"
-ADMISSION_CATEGORIES = [
-    ALL,
-    Category("Gender", "Gender"),
-    Category("Ethnicity", "Ethnicity"),
-    Category("Admission Source", "Admission_Source"),
-    Category("Primary Diagnosis", "Primary Diagnosis", (CHAPTER,)),
-]
-DISCHARGE_CATEGORIES = [Category("Discharge Destination", "Discharge_Destination")]
-STAY_CATEGORIES = [Category("Length of Stay", "LengthOfStay")]
+DIAGNOSIS = "Primary Diagnosis"
+DESTINATION = "Discharge Destination"
+# Category of an episode and the column with its code.
+EPISODE_CODES = {
+    TOTAL: None,
+    "Gender": "Sex",
+    "Ethnicity": "Ethnic_Group",
+    "Admission Source": "Source_of_Admission",
+    DIAGNOSIS: "Der_Primary_Diagnosis_Code",
+    DESTINATION: "Discharge_Destination",
+}
+# What records are summed by, before codes are described.
+CODES = ["Month", "Der_Commissioner_Code", "Der_Provider_Code", "Category", "Variable"]
 
 WIDE = [
     Geography(
@@ -112,70 +117,115 @@ def with_organisations(df: DataFrame, tables: Tables) -> DataFrame:
     )
 
 
-def episode_base(tables: Tables, window: Window) -> DataFrame:
-    """First episodes of emergency admissions admitted or discharged in the window."""
+def _summed(records: DataFrame) -> DataFrame:
+    """Counts per month, raw organisation codes, category and raw value of the category."""
+    return records.groupBy(*CODES).agg(
+        *[(F.sum(f) if f else F.count("*")).cast("double").alias(n) for n, f in COUNTS.items()]
+    )
+
+
+def episode_sums(tables: Tables, window: Window) -> DataFrame:
+    """First episodes of emergency admissions, summed in one pass over the records.
+
+    Every episode gives one row per category, in the month of admission or, for the
+    destination, of discharge; months outside the window give none.
+    """
     admitted = in_range("Admission_Date", *window)
     discharged = in_range("Discharge_Date", *window)
-    df = (
+    in_month = F.when(admitted, month_start("Admission_Date"))
+    out_month = F.when(discharged, month_start("Discharge_Date"))
+    rows = F.array(
+        *[
+            F.struct(
+                (out_month if category == DESTINATION else in_month).alias("Month"),
+                F.lit(category).alias("Category"),
+                (F.col(code).cast("string") if code else F.lit(TOTAL)).alias("Variable"),
+            )
+            for category, code in EPISODE_CODES.items()
+        ]
+    )
+    flags = diagnosis_flags("Der_Diagnosis_All", "Age_on_Admission")
+    return _summed(
         tables["episode"]
         .where(admitted | discharged)
         .where(F.col("Episode_Number") == 1)
         .where(is_emergency("Admission_Method"))
         .where(F.col("Patient_Classification").isin(PATIENT_CLASSES))
         .select(
-            "Der_Commissioner_Code", "Der_Provider_Code", "Sex", "Ethnic_Group",
-            "Source_of_Admission", F.col("Discharge_Destination").alias("__destination"),
-            "Der_Primary_Diagnosis_Code",
-            month_start("Admission_Date").alias("Admission_Month"),
-            month_start("Discharge_Date").alias("Discharge_Month"),
-            flag(admitted).alias("Der_Admission"),
-            flag(discharged).alias("Der_Discharge"),
-            *[c.alias(n) for n, c in diagnosis_flags("Der_Diagnosis_All", "Age_on_Admission").items()],
+            "Der_Commissioner_Code", "Der_Provider_Code",
+            *[c.alias(n) for n, c in flags.items()],
+            F.inline(rows),
         )
+        .where(F.col("Month").isNotNull())
     )
-    df = decode(df, "Sex", current(tables["gender"]), "Gender", collated=True)
-    df = decode(df, "Ethnic_Group", current(tables["ethnicity"]), "Ethnicity", collated=True)
-    df = decode(
-        df,
-        "Source_of_Admission",
-        current(tables["admission_source"], end=["Effective_To", "Valid_From"]),
-        "Admission_Source",
-        collated=True,
-    )
-    df = decode(
-        df, "__destination", current(tables["discharge_destination"]), "Discharge_Destination",
-        collated=True,
-    )
-    titles = current(tables["icd10_titles"]).select(
-        "Alt_Code",
-        code_title("Category_2_Code", "Category_2_Description").alias("diagnosis"),
-        code_title("Chapter_Code", "Chapter_Description").alias("chapter"),
-    )
-    df = attach(
-        df, "Der_Primary_Diagnosis_Code", titles, "Alt_Code",
-        {"Primary Diagnosis": "diagnosis", CHAPTER: "chapter"}, collated=True,
-    )
-    return with_organisations(df, tables)
 
 
-def spell_base(tables: Tables, window: Window) -> DataFrame:
-    """Emergency spells admitted in the window, with their length-of-stay band."""
-    df = (
+def spell_sums(tables: Tables, window: Window) -> DataFrame:
+    """Emergency spells admitted in the window, summed by length-of-stay band."""
+    flags = diagnosis_flags("Der_Diagnosis_All", "Age_At_Start_of_Spell_SUS")
+    return _summed(
         tables["spell"]
         .where(in_range("Admission_Date", *window))
         .where(is_emergency("Admission_Method"))
         .where(F.col("Patient_Classification").isin(PATIENT_CLASSES))
         .select(
             "Der_Commissioner_Code", "Der_Provider_Code",
-            month_start("Admission_Date").alias("Admission_Month"),
-            band_label("Der_Spell_LoS", STAY_BANDS).alias("LengthOfStay"),
-            *[
-                c.alias(n)
-                for n, c in diagnosis_flags("Der_Diagnosis_All", "Age_At_Start_of_Spell_SUS").items()
-            ],
+            *[c.alias(n) for n, c in flags.items()],
+            month_start("Admission_Date").alias("Month"),
+            F.lit("Length of Stay").alias("Category"),
+            band_label("Der_Spell_LoS", STAY_BANDS).alias("Variable"),
         )
     )
-    return with_organisations(df, tables)
+
+
+def category_labels(tables: Tables) -> DataFrame:
+    """Descriptions of all category codes: __category, __code, __label, __chapter."""
+    no_chapter = F.lit(None).cast("string")
+    parts = [
+        current(tables[name], **({"end": end} if end else {})).select(
+            F.lit(category).alias("__category"),
+            text_key(F.col("Main_Code_Text")).alias("__code"),
+            F.col("Main_Description").alias("__label"),
+            no_chapter.alias("__chapter"),
+        )
+        for category, name, end in (
+            ("Gender", "gender", None),
+            ("Ethnicity", "ethnicity", None),
+            ("Admission Source", "admission_source", ["Effective_To", "Valid_From"]),
+            (DESTINATION, "discharge_destination", None),
+        )
+    ]
+    parts.append(
+        current(tables["icd10_titles"]).select(
+            F.lit(DIAGNOSIS).alias("__category"),
+            text_key(F.col("Alt_Code")).alias("__code"),
+            code_title("Category_2_Code", "Category_2_Description").alias("__label"),
+            code_title("Chapter_Code", "Chapter_Description").alias("__chapter"),
+        )
+    )
+    return era_union(*parts)
+
+
+def described(sums: DataFrame, tables: Tables) -> DataFrame:
+    """Sums with the descriptions of their codes and present organisations.
+
+    A reference key that repeats multiplies sums just as it would have multiplied records.
+    """
+    category = F.col("Category")
+    joined = sums.join(
+        category_labels(tables),
+        (category == F.col("__category")) & (text_key(F.col("Variable")) == F.col("__code")),
+        "left",
+    )
+    label = (
+        F.when(category.isin(TOTAL, "Length of Stay"), F.col("Variable"))
+        .when(category == DIAGNOSIS, F.col("__label"))
+        .otherwise(F.coalesce("__label", F.lit(MISSING)))
+    )
+    named = joined.withColumns({"Variable": label, CHAPTER: F.col("__chapter")}).drop(
+        "__category", "__code", "__label", "__chapter"
+    )
+    return with_organisations(named, tables)
 
 
 def sub_icb_allocation(sub_icbs: DataFrame, splits: DataFrame | None = None) -> DataFrame:
@@ -190,59 +240,34 @@ def sub_icb_allocation(sub_icbs: DataFrame, splits: DataFrame | None = None) ->
         "Region_Code",
         recode("Region_Name", REGION_SHORT_NAMES).alias("Region_Name"),
     )
-    return allocation_table(present, splits or split_rows(sub_icbs.sparkSession))
+    return allocation_table(present, split_rows(sub_icbs.sparkSession) if splits is None else splits)
 
 
-def _breakdown(
-    base: DataFrame, month: str, categories: list[Category], allocation: DataFrame
+def admissions_counts(
+    tables: Tables, window: Window, splits: DataFrame | None = None, staged: bool = False
 ) -> DataFrame:
-    """Counts at all levels from one pass over the records.
+    """Unsuppressed counts; discharge rows are by month of discharge, others of admission.
 
-    Records are summed by hospital and Sub-ICB code; both the wide levels and the
-    shared-out Sub-ICBs are made from those sums.
+    Records are summed by raw codes before any reference table is joined. The wide levels and
+    the shared-out Sub-ICBs are both made from the described sums.
     """
-    names = list(COUNTS)
-    carried = [c for cat in categories for c in cat.carry]
-    labels = ["Month", "Category", "Variable", *carried]
-    code = "Sub ICB Code"
-    finest = category_sums(
-        base.withColumnRenamed(month, "Month"),
-        ["Month", *WIDE[0].columns.values(), code],
-        categories,
-        {
-            name: (F.sum(summed) if summed else F.count("*")).cast("double")
-            for name, summed in COUNTS.items()
-        },
+    names, code = list(COUNTS), "Sub ICB Code"
+    labels = ["Month", "Category", "Variable", CHAPTER]
+    sums = episode_sums(tables, window).unionByName(spell_sums(tables, window))
+    finest = (
+        described(sums, tables)
+        .groupBy(*labels, *[F.col(f"`{c}`") for c in WIDE[0].columns.values()], code)
+        .agg(*[F.sum(n).alias(n) for n in names])
     )
+    if staged:
+        finest = stage(finest, "admission-sums")
     wide = geography_sums(finest, labels, WIDE, names, "GroupType")
     by_code = finest.groupBy(*labels, code).agg(*[F.sum(n).alias(n) for n in names])
+    allocation = sub_icb_allocation(tables["subicb_2026"], splits)
     local = geography_sums(
         reallocate(by_code, code, allocation, names), labels, LOCAL, names, "GroupType"
     )
-    out = wide.unionByName(local)
-    return out if carried else out.withColumn(CHAPTER, F.lit(None).cast("string"))
-
-
-def admissions_counts(
-    tables: Tables, window: Window, splits: DataFrame | None = None, staged: bool = False
-) -> DataFrame:
-    """Unsuppressed counts; discharge rows are by month of discharge, others of admission."""
-    episodes, spells = episode_base(tables, window), spell_base(tables, window)
-    if staged:
-        episodes, spells = stage(episodes, "episodes"), stage(spells, "spells")
-    allocation = sub_icb_allocation(tables["subicb_2026"], splits)
-    return (
-        _breakdown(
-            episodes.where("Der_Admission = 1"), "Admission_Month", ADMISSION_CATEGORIES, allocation
-        )
-        .unionByName(
-            _breakdown(
-                episodes.where("Der_Discharge = 1"), "Discharge_Month", DISCHARGE_CATEGORIES,
-                allocation,
-            )
-        )
-        .unionByName(_breakdown(spells, "Admission_Month", STAY_CATEGORIES, allocation))
-    )
+    return wide.unionByName(local)
 
 
 def admissions(

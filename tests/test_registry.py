@@ -63,3 +63,19 @@ def test_first_and_last_rows_of_a_busy_entity(spark):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate(keys=[who" in plan and "Window" not in plan
+
+
+def test_admissions_are_summed_before_reference_joins(spark):
+    from datetime import date
+
+    from carepath.functions.dates import Window
+    from carepath.plans.admissions import episode_sums, spell_sums
+    from carepath.registry.domain import activity_tables
+
+    tables = activity_tables(spark, FOLDER)
+    for sums in (episode_sums, spell_sums):
+        df = sums(tables, Window(date(1996, 1, 1), date(1997, 12, 31)))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # The one join derives the stays from orders and customers.
+        assert plan.count("FileScan parquet") == 2 and plan.count("Join ") == 1
+        assert "SortAggregate" not in plan
