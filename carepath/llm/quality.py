@@ -99,18 +99,19 @@ def with_counts(docs: DataFrame, text: str, names: dict[str, str]) -> DataFrame:
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
     rate = lambda part, whole: F.col(n[part]) / F.greatest(F.col(n[whole]), F.lit(1))
     out = docs.withColumns({n["words"]: words(F.col(text)), n["lines"]: lines})
-    out = out.withColumns(
-        {
-            n["n_words"]: F.size(n["words"]).cast("long"),
-            n["word_chars"]: F.char_length(F.array_join(n["words"], "")).cast("long"),
-            n["n_symbols"]: (F.char_length(body) - without(body, r"[#*$%&|<>]+")).cast("long"),
-            n["n_capitals"]: (F.char_length(body) - without(body, r"\p{Lu}+")).cast("long"),
-            n["n_marks"]: (F.char_length(body) - without(body, "[!?]+")).cast("long"),
-            n["n_lines"]: F.size(n["lines"]),
-            n["n_dup_lines"]: (F.size(n["lines"]) - F.size(F.array_distinct(n["lines"]))).cast("long"),
-            n["n_repeat_words"]: repeated_words(F.col(n["words"])).cast("long"),
-        }
-    )
+    counted = {
+        "n_words": F.size(n["words"]),
+        "word_chars": F.char_length(F.array_join(n["words"], "")),
+        "n_symbols": F.char_length(body) - without(body, r"[#*$%&|<>]+"),
+        "n_capitals": F.char_length(body) - without(body, r"\p{Lu}+"),
+        "n_marks": F.char_length(body) - without(body, "[!?]+"),
+        "n_lines": F.size(n["lines"]),
+        "n_dup_lines": F.size(n["lines"]) - F.size(F.array_distinct(n["lines"])),
+        "n_repeat_words": repeated_words(F.col(n["words"])),
+    }
+    # As the rows of a generator, counts are computed once, however often filters name them.
+    row = F.struct(*[c.cast("long").alias(n[k]) for k, c in counted.items()])
+    out = out.select("*", F.inline(F.array(row)))
     return out.withColumns(
         {
             n["base_failed"]: (F.col(n["n_words"]) < 10)
