@@ -170,7 +170,7 @@ class Encoder:
         """Number of ids of each chunk."""
         self.room()
         n = self.numbered(chunks)
-        return self.count[n]
+        return self.count[n] if len(n) else np.zeros(0, np.int64)
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a column of texts in a row, and the len(texts) + 1 indexes where each begins."""

@@ -43,8 +43,10 @@ class Tree:
         self.sums = np.zeros((2 * self.width, 2), np.int64)
         self.sums[self.width : self.width + len(chars), 0] = chars
         self.sums[self.width : self.width + len(chars), 1] = ids
-        for node in range(self.width - 1, 0, -1):
-            self.sums[node] = self.sums[2 * node] + self.sums[2 * node + 1]
+        low = self.width
+        while low > 1:  # level by level
+            self.sums[low // 2 : low] = self.sums[low : 2 * low : 2] + self.sums[low + 1 : 2 * low : 2]
+            low //= 2
 
     @classmethod
     def of_chunks(cls, chars: np.ndarray, ids: np.ndarray) -> Tree:
@@ -56,8 +58,9 @@ class Tree:
     @classmethod
     def load(cls, data: bytes) -> Tree:
         tree = cls.__new__(cls)
-        tree.leaves, *sums = np.frombuffer(data, "<i8").tolist()
-        tree.sums = np.array(sums, np.int64).reshape(-1, 2)
+        numbers = np.frombuffer(data, "<i8")
+        tree.leaves = int(numbers[0])
+        tree.sums = numbers[1:].reshape(-1, 2).copy()
         tree.width = len(tree.sums) // 2
         return tree
 
@@ -86,35 +89,54 @@ class Tree:
             node //= 2
 
 
-def edited(text: str, tree: Tree, edits: list[dict | None], enc: Encoder) -> tuple[str, Tree, int]:
-    """The edited text, its tree, and how many characters were encoded anew."""
-    anew = 0
-    for e in edits:
-        if e is None:
-            continue
+class Document:
+    """A text and its tree while edits are made."""
+
+    def __init__(self, text: str, tree: Tree):
+        self.text, self.tree, self.anew = text, tree, 0
+
+    def change(self, e: dict) -> list[str]:
+        """Put an edit into the text; the chunks that have to be encoded for settle()."""
+        text, tree = self.text, self.tree
         start = len(text) if e["start"] is None else min(max(e["start"], 0), len(text))
         stop = min(start + max(e["length"] or 0, 0), len(text))
         new = e["text"] or ""
-        first, begin = tree.find(max(start - 1, 0))  # the leaf before, if the edit is at an edge
-        last, end = tree.find(min(stop + 1, len(text)))
-        end += int(tree.sums[last + tree.width, 0])
+        self.first, begin = tree.find(max(start - 1, 0))  # the leaf before, if the edit is at an edge
+        self.last, end = tree.find(min(stop + 1, len(text)))
+        end += int(tree.sums[self.last + tree.width, 0])
         region = text[begin:start] + new + text[stop:end]
-        text = text[:start] + new + text[stop:]
+        self.text = text[:start] + new + text[stop:]
         cuts = [0, *(m.start() for m in CUT.finditer(region)), len(region)]
-        chunks = [region[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
-        counts = enc.counts(chunks) if chunks else np.zeros(0, np.int64)
-        anew += len(region)
-        if len(chunks) <= 4 * LEAF * (last - first + 1):
+        self.chunks = [region[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
+        self.anew += len(region)
+        return self.chunks
+
+    def settle(self, counts: np.ndarray) -> None:
+        """Bring the tree up to date with the ids of the changed chunks."""
+        tree, first, last = self.tree, self.first, self.last
+        chars = np.array([len(c) for c in self.chunks], np.int64)
+        if len(chars) <= 4 * LEAF * (last - first + 1):
             for leaf in range(first + 1, last + 1):
                 tree.put(leaf, 0, 0)
-            tree.put(first, len(region), int(counts.sum()))
+            tree.put(first, int(chars.sum()), int(counts.sum()))
         else:  # much text came in: new leaves for it, the sums of the others are kept
             old = tree.sums[tree.width : tree.width + tree.leaves]
-            at = np.arange(0, len(chunks), LEAF)
-            fresh = np.stack([np.add.reduceat(np.array([len(c) for c in chunks]), at), np.add.reduceat(counts, at)], axis=1)
+            at = np.arange(0, len(chars), LEAF)
+            fresh = np.stack([np.add.reduceat(chars, at), np.add.reduceat(counts, at)], axis=1)
             rows = np.concatenate([old[:first], fresh, old[last + 1 :]])
-            tree = Tree(rows[:, 0], rows[:, 1])
-    return text, tree, anew
+            self.tree = Tree(rows[:, 0], rows[:, 1])
+
+
+def edit_all(documents: list[Document], edits: list[list[dict | None]], enc: Encoder) -> None:
+    """Edits of many documents, the first ones of all encoded together, then the second ones."""
+    queues = [[e for e in own if e is not None] for own in edits]
+    for k in range(max(map(len, queues), default=0)):
+        busy = [d for d, own in zip(documents, queues, strict=True) if k < len(own)]
+        chunks = [d.change(own[k]) for d, own in zip(documents, queues, strict=True) if k < len(own)]
+        counts = enc.counts([c for own in chunks for c in own])
+        at = np.append(0, np.cumsum([len(own) for own in chunks]))
+        for d, i, j in zip(busy, at[:-1], at[1:], strict=True):
+            d.settle(counts[i:j])
 
 
 def count(docs: DataFrame, id_col: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
@@ -149,16 +171,20 @@ def recount(counted: DataFrame, edits: str, text: str = "text", tokenizer: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in batches:
-            texts, totals, trees, anew = [], [], [], []
-            columns = (batch.column(at[c]) for c in (text, "tree", edits))
-            for t, tree, changes in zip(*columns, strict=True):
-                old = t.as_py()
-                new, tree, n = edited(old or "", Tree.load(tree.as_py()), changes.as_py() or [], enc)
-                texts.append(new if new or old is not None else None)
-                totals.append(tree.total), trees.append(tree.dump()), anew.append(n)
-            fresh = {text: pa.array(texts, pa.string()), "n_tokens": pa.array(totals, pa.int64()), "tree": pa.array(trees, pa.binary())}
-            arrays = [fresh.get(c, batch.column(i)) for i, c in keep]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(anew, pa.int64())], [*names, "reencoded_chars"])
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                old = part.column(at[text]).to_pylist()
+                trees = map(Tree.load, part.column(at["tree"]).to_pylist())
+                made = [Document(t or "", tree) for t, tree in zip(old, trees, strict=True)]
+                edit_all(made, [e or [] for e in part.column(at[edits]).to_pylist()], enc)
+                fresh = {
+                    text: pa.array([d.text if d.text or t is not None else None for d, t in zip(made, old, strict=True)], pa.string()),
+                    "n_tokens": pa.array([d.tree.total for d in made], pa.int64()),
+                    "tree": pa.array([d.tree.dump() for d in made], pa.binary()),
+                }
+                arrays = [fresh.get(c, part.column(k)) for k, c in keep]
+                anew = pa.array([d.anew for d in made], pa.int64())
+                yield pa.RecordBatch.from_arrays([*arrays, anew], [*names, "reencoded_chars"])
 
     return counted.mapInArrow(run, f"{fields}, reencoded_chars long")
 

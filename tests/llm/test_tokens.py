@@ -177,14 +177,16 @@ def test_edited_counts_against_full_ones():
         for _ in range(5):
             e = {"start": rng.choice([None, 0, rng.randint(-2, len(text) + 3)]), "length": rng.choice([None, 0, 1, rng.randint(0, 50)]),
                  "text": rng.choice([None, "", " ", "x", some(rng.choice([3, 40, 1500]))])}
-            after, tree, anew = edits.edited(text, tree, [None, e], enc)
-            assert after == apply(text, [e])
-            text = after
+            doc = edits.Document(text, tree)
+            edits.edit_all([doc, edits.Document("", edits.Tree.of_chunks(chars[:0], ids[:0]))], [[None, e], []], enc)
+            assert doc.text == apply(text, [e])
+            text, tree = doc.text, doc.tree
             assert (tree.total, tree.sums[1, 0]) == (len(want(text)), len(text)), e
     text = "word " * 20_000
     chars, ids = next(iter(enc.sizes(pa.array([text]))))
-    _, tree, anew = edits.edited(text, edits.Tree.of_chunks(chars, ids), [{"start": 50_001, "length": 3, "text": "x y"}], enc)
-    assert anew < 400  # of 100,000 characters
+    doc = edits.Document(text, edits.Tree.of_chunks(chars, ids))
+    edits.edit_all([doc], [[{"start": 50_001, "length": 3, "text": "x y"}]], enc)
+    assert doc.anew < 400  # of 100,000 characters
 
 
 def test_edit_tables(spark):
