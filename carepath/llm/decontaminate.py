@@ -141,6 +141,36 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__hit")), "left_anti")
 
 
-@query("op3_decontaminate")
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           regexp_replace(lower(coalesce(text, '')), '[\p{P}\p{S}]+', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(
+           regexp_replace(lower(coalesce(text, '')), '[\p{P}\p{S}]+', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+bw AS (SELECT item_id, least(13, len(w)) AS width, unnest(w) AS word, unnest(range(len(w))) AS q FROM b WHERE len(w) >= 5),
+same AS (
+  SELECT doc_id, item_id, width, p - q AS shift, q FROM dw JOIN bw USING (word)),
+placed AS (
+  SELECT doc_id, item_id, width, count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY q
+           RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS n
+  FROM same),
+hits AS (
+  SELECT doc_id, item_id, max(n) AS matched FROM placed WHERE 10 * n >= 8 * width GROUP BY doc_id, item_id),
+per_doc AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS item_ids,
+         max(matched) AS matched
+  FROM hits GROUP BY doc_id)
+SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items,
+       coalesce(item_ids, '') AS item_ids, coalesce(matched, 0) AS matched
+FROM d LEFT JOIN per_doc USING (doc_id)
+"""
+
+
+@query("op3_decontaminate", SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    return report(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark"))
+    found = report(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "benchmark"))
+    return found.withColumn("item_ids", F.array_join("item_ids", ","))

@@ -299,7 +299,61 @@ def keep_good(
     return joined.where(~F.col(n["base_failed"]) & ~rejected(n)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-@query("op10_quality_rules")
+def _sql(risk: float = 0.02, error: float = 0.05, price: float = 5.0) -> str:
+    """The same in SQL: words by text, tails by the logarithm of the gamma function."""
+    n, share = len(RULES), risk / len(RULES)
+    rules = " UNION ALL ".join(f"SELECT doc_id, stratum, '{r}' AS rule, {r} AS v FROM rated WHERE NOT base_failed" for r in RULES)
+    cutoffs = ", ".join(f"({k}, CAST({c} AS DOUBLE))" for k, c in enumerate(CUTOFFS))
+    over = " OR ".join(f"coalesce({r} > max(cutoff) FILTER (WHERE rule = '{r}'), false)" for r in RULES)
+    return rf"""
+WITH w AS (
+  SELECT doc_id, lang AS stratum, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5),
+wins AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS win FROM starts),
+twice AS (SELECT doc_id, i FROM wins QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+cover AS (SELECT doc_id, count(DISTINCT p) AS c FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         length(t) - length(regexp_replace(t, '\p{{Lu}}+', '', 'g')) AS n_capitals,
+         length(t) - length(regexp_replace(t, '[!?]+', '', 'g')) AS n_marks,
+         len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(c, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN cover USING (doc_id)),
+rated AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         n_symbols / greatest(word_chars, 1) AS symbol_rate, n_repeat_words / greatest(n_words, 1) AS repeat_rate,
+         n_dup_lines / greatest(n_lines, 1) AS dup_line_rate, n_capitals / greatest(word_chars, 1) AS capital_rate,
+         n_marks / greatest(word_chars, 1) AS mark_rate
+  FROM counted),
+known AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+labelled AS (SELECT stratum, rule, v, good FROM ({rules}) JOIN known USING (doc_id)),
+cutoffs(k, cutoff) AS (VALUES {cutoffs}),
+tried AS (
+  SELECT stratum, rule, k, cutoff, count(*) FILTER (WHERE good) AS n_good,
+         count(*) FILTER (WHERE good AND v > cutoff) AS hit_good, count(*) FILTER (WHERE NOT good AND v > cutoff) AS hit_bad,
+         (SELECT count(DISTINCT coalesce('=' || stratum, '')) FROM labelled) AS n_strata
+  FROM labelled, cutoffs GROUP BY stratum, rule, k, cutoff),
+tested AS (
+  SELECT *, hit_good < {share} * n_good AND list_sum(list_transform(range(hit_good + 1), lambda i: exp(
+             lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({share}) + (n_good - i) * ln(1 - {share}))))
+           <= {error} / ({n} * n_strata) AS passes
+  FROM tried),
+certified AS (
+  SELECT *, bool_and(passes) OVER (PARTITION BY stratum, rule ORDER BY k) AS sure, hit_bad - {price} * hit_good AS gain FROM tested),
+chosen AS (
+  SELECT stratum, rule, cutoff FROM certified WHERE sure AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, k) = 1)
+SELECT doc_id, {", ".join(COUNTS)}, base_failed, NOT base_failed AND NOT ({over}) AS kept, {", ".join(RULES)}
+FROM rated LEFT JOIN chosen ON rated.stratum IS NOT DISTINCT FROM chosen.stratum
+GROUP BY doc_id, {", ".join(COUNTS)}, base_failed, {", ".join(RULES)}
+"""
+
+
+@query("op10_quality_rules", _sql())
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     measured = stage(features(table(spark, folder, "documents", "doc_id", "text", "lang")), "quality-features")
     labels = table(spark, folder, "labels", "doc_id", "quality")

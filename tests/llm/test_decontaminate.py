@@ -4,7 +4,9 @@ import random
 import regex
 from plain import FOLDER, rows, words
 
-from carepath.llm import QUERIES, decontaminate
+from oracle import compare, connect
+
+from carepath.llm import ORACLES, QUERIES, decontaminate
 
 
 def codes(text):
@@ -86,6 +88,7 @@ def test_query(spark):
     assert not [x for x in ("Python", "Pandas", "InArrow", "NestedLoop", "Cartesian") if x in plan]
     docs, items = rows("documents", "doc_id, text"), rows("benchmark", "item_id, text")
     grams = {tuple(b[k : k + 11]) for _, t in items for b in [codes(t)] for k in range(len(b) - 10)}
+    assert compare(got, connect(FOLDER), ORACLES["op3_decontaminate"]) == []
     found = {r.doc_id: r.contaminated for r in got.collect()}
     assert len(found) == len(docs)
     for d, t in docs:

@@ -4,7 +4,9 @@ import pytest
 from plain import FOLDER, repeat_words, rows, words
 from pyspark.sql import functions as F
 
-from carepath.llm import QUERIES, quality
+from oracle import compare, connect
+
+from carepath.llm import ORACLES, QUERIES, quality
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -37,6 +39,7 @@ def test_query_has_one_row_per_document(spark):
     found = QUERIES["op10_quality_rules"](spark, FOLDER).collect()
     assert sorted(r.doc_id for r in found) == sorted(d for (d,) in rows("documents", "doc_id"))
     assert not [r for r in found if r.base_failed and r.kept]
+    assert compare(QUERIES["op10_quality_rules"](spark, FOLDER), connect(FOLDER), ORACLES["op10_quality_rules"]) == []
 
 
 def binomial(k, n, p):
