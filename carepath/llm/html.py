@@ -13,7 +13,7 @@ and an indent per level; table cells, also spanning ones, stand under each other
 to at most PAD characters. All text that is visible is emitted, navigation and footers too.
 
 Cases: NULL stays NULL, an empty page gives an empty text. Stray ``<`` and end tags without a
-start are text and nothing, respectively. Elements deeper than DEPTH levels keep their text at
+start are text and nothing, respectively. Attribute values may be of any length. Elements deeper than DEPTH levels keep their text at
 that level; tables deeper than TABLES levels are laid out as blocks. Repeated pages get their row each.
 """
 
@@ -37,10 +37,12 @@ DEPTH = 512
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]{0,8192}\"|'[^']{0,8192}'|[\"'])*?)(?:>|$)",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)",
     re.S,
 )
-ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Name of an attribute, and whether a value follows.
+NAME = re.compile(r"[\s/]*(=?[^\s/>=]*)\s*(?:(=)\s*)?")
+VALUE = re.compile(r"[^\s>]*")
 BLANK = re.compile(r"[ \t\n\r\f\v]+")
 INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 
@@ -86,17 +88,35 @@ class Node:
         self.children: list[Node | str] = []
 
 
-def attributes(text: str) -> dict[str, str]:
+def attributes(page: str, at: int, last: dict[str, int]) -> tuple[dict[str, str], int]:
+    """Attributes of the tag whose name ends at at, and where the tag ends.
+
+    A quote opens a value only after an equals sign; one that is never closed is passed over.
+    last: the last place of each quote in the page, so that no search for it is in vain.
+    """
     found: dict[str, str] = {}
-    for m in ATTR.finditer(text):
-        found.setdefault(m[1].lower(), entities.unescape(m[2] or m[3] or m[4] or ""))
-    return found
+    while at < len(page) and page[at] != ">":
+        m = NAME.match(page, at)
+        at, value = m.end(), ""
+        if m[2]:
+            quote = page[at : at + 1]
+            if quote in ('"', "'") and at < last[quote]:
+                stop = page.index(quote, at + 1)
+                value, at = page[at + 1 : stop], stop + 1
+            else:
+                v = VALUE.match(page, at + (quote in ('"', "'")))
+                value, at = v[0], v.end()
+        name = m[1].strip("\"'").lower()
+        if name:
+            found.setdefault(name, entities.unescape(value))
+    return found, at + 1
 
 
 def parse(page: str) -> Node:
     root = Node("#root", {})
     stack = [root]
     at = 0
+    last = {q: page.rfind(q) for q in ('"', "'")}
 
     def close(tags: set[str], barrier: set[str]) -> None:
         """End the outermost open element of tags above the innermost barrier."""
@@ -125,6 +145,7 @@ def parse(page: str) -> Node:
         if not m["tag"]:
             continue
         tag = m["tag"].lower()
+        attrs, at = attributes(page, at, last)
         if m["end"]:
             barrier = SCOPE - {tag} if tag not in ("html", "body", "table") else set()
             for i in range(len(stack) - 1, 0, -1):
@@ -143,7 +164,7 @@ def parse(page: str) -> Node:
             row = Node("tr", {})
             stack[-1].children.append(row)
             stack.append(row)
-        node = Node(tag, attributes(m["attrs"]) if m["attrs"] else {})
+        node = Node(tag, attrs)
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)

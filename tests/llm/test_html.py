@@ -115,3 +115,22 @@ def test_tables_of_pages(spark):
     got = sorted((r.page_id or 0, r.text) for r in extract(df).collect() if r.page_id != 1)
     assert got == [(0, "b"), (2, "a"), (2, "a")]
     assert extract(df.limit(0)).count() == 0
+
+
+def test_long_attribute_values():
+    for n in (10, 8_192, 100_000):
+        for q, other in ("\"'", "'\""):
+            long = "a>" + f"<b>{other}" * (n // 4) + ">"
+            assert visible_text(f"<p>x</p><div data-x={q}{long}{q} hidden>no</div><p title = {q}{long}{q}>y</p>") == "x\n\ny"
+            assert visible_text(f"<p>x</p><p/ title={q}{long}{q}/>y</p {q} a={q}>{q}>z") == "x\n\ny\n\nz"
+    assert visible_text("<p title=it's>a 'b' > c</p>") == "a 'b' > c"
+    assert visible_text("<p title=\"a>b</p><i>c") == "b\n\nc"
+    assert len(visible_text("<p a=\">x" * 100_000)) < 10**6
+
+
+def test_unclosed_quotes_take_linear_time():
+    import time
+
+    began = time.monotonic()
+    visible_text("<p a='\">x" * 100_000 + "<p " + "= " * 100_000 + "/ " * 100_000)
+    assert time.monotonic() - began < 20
