@@ -6,20 +6,23 @@ joined with the seeds at every position of every document. A hit fixes how docum
 lie against each other; the aligned words around it are then compared, and a hit counts if
 some WINDOW consecutive words of the item agree in SHARE of the places (a shorter item: all of
 its words). The two masks are chosen so that every window with up to two substituted words is
-hit by one of them at some offset, which tests/llm checks by trying all substitutions.
+hit by one of them at some offset, which tests/llm checks by trying all substitutions. A shorter
+item has masks of its own (short_masks): its words are cut into PARTS parts, and a mask leaves out
+as many parts as words may differ, so every allowed substitution misses one of the masks.
 
 Spark functions only, and no shuffle of texts: positions are generated, hashed, looked up and
 verified inside one stage. The benchmark's seeds are broadcast in blocks of BLOCK_ROWS rows at
 most, one pass over the documents for each, so the broadcast does not grow with the benchmark.
 
 Cases: NULL and empty texts or items have no words and match nothing. Items of fewer than
-LEAST words are not told from chance and match nothing. Items of LEAST to 12 words also get one
-contiguous seed of their whole length. Repeated documents each get their row; repeated items
+LEAST words are not told from chance and match nothing. What lies beyond either end of a document
+counts as different words. Repeated documents each get their row; repeated items
 count once per item_id. Rows with a NULL id take part like any other id.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from functools import reduce
 
@@ -32,6 +35,8 @@ MASKS = ("11010111", "11010001011")
 WINDOW = 13
 SHARE = 0.8
 LEAST = 5
+#: Parts that an item of fewer than WINDOW words is cut into.
+PARTS = 5
 #: Seed rows that are broadcast at once (32 bytes each).
 BLOCK_ROWS = 500_000
 
@@ -63,6 +68,20 @@ def seeds(rows: DataFrame, codes: str, masks: tuple[str, ...], keep: list[str])
     return every.select(*keep, codes, place.alias("place"), value.alias("seed")).where("seed IS NOT NULL")
 
 
+def short_masks(n: int) -> list[tuple[int, str]]:
+    """(offset, mask) in an item of n words, so that any words that may differ are ignored by one of them.
+
+    A mask begins and ends with a word that it keeps: words beyond it may lie outside the document.
+    """
+    part = [k * PARTS // n for k in range(n)]
+    differ = n - math.ceil(n * SHARE)
+    found = []
+    for out in itertools.combinations(range(PARTS), differ):
+        mask = "".join("0" if p in out else "1" for p in part)
+        found.append((mask.index("1"), mask.strip("0")))
+    return sorted(set(found))
+
+
 def overlap(mine: Column, theirs: Column) -> Column:
     """Most agreeing places in WINDOW consecutive ones (all of a shorter item)."""
     same = F.zip_with(mine, theirs, lambda x, y: F.coalesce((x == y).cast("int"), F.lit(0)))
@@ -88,8 +107,20 @@ def leaks(
     short = sorted(
         r.n for r in items.where(F.size("item_codes") < WINDOW).select(F.size("item_codes").alias("n")).distinct().collect()
     )  # WINDOW - LEAST numbers at most
-    masks = (*MASKS, *("1" * n for n in short))
-    item_seeds = seeds(items, "item_codes", masks, ["item_id"]).select(
+    own = [(n, at, mask) for n in short for at, mask in short_masks(n)]
+    masks = (*MASKS, *sorted({mask for _, _, mask in own}))
+    item_seeds = seeds(items, "item_codes", MASKS, ["item_id"]).select("item_id", "place", "seed")
+    if own:
+        short_seeds = [
+            F.struct(
+                F.lit(at).alias("place"),
+                F.when(F.size("item_codes") == n, seed(F.col("item_codes"), F.lit(at), masks.index(mask), mask)).alias("seed"),
+            )
+            for n, at, mask in own
+        ]
+        few = items.where(F.size("item_codes") < WINDOW).select("item_id", F.inline(F.array(*short_seeds)))
+        item_seeds = item_seeds.union(few.where("seed IS NOT NULL"))
+    item_seeds = item_seeds.select(
         F.col("item_id").alias("seed_item"), F.col("place").alias("item_place"), F.col("seed").alias("item_seed")
     )
     n_blocks = max(1, math.ceil(item_seeds.count() / BLOCK_ROWS))

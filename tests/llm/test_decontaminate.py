@@ -71,6 +71,22 @@ def test_against_brute_force(spark):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(r.doc_id for r in got if not r.contaminated)
 
 
+def test_short_items_with_every_substitution(spark):
+    """Exactly what brute force finds, for all places that may differ and one more, also at the document's ends."""
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(5, 13)]
+    docs = []
+    for n, t in items:
+        for m in range(4):
+            for bad in itertools.combinations(range(n), m):
+                w = ["x" if k in bad else x for k, x in enumerate(t.split())]
+                docs.append((len(docs), " ".join(["a", "b", *w, "c"])))
+        for k in range(4):
+            docs += [(len(docs), " ".join(t.split()[k:])), (len(docs) + 1, "a " + " ".join(t.split()[: n - k]))]
+    got = decontaminate.report(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = brute(docs, items)
+    assert {r.doc_id: dict.fromkeys(r.item_ids, r.matched) for r in got.collect() if r.contaminated} == want
+
+
 def test_blocks_and_empty_tables(spark, monkeypatch):
     items = [(i, " ".join(f"i{i}w{k}" for k in range(20))) for i in range(30)]
     docs = [(i, "start " + t + " end") for i, t in items]
