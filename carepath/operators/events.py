@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -12,28 +13,16 @@ def _fields(prefix: str, columns: Sequence[Column]) -> list[Column]:
     return [c.alias(f"{prefix}{i}") for i, c in enumerate(columns)]
 
 
-def _extremes(df: DataFrame, keys: Sequence[str], least: Column | None, most: Column | None) -> DataFrame:
-    """Rows that may be first or last of their entity, marked ``__first`` and ``__last``.
+def _limited(df: DataFrame, keys: Sequence[str], order: Sequence[Column], carry: Sequence[str], latest: bool) -> DataFrame:
+    """The first (or last) row of each entity.
 
-    The bounds are plain minima and maxima, combined before the exchange by hash
-    aggregates. Usually one row per entity and side is left of the join with them; a busy
-    entity's rows are on the side that adaptive execution can split. As in an order by a
-    struct, NULL is smaller than all else.
+    Spark plans a filter on the row number as a limit per group on both sides of the one
+    exchange, so no partition sends more than a row per entity, however many it has.
     """
-    side = {k: f"__key{i}" for i, k in enumerate(keys)}
-    none = F.lit(None)
-    bounds = df.groupBy(*[F.col(k).alias(side[k]) for k in keys]).agg(
-        F.min(none if least is None else least).alias("__least"),
-        F.max(F.lit(False) if least is None else least.isNull()).alias("__unknown"),
-        F.max(none if most is None else most).alias("__most"),
-    )
-    same = [F.col(k).eqNullSafe(F.col(side[k])) for k in keys]
-    joined = df.join(bounds, same)
-    no = F.lit(False)
-    first = no if least is None else F.when(F.col("__unknown"), least.isNull()).otherwise(least == F.col("__least"))
-    last = no if most is None else most.eqNullSafe(F.col("__most"))
-    marked = joined.withColumns({"__first": F.coalesce(first, no), "__last": last})
-    return marked.where("__first OR __last").drop(*side.values(), "__least", "__unknown", "__most")
+    columns = [*order, *[F.col(c) for c in carry]]
+    by = [c.desc_nulls_last() if latest else c.asc_nulls_first() for c in columns]
+    ranked = df.withColumn("__rank", F.row_number().over(W.partitionBy(*keys).orderBy(*by)))
+    return ranked.where("__rank = 1").drop("__rank")
 
 
 def earliest_latest(
@@ -47,27 +36,28 @@ def earliest_latest(
     """The earliest and the latest row of each entity, side by side.
 
     ``first`` is ordered so that the wanted row is smallest, ``last`` so that it is
-    greatest; the carried columns break ties. Only rows with the smallest or greatest
-    value of the leading column, found beforehand, are compared as a whole.
+    greatest, NULL being smaller than all else; the carried columns break ties. Both come
+    out of one aggregate, which leaves a row per entity and partition before the exchange;
+    one alone is a limit per group.
     """
     if not (first or last) or not carry:
         raise ValueError("name an order and the columns to carry")
-    rows = _extremes(df, keys, first[0] if first else None, last[0] if last else None)
+    if not (first and last):
+        name = names[0] if first else names[1]
+        found = _limited(df, keys, first or last, carry, latest=not first)
+        return found.select(*keys, *[F.col(c).alias(f"{name}{c}") for c in carry])
     aggs, out = [], []
-    for side, order, pick, mark in ((names[0], first, F.min, "__first"), (names[1], last, F.max, "__last")):
-        if order:
-            best = F.struct(*_fields("o", order), *[F.col(c).alias(c) for c in carry])
-            aggs.append(pick(F.when(F.col(mark), best)).alias(f"__{side}"))
-            out += [F.col(f"__{side}.{c}").alias(f"{side}{c}") for c in carry]
-    return rows.groupBy(*keys).agg(*aggs).select(*keys, *out)
+    for side, order, pick in ((names[0], first, F.min), (names[1], last, F.max)):
+        aggs.append(pick(F.struct(*_fields("o", order), *[F.col(c).alias(c) for c in carry])).alias(f"__{side}"))
+        out += [F.col(f"__{side}.{c}").alias(f"{side}{c}") for c in carry]
+    return df.groupBy(*keys).agg(*aggs).select(*keys, *out)
 
 
 def first_row(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], carry: Sequence[str]
 ) -> DataFrame:
     """One row per key, the smallest by ``order``; carried columns break ties."""
-    found = earliest_latest(df, keys, carry, first=order, names=("__first_", ""))
-    return found.select(*keys, *[F.col(f"__first_{c}").alias(c) for c in carry])
+    return _limited(df, keys, order, carry, latest=False).select(*keys, *carry)
 
 
 def first_event(

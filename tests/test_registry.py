@@ -50,7 +50,7 @@ def test_first_and_last_rows_of_a_busy_entity(spark):
     """A third of all rows belong to one entity; its first and last rows are still right."""
     from pyspark.sql import functions as F
 
-    from carepath.operators.events import earliest_latest
+    from carepath.operators.events import earliest_latest, first_row
 
     rows = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("who"),
@@ -58,11 +58,33 @@ def test_first_and_last_rows_of_a_busy_entity(spark):
         F.col("id").alias("row"),
     )
     got = earliest_latest(rows, ["who"], ["row", "day"], first=[F.col("day")], last=[F.col("day")])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     want = rows.groupBy("who").agg(F.min(F.struct("day", "row")).alias("a"), F.max(F.struct("day", "row")).alias("b"))
     plain = want.select("who", "a.row", "a.day", "b.row", "b.day")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate(keys=[who" in plan and "Window" not in plan
+    for one_side in (
+        earliest_latest(rows, ["who"], ["row", "day"], first=[F.col("day")]),
+        earliest_latest(rows, ["who"], ["row", "day"], last=[F.col("day")]),
+        first_row(rows, ["who"], [F.col("day")], ["row"]),
+    ):
+        plan = one_side._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+        # A limit per group below the exchange and one above it.
+        assert plan.index(", Final") < plan.index("Exchange") < plan.index(", Partial")
+    only = {r.who: r.row for r in first_row(rows, ["who"], [F.col("day")], ["row"]).collect()}
+    assert only == {r.who: r.a.row for r in want.collect()}
+    newest = earliest_latest(rows, ["who"], ["row"], last=[F.col("day")])
+    assert {r.who: r.Latestrow for r in newest.collect()} == {r.who: r.b.row for r in want.collect()}
+
+
+def test_readmission_pairs_read_each_spell_once_per_side(spark):
+    from carepath.registry import QUERIES
+
+    for name in ("readmissions_monthly", "readmissions_latest"):
+        plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 2 and plan.count("Exchange hashpartitioning") == 2
+        assert plan.count("WindowGroupLimit") == 4 and plan.count("Join") == 1
 
 
 def test_admissions_are_summed_before_reference_joins(spark):
