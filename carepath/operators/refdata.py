@@ -7,13 +7,14 @@ hot code on the fact side, so a table that grows does not break the job.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.groups import MISSING
 from ..functions.labels import key as text_key
+from ..sources.staging import stage
 
 _KEY = "__ref_key"
 
@@ -88,6 +89,26 @@ def decode(
     return attach(df, code, dictionary, key, {out: value}, default, collated=collated)
 
 
+def described_once(
+    df: DataFrame, codes: Sequence[str], describe: Callable[[DataFrame], DataFrame], source: DataFrame | None = None
+) -> DataFrame:
+    """df with what ``describe`` adds to its codes, looked up once per combination of codes.
+
+    ``describe`` gets the distinct combinations and joins the reference tables; the rows of
+    df meet its result only, in one join. ``source`` is a cheaper frame that has all
+    combinations, if there is one. A reference key that repeats multiplies rows as it would
+    in a join of its own.
+
+    The result is staged, so its size is known when the rows meet it: Spark broadcasts it
+    while it is small, and the rows stay where they are.
+    """
+    looked_up = stage(describe((df if source is None else source).select(*codes).distinct()), "described")
+    tmp = {c: f"__described_{i}" for i, c in enumerate(codes)}
+    right = looked_up.withColumnsRenamed(tmp)
+    same = [F.col(c).eqNullSafe(F.col(t)) for c, t in tmp.items()]
+    return df.join(right, same, "left").drop(*tmp.values())
+
+
 def resolve_code(
     df: DataFrame,
     code: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Hashable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -19,15 +20,17 @@ from ..functions.groups import (
     GENDER_DEFAULT,
     GENDER_GROUPS,
     ICB,
+    MISSING,
     PROVIDER,
     SUB_ICB,
 )
 from ..functions.labels import group_codes, key, order_label
 from ..operators.events import earliest_latest, first_event, primary_secondary
-from ..operators.refdata import current, decode, era_key
+from ..operators.hotkeys import hot_in_any, is_hot
+from ..operators.refdata import current, decode, described_once, era_key
 from ..operators.rollup import ALL, Category, Geography, labelled_grouping_sets
 from ..sources.publish import stamp
-from ..sources.staging import stage
+from ..sources.staging import StagedRun
 from ..sources.tables import Tables
 from .organisations import national, with_commissioner, with_provider
 
@@ -160,6 +163,90 @@ def _plan_flags(open_: Column, end: Column) -> Column:
     )
 
 
+def _with_team(codes: DataFrame, tables: Tables) -> DataFrame:
+    current_types = current(tables["team_type"], end=None, flag=("Is_Latest", 1))
+    return decode(codes, "ServTeamTypeRefToMH", current_types, "TeamType", collated=True)
+
+
+def _with_organisations(codes: DataFrame, tables: Tables) -> DataFrame:
+    """Reason and present organisations of raw codes (__comm, __prov, PrimReasonReferralMH)."""
+    codes = decode(
+        codes,
+        "PrimReasonReferralMH",
+        current(tables["referral_reason"], end=None, flag=("Is_Latest", 1)),
+        "PrimReason",
+        collated=True,
+    )
+    codes = with_commissioner(
+        codes,
+        "__comm",
+        tables["commissioner_code_changes"],
+        current(tables["commissioner_hierarchy"]),
+        {
+            "OrgIDComm": "Organisation_Code",
+            "Sub_ICB_Name": "Organisation_Name",
+            "ICB_Code": "STP_Code",
+            "ICB_Name": "STP_Name",
+            "Comm_Region_Name": "Region_Name",
+            "Comm_Region_Code": "Region_Code",
+        },
+    )
+    return with_provider(
+        codes,
+        "__prov",
+        tables["provider_successor"],
+        tables["provider_hierarchy"],
+        {
+            "OrgIDProv": "Organisation_Code",
+            "Provider_Name": "Organisation_Name",
+            "Prov_Region_Name": "Region_Name",
+        },
+    )
+
+
+#: Record tables and the column that each is bucketed by.
+BUCKETED_BY = {
+    "referral": "RecordNumber",
+    "patient_index": "RecordNumber",
+    "care_plan": "RecordNumber",
+    "service_type": "RecordNumber",
+    "care_contact": "UniqServReqID",
+    "primary_diagnosis": "UniqServReqID",
+    "secondary_diagnosis": "UniqServReqID",
+}
+
+
+def bucketed_base(
+    tables: Tables, months: Window, staged: StagedRun, buckets: int, limits: dict | None = None, **options
+) -> DataFrame:
+    """The base from inputs that are written once in buckets by record and by referral.
+
+    Joins and sums by record need no exchange then, and the base as a whole has one, from
+    records to referrals. A record or referral with more rows than a bucket should have is
+    left out of the buckets: its rows are joined from the tables as they are, where adaptive
+    execution splits them. Worth it when the inputs serve several months or outputs.
+    """
+    hot = hot_in_any(tables, BUCKETED_BY, buckets, **(limits or {}))
+
+    def cold(name: str) -> DataFrame:
+        keys = [c for c in hot if c in tables[name].columns and hot[c]]
+        df = tables[name]
+        for c in keys:
+            df = df.where(~is_hot(c, hot[c]))
+        return df
+
+    inputs = {n: staged.bucketed(cold(n), [c], buckets, n.replace("_", "-")) for n, c in BUCKETED_BY.items()}
+    base = staged.part(lambda: referral_base({**tables, **inputs}, months, **options))
+    if not any(hot.values()):
+        return base
+    busy = F.lit(False)
+    for c, values in hot.items():
+        busy = busy | is_hot(c, values)
+    rest = {**tables, "referral": tables["referral"].where(busy)}
+    # A row is described by its own record and referral, so the two parts share no row.
+    return base.unionByName(staged.part(lambda: referral_base(rest, months, **options)))
+
+
 def referral_base(
     tables: Tables,
     months: Window,
@@ -203,10 +290,11 @@ def referral_base(
         F.col("LatestDiagnosisCode").alias("LatestConditionDiagnosisCode"),
         "LatestDiagnosisArea",
     )
+    recorded = tables["referral"].join(flags, "NHSEUniqSubmissionID", "inner")
     base = (
-        tables["referral"]
-        .join(flags, "NHSEUniqSubmissionID", "inner")
-        .join(tables["patient_index"].select("RecordNumber", "EthnicCategory", "Gender"), "RecordNumber")
+        recorded.join(
+            tables["patient_index"].select("RecordNumber", "EthnicCategory", "Gender"), "RecordNumber"
+        )
         .join(_plan_span(tables["care_plan"]), "RecordNumber", "left")
         .withColumn("__person", era_key(start, person_id_from, "Der_Person_ID", "Person_ID"))
     )
@@ -215,45 +303,15 @@ def referral_base(
         .join(contacts, ["UniqServReqID", "__person"], "left")
         .join(ranked, ["UniqServReqID", "__diag_person"], "left")
     )
-    base = decode(
-        base,
-        "ServTeamTypeRefToMH",
-        current(tables["team_type"], end=None, flag=("Is_Latest", 1)),
-        "TeamType",
-        collated=True,
-    )
-    base = decode(
-        base,
-        "PrimReasonReferralMH",
-        current(tables["referral_reason"], end=None, flag=("Is_Latest", 1)),
-        "PrimReason",
-        collated=True,
-    )
-    base = base.withColumnsRenamed({"OrgIDComm": "__comm", "OrgIDProv": "__prov"})
-    base = with_commissioner(
-        base,
-        "__comm",
-        tables["commissioner_code_changes"],
-        current(tables["commissioner_hierarchy"]),
-        {
-            "OrgIDComm": "Organisation_Code",
-            "Sub_ICB_Name": "Organisation_Name",
-            "ICB_Code": "STP_Code",
-            "ICB_Name": "STP_Name",
-            "Comm_Region_Name": "Region_Name",
-            "Comm_Region_Code": "Region_Code",
-        },
-    )
-    base = with_provider(
-        base,
-        "__prov",
-        tables["provider_successor"],
-        tables["provider_hierarchy"],
-        {
-            "OrgIDProv": "Organisation_Code",
-            "Provider_Name": "Organisation_Name",
-            "Prov_Region_Name": "Region_Name",
-        },
+    base = described_once(
+        base, ["ServTeamTypeRefToMH"], lambda codes: _with_team(codes, tables), tables["service_type"]
+    ).withColumn("TeamType", F.coalesce("TeamType", F.lit(MISSING)))
+    raw = {"OrgIDComm": "__comm", "OrgIDProv": "__prov"}
+    base = described_once(
+        base.withColumnsRenamed(raw),
+        [*raw.values(), "PrimReasonReferralMH"],
+        lambda codes: _with_organisations(codes, tables),
+        recorded.withColumnsRenamed(raw),
     )
     received, contact = F.col("ReferralRequestReceivedDate"), F.col("FirstContactDate")
     diagnosed = F.col("EarliestDiagDate").cast("date")
@@ -288,10 +346,13 @@ def referral_base(
 
 
 def pathway_outputs(
-    tables: Tables, months: Window, run: datetime, **options
+    tables: Tables, months: Window, run: datetime, staged: StagedRun, key: Hashable = "referral-base", **options
 ) -> tuple[DataFrame, DataFrame]:
-    """Waits and metrics from one base, which is built once and staged."""
-    base = stage(referral_base(tables, months, **options), "referral-base")
+    """Waits and metrics from one base, built once in the staged run under the given key.
+
+    Write both before the run is closed, which removes the base.
+    """
+    base = staged.table(key, lambda: referral_base(tables, months, **options), "referral-base")
     return wait_times(base, run), main_metrics(base, run)
 
 
@@ -330,7 +391,7 @@ def main_metrics(base: DataFrame, run: datetime, submission: str = SUBMISSION) -
             "AgeGroup": band_label("AgeServReferRecDate", AGE_BANDS, AGE_UNKNOWN),
             "GenderGroup": group_codes("Gender", GENDER_GROUPS, GENDER_DEFAULT),
             "EthnicGroup": group_codes("EthnicCategory", ETHNIC_GROUPS, ETHNIC_DEFAULT),
-                        "ConditionDiagnosis": F.col("LatestConditionDiagnosisCode").isNotNull().cast("int"),
+            "ConditionDiagnosis": F.col("LatestConditionDiagnosisCode").isNotNull().cast("int"),
         }
     )
     counts = labelled_grouping_sets(

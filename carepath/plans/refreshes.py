@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import RefreshWindow, Window
 from ..sources.publish import publish_replacing_latest, publish_rolling, window_of
+from ..sources.staging import StagedRun
 from ..sources.tables import Tables
 from .admissions import admissions
 from .readmissions import readmissions
-from .referral_pathway import pathway_outputs
+from .referral_pathway import main_metrics, pathway_outputs, referral_base
 
 Job = Callable[[Window], DataFrame]
 
@@ -77,4 +78,18 @@ def refresh_readmissions(
 def refresh_metrics(
     spark: SparkSession, tables: Tables, table: str, run: datetime, **options
 ) -> RefreshWindow:
-    return refresh_latest(spark, lambda months: pathway_outputs(tables, months, run)[1], table, **options)
+    return refresh_latest(
+        spark, lambda months: main_metrics(referral_base(tables, months), run), table, **options
+    )
+
+
+def refresh_pathway(
+    spark: SparkSession, tables: Tables, waits: str, metrics: str, run: datetime,
+    window: RefreshWindow | None = None, **bounds,
+) -> RefreshWindow:
+    """Both referral outputs of one run from one base, which is gone afterwards."""
+    window = window or window_of(spark, metrics, **{"delete_months": 1, "insert_months": 2, **bounds})
+    with StagedRun(spark) as staged:
+        for frame, table in zip(pathway_outputs(tables, window.insert, run, staged), (waits, metrics), strict=True):
+            publish_replacing_latest(frame, table, window.insert)
+    return window

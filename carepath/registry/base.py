@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
+from ..sources.staging import StagedRun, version
 from ..sources.tables import parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,34 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+_RUNS: dict[str, StagedRun] = {}
+
+
+def session_run(spark: SparkSession) -> StagedRun:
+    """The run whose tables last as long as the driver, or until release()."""
+    return _RUNS.setdefault(spark.sparkContext.applicationId, StagedRun(spark))
+
+
+def shared_key(spark: SparkSession, folder: str, name: str, inputs: tuple[str, ...]) -> tuple:
+    """Key of a table built from the input files as they are now."""
+    return folder, name, tuple(version(spark, f"{folder}/{t}.parquet") for t in inputs)
+
+
+def shared(spark: SparkSession, folder: str, name: str, inputs: tuple[str, ...], build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that several queries of this driver read: built once for given input files.
+
+    It is removed when the driver ends, or by release().
+    """
+    return session_run(spark).table(shared_key(spark, folder, name, inputs), build, name)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the tables of the session's run."""
+    run = _RUNS.pop(spark.sparkContext.applicationId, None)
+    if run is not None:
+        run.close()
+
+
 def orders_per_customer_month(spark: SparkSession, folder: str, *by: str) -> DataFrame:
     """Order counts by status, per customer and month.
 

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import as_date, month_bounds, month_end, month_start
 from ..functions.labels import recode
 from ..plans.population import area_lookup, open_referral_rates, population_table
-from ..plans.referral_pathway import main_metrics, referral_base, wait_times
+from ..plans.referral_pathway import bucketed_base, main_metrics, pathway_outputs, referral_base, wait_times
 from ..sources.tables import literal_rows
-from .base import query, table
+from .base import query, session_run, shared, shared_key, table
 from .domain import ORGS_SQL, activity_tables, hierarchy
 
 RUN = datetime(2024, 6, 1, 9, 0)
@@ -205,9 +205,26 @@ base AS (
 """
 
 
+INPUTS = ("lineitem", "orders", "customer", "supplier", "nation", "region")
+
+
+def months_of(spark, folder):
+    return month_bounds(table(spark, folder, "lineitem", "l_shipdate"), "l_shipdate")
+
+
+def stored_tables(spark, folder) -> dict[str, DataFrame]:
+    """The tables of the pathway, referrals written once: they are read for their codes as well."""
+    tables = pathway_tables(spark, folder)
+    referral = shared(spark, folder, "referral", INPUTS, lambda: tables["referral"])
+    return {**tables, "referral": referral}
+
+
 def base(spark, folder):
-    months = month_bounds(table(spark, folder, "lineitem", "l_shipdate"), "l_shipdate")
-    return referral_base(pathway_tables(spark, folder), months, person_id_from=CUT)
+    """The referral base, built once for all queries that read it."""
+    return shared(
+        spark, folder, "referral-base", INPUTS,
+        lambda: referral_base(stored_tables(spark, folder), months_of(spark, folder), person_id_from=CUT),
+    )
 
 
 WAITS = {
@@ -339,19 +356,65 @@ ROW = {
 }
 
 
-@query(
-    "wait_times_table",
-    f"""
+ROW_SQL = f"""
 WITH {PATHWAY_SQL}
 SELECT {", ".join(f'{c} AS "{n}"' for n, c in ROW.items())}
 FROM base WHERE team = 'Memory Services/Clinic/Drop in service' AND prim = 'Organic brain disorder'
-""",
-)
+"""
+
+
+@query("wait_times_table", ROW_SQL)
 def wait_times_table(spark, folder):
     """The waits table, row by row, without the columns that are only copied through."""
     return wait_times(base(spark, folder), RUN).select(*ROW)
 
 
+@query("wait_times_bucketed", ROW_SQL)
+def wait_times_bucketed(spark, folder):
+    """The same from inputs in buckets by record and by referral."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    built = bucketed_base(
+        stored_tables(spark, folder), months_of(spark, folder), session_run(spark), buckets, person_id_from=CUT
+    )
+    return wait_times(built, RUN).select(*ROW)
+
+
+@query(
+    "pathway_outputs",
+    f"""
+WITH {PATHWAY_SQL}, metrics AS ({_metrics_sql()})
+SELECT 'waits' AS output, m AS "Month", COUNT(*) AS n, CAST(SUM(is_open) AS BIGINT) AS "OpenReferrals",
+       CAST(SUM(has_plan) AS BIGINT) AS "OpenRefwithCarePlanCreated",
+       COUNT(DISTINCT (team, prim, sub_name, icb_name, prov_name, sex, ethnic)) AS n_labels
+FROM base WHERE team = 'Memory Services/Clinic/Drop in service' AND prim = 'Organic brain disorder' GROUP BY 2
+UNION ALL
+SELECT 'metrics', m, COUNT(*), CAST(SUM("OpenReferrals") AS BIGINT), CAST(SUM("OpenRefwithCarePlanCreated") AS BIGINT),
+       COUNT(DISTINCT (team, prim, t, c, o, cat, var)) FROM metrics GROUP BY 2
+""",
+)
+def pathway_outputs_query(spark, folder):
+    """Waits and metrics of one run, summed up by month; labels are counted by what tells them apart."""
+    tables, months = stored_tables(spark, folder), months_of(spark, folder)
+    key = shared_key(spark, folder, "referral-base", INPUTS)
+    waits, metrics = pathway_outputs(tables, months, RUN, session_run(spark), key, person_id_from=CUT)
+    sums = ["OpenReferrals", "OpenRefwithCarePlanCreated"]
+
+    def summed(name, df, labels):
+        return df.groupBy(F.lit(name).alias("output"), "Month").agg(
+            F.count("*").alias("n"),
+            *[F.sum(s).alias(s) for s in sums],
+            F.count_distinct(F.struct(*labels)).alias("n_labels"),
+        )
+
+    return summed(
+        "waits",
+        waits.withColumnsRenamed({"OpenRef": sums[0], "RefwithCarePlanCreated": sums[1]}),
+        ["TeamType", "PrimReason", "Sub_ICB_Name", "ICB_Name", "Provider_Name", "Gender", "EthnicCategory"],
+    ).unionByName(
+        summed("metrics", metrics, ["TeamType", "PrimReason", "Orgtype", "OrgCode", "OrgName", "Category", "Variable"])
+    )
+
+
 AGES = ["Aged 50 to 64 years", "Aged 65 to 74 years", "Aged 75 to 84 years", "Aged 85 years and over"]
 CENSUS = date(2021, 3, 21)
 

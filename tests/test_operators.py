@@ -179,3 +179,15 @@ def test_reshape_and_unions(spark):
     assert [tuple(r) for r in rows] == [("k", 1, None, "first"), ("k", 3, 4, "second")]
     assert era_union(long, long).count() == 8 and distinct_union(long, long).count() == 4
     assert long.select(ratio(F.col("v"), F.col("v") - F.col("v"))).first()[0] is None
+
+
+def test_hot_keys_are_bounded(spark):
+    from carepath.operators.hotkeys import hot_in_any, hot_keys, is_hot
+
+    df = spark.range(10_000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), F.col("id").alias("j"))
+    assert sorted(hot_keys(df, "k", 10, least=1), key=str) == [1, 2, None] and hot_keys(df, "j", 10, least=1) == []
+    assert hot_keys(df, "k", 10) == [] and hot_keys(df.limit(0), "k", 10) == []
+    assert df.where(is_hot("k", [1, None])).count() == 6667 and df.where(is_hot("k", [])).count() == 0
+    assert df.where(~is_hot("k", [1])).count() == 6667
+    found = hot_in_any({"a": df, "b": df}, {"a": "k", "b": "k"}, 10, least=1)
+    assert sorted(found["k"], key=str) == [1, 2, None]

@@ -1,5 +1,6 @@
 """Referral pathway and population on hand-written tables."""
 
+import os
 from datetime import date as d
 from datetime import datetime as t
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from carepath.functions.dates import Window
 from carepath.plans.population import area_lookup, open_referral_rates, population_table
 from carepath.plans.referral_pathway import (
+    bucketed_base,
     diagnosis_cohort,
     first_contacts,
     main_metrics,
+    pathway_outputs,
     ranked_diagnoses,
     referral_base,
     wait_times,
@@ -281,3 +284,79 @@ def test_population_and_rates(spark):
     known = [r for r in rates if r.Pop is not None]
     assert len(known) == 1 and known[0].OpenReferralsPer100k == pytest.approx(100000.0)
     assert all(r.OpenReferralsPer100k is None for r in rates if r.Pop is None)
+
+
+def test_one_base_for_both_outputs_and_nothing_left(spark, tmp_path):
+    from carepath.sources import staging
+
+    care, months = tables(spark), Window(d(2021, 3, 1), d(2021, 6, 30))
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    with staging.StagedRun(spark) as run:
+        waits, metrics = pathway_outputs(care, months, RUN, run)
+        assert run.built == 1 and len(set(os.listdir(folder)) - before) == 1
+        assert pathway_outputs(care, months, RUN, run)[0].count() == waits.count() and run.built == 1
+        want = referral_base(care, months)
+        assert sorted(map(str, metrics.collect())) == sorted(map(str, main_metrics(want, RUN).collect()))
+        assert sorted(map(str, waits.collect())) == sorted(map(str, wait_times(want, RUN).collect()))
+        for df in (waits, metrics):
+            assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {f for f in os.listdir(folder) if f.startswith("referral-base")} <= before
+    waits.sparkSession.catalog.clearCache()
+
+
+@pytest.mark.parametrize("limits", [{}, {"least": 1, "share": 0.01}])
+def test_bucketed_inputs_give_the_same_base(spark, limits):
+    from carepath.sources.staging import StagedRun
+
+    care, months = tables(spark), Window(d(2021, 3, 1), d(2021, 6, 30))
+    want = sorted(map(str, referral_base(care, months).collect()))
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before, known = set(os.listdir(folder)), {t.name for t in spark.catalog.listTables()}
+    with StagedRun(spark) as run:
+        # With the low limits most records and referrals are hot and stay out of the buckets.
+        found = bucketed_base(care, months, run, 3, limits)
+        assert run.built == 7 and sorted(map(str, found.collect())) == want
+    assert set(os.listdir(folder)) == before and {t.name for t in spark.catalog.listTables()} == known
+
+
+def test_bucketed_inputs_are_joined_where_they_lie(spark):
+    from carepath.registry import care as domain
+    from carepath.sources.staging import StagedRun
+
+    folder = "/root/testdata/sf0.001"
+    stored, months = domain.stored_tables(spark, folder), domain.months_of(spark, folder)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString().splitlines()
+    moved = lambda lines: [x for x in lines if "Exchange hashpartitioning" in x]
+    try:
+        with StagedRun(spark) as run:
+            joined = plan(bucketed_base(stored, months, run, 4, person_id_from=domain.CUT))
+            plain = plan(referral_base(stored, months, person_id_from=domain.CUT))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The records move once to their referrals. (The months and codes, small tables that are
+    # broadcast elsewhere, are not in this test.)
+    assert sum("(UniqServReqID" in x for x in moved(joined)) == 1 and len(moved(joined)) <= len(moved(plain)) - 7
+    stored_sides = [k for k, x in enumerate(joined) if "FileScan" in x and "spark_catalog" in x and "referral_" not in x]
+    assert len(stored_sides) == 5
+    for k in stored_sides:  # nothing between the buckets and the join they go into
+        join = max(j for j in range(k) if "Join [" in joined[j])
+        assert not moved(joined[join:k])
+
+
+def test_codes_are_described_once_per_combination(spark):
+    from carepath.operators.refdata import described_once
+
+    df = spark.range(3000).select("id", (F.col("id") % 3).cast("string").alias("a"), F.when(F.col("id") % 2 == 0, "x").alias("b"))
+    seen = []
+
+    def describe(codes):
+        seen.append(codes.count())
+        return codes.withColumn("name", F.concat_ws("-", "a", "b"))
+
+    out = described_once(df, ["a", "b"], describe)
+    assert seen == [6] and out.columns == ["id", "a", "b", "name"]
+    assert {(r.a, r.b, r.name) for r in out.collect()} == {(a, b, a + ("-x" if b else "")) for a in "012" for b in ("x", None)}
+    assert out.count() == 3000
