@@ -341,9 +341,12 @@ def test_bucketed_inputs_are_joined_where_they_lie(spark):
     assert sum("(UniqServReqID" in x for x in moved(joined)) == 1 and len(moved(joined)) <= len(moved(plain)) - 7
     stored_sides = [k for k, x in enumerate(joined) if "FileScan" in x and "spark_catalog" in x and "referral_" not in x]
     assert len(stored_sides) == 5
+    depth = lambda x: len(x) - len(x.lstrip(" :+-*"))
     for k in stored_sides:  # nothing between the buckets and the join they go into
-        join = max(j for j in range(k) if "Join [" in joined[j])
-        assert not moved(joined[join:k])
+        node = k
+        while "Join [" not in joined[node]:
+            assert not moved(joined[node : node + 1])
+            node = max(j for j in range(node) if depth(joined[j]) < depth(joined[node]))
 
 
 def test_codes_are_described_once_per_combination(spark):
