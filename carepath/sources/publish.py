@@ -2,67 +2,49 @@
 
 A run that was broken off can be run again with the same window and run time.
 Archived rows are partitioned by the run that took them out and are written once;
-published rows are partitioned by month and replaced month by month.
+published tables go from one version to the next in one step (see versions).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import RefreshWindow, Window, latest_month, refresh_window
+from .versions import add_rows, publish_version
 
 RUN = "ArchivedRun"
 OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def _sized(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Rows of one partition in few files, a large partition in several."""
-    return df.hint("rebalance", *[F.col(c) for c in partitions])
-
-
-def _write(df: DataFrame, table: str, partitions: Sequence[str]) -> None:
+def _write_run(df: DataFrame, archive: str) -> None:
+    """Rows of one run as its partition of the archive, replacing it if it is there."""
     spark = df.sparkSession
-    df = _sized(df, partitions)
-    if spark.catalog.tableExists(table):
-        ordered = df.select(*spark.table(table).columns)
+    df = df.hint("rebalance", F.col(RUN))
+    if spark.catalog.tableExists(archive):
+        ordered = df.select(*spark.table(archive).columns)
         # insertInto takes the overwrite mode from the session only.
         before = spark.conf.get(OVERWRITE)
         spark.conf.set(OVERWRITE, "dynamic")
         try:
-            ordered.write.mode("overwrite").insertInto(table)
+            ordered.write.mode("overwrite").insertInto(archive)
         finally:
             spark.conf.set(OVERWRITE, before)
     else:
-        rest = [c for c in df.columns if c not in partitions]
-        (
-            df.select(*rest, *partitions)
-            .write.mode("errorifexists")
-            .partitionBy(*partitions)
-            .format("parquet")
-            .saveAsTable(table)
-        )
+        rest = [c for c in df.columns if c != RUN]
+        df.select(*rest, RUN).write.mode("errorifexists").partitionBy(RUN).format("parquet").saveAsTable(archive)
 
 
 def create_table(df: DataFrame, table: str, month: str = "Month") -> None:
     """Output of a full build, replacing the table as a whole."""
-    rest = [c for c in df.columns if c != month]
-    (
-        _sized(df, [month])
-        .select(*rest, month)
-        .write.mode("overwrite")
-        .partitionBy(month)
-        .format("parquet")
-        .saveAsTable(table)
-    )
-
-
-def append_rows(df: DataFrame, table: str) -> None:
+    publish_version(df, table, month, whole=True)
+
+
+def append_rows(df: DataFrame, table: str, month: str = "Month") -> None:
     """Further rows of a table, matched by column name."""
-    df.select(*df.sparkSession.table(table).columns).write.mode("append").insertInto(table)
+    add_rows(df, table, month)
 
 
 def stamp(df: DataFrame, run: datetime, column: str = "SnapshotDate") -> DataFrame:
@@ -82,11 +64,6 @@ def _archived(spark: SparkSession, archive: str, run: datetime) -> bool:
     return not spark.table(archive).where(F.col(RUN) == run.isoformat()).isEmpty()
 
 
-def _drop_months(spark: SparkSession, table: str, month: str, months: Sequence[date]) -> None:
-    for m in months:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{month}` = DATE'{m}')")
-
-
 def window_of(spark: SparkSession, table: str, month: str = "Month", **kwargs) -> RefreshWindow:
     latest = latest_month(spark.table(table), month) if spark.catalog.tableExists(table) else None
     return refresh_window(latest, **kwargs)
@@ -102,37 +79,24 @@ def publish_rolling(
 ) -> None:
     """Archive the months that are taken out, then put the new months in their place.
 
-    ``new`` must not read ``table``. Only partitions inside the window are touched.
+    The archive has the rows of a run before the table changes, which it does in one step.
     """
     spark = new.sparkSession
+    gone = []
     if spark.catalog.tableExists(table):
         current = spark.table(table)
         if not _archived(spark, archive, run):
             leaving = current.where(F.col(month).between(*window.delete))
-            _write(leaving.withColumn(RUN, F.lit(run.isoformat())), archive, [RUN])
+            _write_run(leaving.withColumn(RUN, F.lit(run.isoformat())), archive)
         gone = _months(current, month, window.delete)
-    else:
-        gone = []
-    fresh = new.where(F.col(month).between(*window.insert))
-    # The months that arrive are counted by the write itself.
-    arrived = Observation()
-    counted = fresh.observe(
-        arrived,
-        F.count("*").alias("rows"),
-        *[F.count(F.when(F.col(month) == F.lit(m), 1)).alias(str(m)) for m in gone],
-    )
-    _write(counted, table, [month])
-    if gone:
-        _drop_months(spark, table, month, [m for m in gone if not arrived.get[str(m)]])
+    publish_version(new.where(F.col(month).between(*window.insert)), table, month, gone)
 
 
 def publish_replacing_latest(
     new: DataFrame, table: str, window: Window, month: str = "Month"
 ) -> None:
-    """Drop the newest month and insert the months of ``window``, which include it."""
+    """The months of ``window`` in place of the newest month, in one step."""
     spark = new.sparkSession
     newest = latest_month(spark.table(table), month) if spark.catalog.tableExists(table) else None
     fresh = new.where(F.col(month).between(*window))
-    if newest is not None and not (window.first <= newest <= window.last):
-        _drop_months(spark, table, month, [newest])
-    _write(fresh, table, [month])
+    publish_version(fresh, table, month, [] if newest is None else [newest])
