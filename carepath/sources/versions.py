@@ -84,12 +84,17 @@ def _forget(spark: SparkSession, table: str) -> None:
 
 
 def adopt(spark: SparkSession, table: str, month: str = "Month") -> None:
-    """Put a plain table behind a view, if it is one. Frames that read it have to be made anew."""
+    """Put a plain table behind a view, if it is one. Frames that read it have to be made anew.
+
+    It is copied first. Between its drop and the view there is no such name: the one step that
+    readers can notice, once in the life of a table.
+    """
     if not spark.catalog.tableExists(table) or is_versioned(spark, table):
         return
-    generation = f"{table}__{uuid.uuid4().hex[:12]}"
-    columns = spark.table(table).columns
-    spark.sql(f"ALTER TABLE {table} RENAME TO {generation}")
+    plain = spark.table(table)
+    columns = plain.columns
+    generation = _write_generation(plain, table, month)
+    spark.sql(f"DROP TABLE {table}")
     _switch(spark, table, columns, {generation: _partitions(spark, generation)}, {}, month)
 
 
