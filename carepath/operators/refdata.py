@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.groups import MISSING
 from ..functions.labels import key as text_key
 from ..sources.staging import stage
+from .guards import watched
 
 _KEY = "__ref_key"
 
@@ -62,6 +63,7 @@ def attach(
         norm(F.col(key)).alias(_KEY),
         *[F.col(src).alias(renamed[out]) for out, src in columns.items()],
     )
+    right = watched(right, [_KEY], f"{key} -> {', '.join(columns)}")
     joined = df.join(right, norm(code) == F.col(_KEY), how)
     unmatched = F.col(_KEY).isNull()
     out = {}

@@ -21,6 +21,7 @@ from ..functions.disclosure import suppress
 from ..functions.groups import ICB, MISSING, PROVIDER, REGION_SHORT_NAMES, SUB_ICB, TOTAL
 from ..functions.labels import code_title, recode
 from ..functions.labels import key as text_key
+from ..operators.guards import watched
 from ..operators.refdata import current
 from ..operators.rollup import Geography, geography_sums
 from ..operators.weights import allocation_table, reallocate, split_rows
@@ -212,8 +213,9 @@ def described(sums: DataFrame, tables: Tables) -> DataFrame:
     A reference key that repeats multiplies sums just as it would have multiplied records.
     """
     category = F.col("Category")
+    labels = watched(category_labels(tables), ["__category", "__code"], "category codes")
     joined = sums.join(
-        category_labels(tables),
+        labels,
         (category == F.col("__category")) & (text_key(F.col("Variable")) == F.col("__code")),
         "left",
     )
