@@ -1,24 +1,34 @@
 """Quality rules whose cutoffs are selected on labelled documents with a bounded risk.
 
-Every document gets a few rates (symbols, repeated words, repeated lines, capitals). A rule
-rejects a document whose rate exceeds a cutoff. Per stratum and rule, cutoffs are tried from
-the laxest to the strictest in an order fixed beforehand. A cutoff is certified when the exact
-binomial test on the labelled good documents says that it rejects more than
-``risk / number of rules`` of the good ones with probability ``error / (strata * rules)`` at
-most; the first one that fails ends the sequence. Testing in a fixed order needs no further
-correction, and dividing by strata and rules (Bonferroni) covers all tests together: with
-probability 1 - error, no stratum loses more than ``risk`` of its good documents. Among the
-certified cutoffs the one with the most labelled bad documents rejected, less ``price`` times
-the good ones, is used; a rule that gains nothing is off.
+Every document gets a few rates (symbols, repeated words, repeated lines, capitals, marks). A
+step is a cutoff for each of them; a step rejects a document when one of its rates exceeds its
+cutoff. The steps are fixed beforehand, from the laxest to the strictest, and each rejects all that
+those before it reject, so a document has one number: the first step that rejects it.
+
+Per stratum, the steps are tried in that order on the labelled good documents. A step is
+certified when the exact binomial test says: if it rejected more than ``risk`` of the good documents,
+so few of them would be hit with probability ``error / tests`` at most. The first
+step that fails ends the sequence, which therefore needs no further correction. There is a test for
+each stratum and one for all strata pooled, and ``tests`` is their number (Bonferroni): with probability
+1 - error, no stratum with a cutoff of its own loses more than ``risk`` of its good documents. Of
+the certified steps the one with the most labelled bad documents rejected, less ``price`` times
+the good ones, is used.
+
+A stratum that can't have a cutoff of its own, because even no hit among its good documents would
+prove nothing yet (rare, NULL or unlabelled strata), gets the pooled one, which bounds the risk over
+all strata together and is marked as pooled; but none if it hits more than ``risk`` of
+the stratum's own labelled good documents. Copies prove nothing new, so each distinct text of a
+stratum counts once.
 
 Spark functions only. Counts and rates are computed inside each row; what is shuffled is a
-narrow row per document for the join with the labels, and sums per stratum, rule and level.
+narrow row per document for the join with the labels, and sums per stratum and step.
 
 Cases: NULL or empty text has no words and all counts 0 (base_failed). A stratum that is NULL
-is one of its own. Documents without a label are judged but teach nothing; a document labelled
-more than once counts once and is good only if all its labels are 1; labels NULL are ignored.
-With no labels every rule is off and only the base test rejects. Repeated documents give
-repeated rows. Windows are compared by 64-bit hashes within one document.
+is one of its own. Documents without a label are judged but teach nothing; a text labelled
+more than once is good only if all its labels are 1; labels NULL are ignored.
+With no labels there are no cutoffs and only the base test rejects. Repeated documents give
+repeated rows. Windows are compared by 64-bit hashes within one document. More than MAX_STRATA strata with
+labels are refused.
 """
 
 from __future__ import annotations
@@ -32,11 +42,22 @@ from ..sources.staging import stage
 from .base import SPACE, let, named_apart, query, table, words
 
 WINDOW = 5
-#: Cutoffs of every rule, laxest first; fixed before any label is seen.
-CUTOFFS = tuple(round(0.5 * 0.9**k, 6) for k in range(40))
-RULES = ("symbol_rate", "repeat_rate", "dup_line_rate", "capital_rate", "mark_rate")
+#: Laxest and strictest cutoff of each rule; fixed before any label is seen.
+RANGES = {
+    "symbol_rate": (0.5, 0.01),
+    "repeat_rate": (0.5, 0.15),
+    "dup_line_rate": (0.9, 0.3),
+    "capital_rate": (0.9, 0.3),
+    "mark_rate": (0.5, 0.1),
+}
+RULES = tuple(RANGES)
+STEPS = 40
+#: The cutoffs of each rule by step, falling by the same factor from step to step.
+CUTOFFS = {
+    r: tuple(round(lax * (strict / lax) ** (k / (STEPS - 1)), 6) for k in range(STEPS)) for r, (lax, strict) in RANGES.items()
+}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: Strata whose cutoffs are broadcast; more is refused, as a stratum should be a coarse class.
+#: Strata with labels, whose cutoffs are broadcast; more is refused, as a stratum should be a coarse class.
 MAX_STRATA = 10_000
 
 
@@ -131,13 +152,14 @@ def count_names(docs: DataFrame) -> dict[str, str]:
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
-    """One narrow row per document: doc_id, stratum, counts, rates and base_failed."""
+    """One narrow row per document: doc_id, stratum, text_key, counts, rates and base_failed."""
     kept = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text).alias("__body"), F.col(stratum).cast("string").alias("stratum")
+        F.col(id_col).alias("doc_id"), F.col(text).alias("__body"), F.col(stratum).cast("string").alias("stratum"),
+        F.xxhash64(text).alias("text_key"),
     )
     n = count_names(kept)
     out = with_counts(kept, "__body", n)
-    return out.select("doc_id", "stratum", *[F.col(n[c]).alias(c) for c in (*COUNTS, *RULES, "base_failed")])
+    return out.select("doc_id", "stratum", "text_key", *[F.col(n[c]).alias(c) for c in (*COUNTS, *RULES, "base_failed")])
 
 
 def log_gamma(x: Column) -> Column:
@@ -182,14 +204,33 @@ def log_tail_below(k: Column, n: Column, p: float) -> Column:
     return let(down, lambda d: top + F.log(d["total"] + d["term"] * shrink / (1 - shrink)))
 
 
-def level(rate: Column) -> Column:
-    """Index of the first (laxest) cutoff that the rate exceeds; len(CUTOFFS) if none."""
-    out = F.lit(len(CUTOFFS))
-    for k in reversed(range(len(CUTOFFS))):
-        out = F.when(rate > CUTOFFS[k], F.lit(k)).otherwise(out)
+def first_step(rates: dict[str, Column]) -> Column:
+    """The first step that rejects a document of these rates; STEPS if none does."""
+    out = F.lit(STEPS)
+    for k in reversed(range(STEPS)):
+        hit = F.lit(False)
+        for r in RULES:
+            hit = hit | (rates[r] > CUTOFFS[r][k])
+        out = F.when(hit, F.lit(k)).otherwise(out)
     return out
 
 
+def labelled(measured: DataFrame, labels: DataFrame, id_col: str, label: str) -> DataFrame:
+    """(stratum, step, good): one row per distinct labelled text of a stratum that passes the base test."""
+    known = (
+        labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("doc_id"))
+        .agg((F.min(F.col(label).cast("int")) == 1).alias("good"))
+    )
+    once = measured.where(~F.col("base_failed")).select(
+        "doc_id", "stratum", "text_key", "n_words", "word_chars", *RULES
+    )
+    texts = once.join(known, "doc_id").groupBy("stratum", "text_key", "n_words", "word_chars").agg(
+        F.min("good").alias("good"), *[F.first(r).alias(r) for r in RULES]
+    )
+    return texts.select("stratum", "good", first_step({r: F.col(r) for r in RULES}).alias("step"))
+
+
 def learn_cutoffs(
     measured: DataFrame,
     labels: DataFrame,
@@ -199,89 +240,91 @@ def learn_cutoffs(
     error: float = 0.05,
     price: float = 5.0,
 ) -> DataFrame:
-    """Stratum, rule, cutoff (NULL: off), n_good, n_bad and what the cutoff rejects of them.
+    """Per stratum with labels: step (NULL: no cutoffs), pooled, n_good, n_bad, rejects_good, rejects_bad.
 
+    One more row, of ``every`` true, is that of all strata pooled, for strata without labels.
     measured: as features() gives it. labels: id_col and label, 1 for good.
     """
-    known = (
-        labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull())
-        .groupBy(F.col(id_col).alias("doc_id"))
-        .agg((F.min(F.col(label).cast("int")) == 1).alias("good"))
+    spark = measured.sparkSession
+    by_step = labelled(measured, labels, id_col, label).groupBy("stratum", "step").agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
     )
-    once = measured.where(~F.col("base_failed")).select("doc_id", "stratum", *RULES)
-    levels = F.array(*[F.struct(F.lit(r).alias("rule"), level(F.col(r)).alias("level")) for r in RULES])
-    counted = (
-        once.join(known, "doc_id")
-        .select("stratum", "good", F.inline(levels))
-        .groupBy("stratum", "rule", "level")
-        .agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    few = by_step.groupBy("stratum").agg(F.collect_list(F.struct("step", "good", "bad")).alias("steps"))
+    rows = few.limit(MAX_STRATA + 1).collect()  # at most STEPS + 1 entries each
+    if len(rows) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata; choose a coarser column")
+    known = spark.createDataFrame(
+        [(r.stratum, s.step, s.good, s.bad) for r in rows for s in r.steps], "stratum string, step int, good long, bad long"
     )
-    # From here on: rows per stratum, rule and level, whatever the number of documents.
-    per_rule = counted.groupBy("stratum", "rule").agg(
+    # From here on: rows per stratum and step, whatever the number of documents.
+    n_tests = len(rows) + 1
+    every = known.select(F.lit(True).alias("every"), F.lit(None).cast("string").alias("stratum"), "step", "good", "bad")
+    each = known.select(F.lit(False).alias("every"), "stratum", "step", "good", "bad")
+    total = each.unionByName(every).groupBy("every", "stratum").agg(
         F.sum("good").alias("n_good"),
         F.sum("bad").alias("n_bad"),
-        F.map_from_entries(F.collect_list(F.struct("level", "good"))).alias("good_at"),
-        F.map_from_entries(F.collect_list(F.struct("level", "bad"))).alias("bad_at"),
-    )
-    everything = Window.partitionBy(F.lit(0))  # a few rows per stratum
-    name = F.coalesce(F.concat(F.lit("="), "stratum"), F.lit(""))
-    per_rule = per_rule.withColumn("n_strata", F.size(F.collect_set(name).over(everything)))
-    steps = per_rule.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(len(CUTOFFS) - 1))))
-    upto = Window.partitionBy("stratum", "rule").orderBy("k")
-    sums = steps.select(
-        "stratum", "rule", "n_good", "n_bad", "n_strata", "k",
-        F.sum(F.coalesce(F.try_element_at("good_at", F.col("k")), F.lit(0))).over(upto).alias("hit_good"),
-        F.sum(F.coalesce(F.try_element_at("bad_at", F.col("k")), F.lit(0))).over(upto).alias("hit_bad"),
+        *[
+            F.array(*[F.coalesce(F.sum(F.when(F.col("step") <= k, F.col(c))), F.lit(0)) for k in range(STEPS)]).alias(f"hit_{c}")
+            for c in ("good", "bad")
+        ],
     )
-    share = risk / len(RULES)
-    passes = (F.col("n_good") > 0) & (F.col("hit_good") < share * F.col("n_good"))
-    ln_p = F.when(passes, log_tail_below(F.col("hit_good"), F.col("n_good"), share))
-    passes = F.coalesce(ln_p <= F.log(F.lit(error) / (len(RULES) * F.col("n_strata"))), F.lit(False))
-    tested = sums.withColumn("passes", passes).withColumn("certified", F.min("passes").over(upto))
-    gain = F.col("hit_bad") - price * F.col("hit_good")
+    tried = total.select("*", F.posexplode("hit_good").alias("k", "hits")).withColumn("hits_bad", F.get("hit_bad", F.col("k")))
+    possible = (F.col("n_good") > 0) & (F.col("hits") < risk * F.col("n_good"))
+    ln_p = F.when(possible, log_tail_below(F.col("hits"), F.col("n_good"), risk))
+    sequence = Window.partitionBy("every", "stratum").orderBy("k")
+    passes = F.coalesce(ln_p <= math.log(error / n_tests), F.lit(False))
+    gain = F.col("hits_bad") - price * F.col("hits")
     best = F.max(
-        F.when(
-            F.col("certified") & (gain > 0),
-            F.struct(gain.alias("gain"), (-F.col("k")).alias("laxest"), "k", "hit_good", "hit_bad"),
-        )
+        F.when(F.col("certified") & (gain > 0), F.struct(gain.alias("gain"), (-F.col("k")).alias("laxest"), "k"))
     )
-    cutoffs = F.array(*[F.lit(c) for c in CUTOFFS])
-    return (
-        tested.groupBy("stratum", "rule", "n_good", "n_bad")
-        .agg(best.alias("b"))
-        .select(
-            "stratum", "rule", F.get(cutoffs, F.col("b.k")).alias("cutoff"), "n_good", "n_bad",
-            F.col("b.hit_good").alias("rejects_good"), F.col("b.hit_bad").alias("rejects_bad"),
-        )
+    chosen = (
+        tried.withColumn("passes", passes)
+        .withColumn("certified", F.min("passes").over(sequence))
+        .groupBy("every", "stratum", "n_good", "n_bad", "hit_good", "hit_bad")
+        .agg(best["k"].alias("own"))
+    )
+    pooled = chosen.where("every").select(F.col("own").alias("common"))  # one row, if any
+    # No hit at all among so many good documents would prove nothing.
+    rare = F.col("n_good") * math.log1p(-risk) > math.log(error / n_tests)
+    fits = F.get("hit_good", F.col("common")) <= risk * F.col("n_good")
+    step = F.when(F.col("every") | ~rare, F.col("own")).when(fits, F.col("common"))
+    found = chosen.join(F.broadcast(pooled), F.lit(True), "left").select(
+        "every", "stratum", step.alias("step"), (F.col("every") | rare).alias("pooled"), "n_good", "n_bad", "hit_good", "hit_bad"
+    )
+    at = lambda c: F.coalesce(F.get(c, F.col("step")), F.lit(0))
+    return found.select(
+        "every", "stratum", "step", "pooled", "n_good", "n_bad", at("hit_good").alias("rejects_good"), at("hit_bad").alias("rejects_bad")
     )
 
 
-def by_stratum(cutoffs: DataFrame) -> DataFrame:
-    """One row per stratum with a cutoff column per rule, checked to be few."""
-    spark = cutoffs.sparkSession
-    wide = cutoffs.groupBy(F.col("stratum").alias("__stratum")).agg(
-        *[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"__cut_{r}") for r in RULES]
-    )
-    rows = wide.limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata; choose a coarser column")
-    return spark.createDataFrame([tuple(r) for r in rows], wide.schema)
+def with_step(df: DataFrame, cutoffs: DataFrame, stratum: str, out: str) -> DataFrame:
+    """df with the step of its stratum, or of all strata where the stratum has no labels."""
+    rows = cutoffs.select("every", "stratum", "step").collect()  # MAX_STRATA + 1 at most
+    common = next((r.step for r in rows if r.every), None)
+    name = named_apart(df, "stratum", "step")
+    few = df.sparkSession.createDataFrame(
+        [(r.stratum, r.step) for r in rows if not r.every], f"{name['stratum']} string, {name['step']} int"
+    ).withColumn(out, F.coalesce(name["step"], F.lit(STEPS)))
+    same = F.col(stratum).cast("string").eqNullSafe(F.col(name["stratum"]))
+    joined = df.join(F.broadcast(few), same, "left")
+    return joined.withColumn(out, F.coalesce(out, F.lit(STEPS if common is None else common))).drop(*name.values())
 
 
-def rejected(names: dict[str, str] | None = None) -> Column:
-    """True where a rule with a cutoff rejects; needs the columns of by_stratum()."""
-    at = names or {r: r for r in RULES}
+def rejected(step: str, names: dict[str, str]) -> Column:
+    """True where a rate exceeds its cutoff of the step; no step rejects nothing."""
     out = F.lit(False)
     for r in RULES:
-        out = out | F.coalesce(F.col(at[r]) > F.col(f"__cut_{r}"), F.lit(False))
+        cut = F.get(F.array(*[F.lit(c) for c in CUTOFFS[r]]), F.col(step))
+        out = out | F.coalesce(F.col(names[r]) > cut, F.lit(False))
     return out
 
 
 def judge(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """measured with kept: neither the base test nor a rule rejects."""
-    cut = by_stratum(cutoffs)  # MAX_STRATA rows at most
-    joined = measured.join(F.broadcast(cut), F.col("stratum").eqNullSafe(F.col("__stratum")), "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~rejected()).drop(*cut.columns)
+    """measured with kept: neither the base test nor the step of the stratum rejects."""
+    own = named_apart(measured, "cut")["cut"]
+    joined = with_step(measured, cutoffs, "stratum", own)
+    kept = ~F.col("base_failed") & ~rejected(own, {r: r for r in RULES})
+    return joined.withColumn("kept", kept).drop(own)
 
 
 def keep_good(
@@ -291,20 +334,21 @@ def keep_good(
 
     Texts are measured twice, once narrowly for learning and once here, and never shuffled.
     """
-    cut = by_stratum(learn_cutoffs(features(docs, id_col, text, stratum), labels, id_col, **risk))
+    cutoffs = learn_cutoffs(features(docs, id_col, text, stratum), labels, id_col, **risk)
     n = count_names(docs)
-    joined = with_counts(docs, text, n).join(
-        F.broadcast(cut), F.col(stratum).cast("string").eqNullSafe(F.col("__stratum")), "left"
-    )
-    return joined.where(~F.col(n["base_failed"]) & ~rejected(n)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    counted = with_counts(docs, text, n)
+    own = named_apart(counted, "cut")["cut"]
+    joined = with_step(counted, cutoffs, stratum, own)
+    return joined.where(~F.col(n["base_failed"]) & ~rejected(own, n)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _sql(risk: float = 0.02, error: float = 0.05, price: float = 5.0) -> str:
     """The same in SQL: words by text, tails by the logarithm of the gamma function."""
-    n, share = len(RULES), risk / len(RULES)
-    rules = " UNION ALL ".join(f"SELECT doc_id, stratum, '{r}' AS rule, {r} AS v FROM rated WHERE NOT base_failed" for r in RULES)
-    cutoffs = ", ".join(f"({k}, CAST({c} AS DOUBLE))" for k, c in enumerate(CUTOFFS))
-    over = " OR ".join(f"coalesce({r} > max(cutoff) FILTER (WHERE rule = '{r}'), false)" for r in RULES)
+    steps = ", ".join(
+        f"({k}, " + ", ".join(f"CAST({CUTOFFS[r][k]} AS DOUBLE)" for r in RULES) + ")" for k in range(STEPS)
+    )
+    names = ", ".join(f"c_{r}" for r in RULES)
+    over = " OR ".join(f"{r} > c_{r}" for r in RULES)
     return rf"""
 WITH w AS (
   SELECT doc_id, lang AS stratum, coalesce(text, '') AS t,
@@ -316,7 +360,7 @@ wins AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS win FROM star
 twice AS (SELECT doc_id, i FROM wins QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
 cover AS (SELECT doc_id, count(DISTINCT p) AS c FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id),
 counted AS (
-  SELECT doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+  SELECT doc_id, stratum, t, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
          CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
          length(t) - length(regexp_replace(t, '\p{{Lu}}+', '', 'g')) AS n_capitals,
          length(t) - length(regexp_replace(t, '[!?]+', '', 'g')) AS n_marks,
@@ -330,26 +374,44 @@ rated AS (
          n_marks / greatest(word_chars, 1) AS mark_rate
   FROM counted),
 known AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-labelled AS (SELECT stratum, rule, v, good FROM ({rules}) JOIN known USING (doc_id)),
-cutoffs(k, cutoff) AS (VALUES {cutoffs}),
-tried AS (
-  SELECT stratum, rule, k, cutoff, count(*) FILTER (WHERE good) AS n_good,
-         count(*) FILTER (WHERE good AND v > cutoff) AS hit_good, count(*) FILTER (WHERE NOT good AND v > cutoff) AS hit_bad,
-         (SELECT count(DISTINCT coalesce('=' || stratum, '')) FROM labelled) AS n_strata
-  FROM labelled, cutoffs GROUP BY stratum, rule, k, cutoff),
+steps(k, {names}) AS (VALUES {steps}),
+texts AS (
+  SELECT stratum, bool_and(good) AS good, {", ".join(f"min({r}) AS {r}" for r in RULES)}
+  FROM rated JOIN known USING (doc_id) WHERE NOT base_failed GROUP BY stratum, t),
+hit AS (SELECT stratum, good, k, {over} AS hit FROM texts, steps),
+counted_hits AS (
+  SELECT false AS pooled, stratum, k, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE good AND hit) AS g,
+         count(*) FILTER (WHERE NOT good AND hit) AS b FROM hit GROUP BY ALL
+  UNION ALL
+  SELECT true, NULL, k, count(*) FILTER (WHERE good), count(*) FILTER (WHERE good AND hit),
+         count(*) FILTER (WHERE NOT good AND hit) FROM hit GROUP BY k),
+limits AS (SELECT ln(CAST({error} AS DOUBLE) / count(DISTINCT (pooled, stratum))) AS ln_error FROM counted_hits),
 tested AS (
-  SELECT *, hit_good < {share} * n_good AND list_sum(list_transform(range(hit_good + 1), lambda i: exp(
-             lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({share}) + (n_good - i) * ln(1 - {share}))))
-           <= {error} / ({n} * n_strata) AS passes
-  FROM tried),
+  SELECT *, n_good * ln(1 - {risk}) > ln_error AS rare,
+         g < {risk} * n_good AND ln(list_sum(list_transform(range(g + 1), lambda i: exp(
+             lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({risk}) + (n_good - i) * ln(1 - {risk})))))
+           <= ln_error AS passes
+  FROM counted_hits, limits),
 certified AS (
-  SELECT *, bool_and(passes) OVER (PARTITION BY stratum, rule ORDER BY k) AS sure, hit_bad - {price} * hit_good AS gain FROM tested),
+  SELECT *, bool_and(passes) OVER (PARTITION BY pooled, stratum ORDER BY k) AS sure, b - {price} * g AS gain FROM tested),
+own AS (
+  SELECT pooled, stratum, k FROM certified WHERE sure AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY pooled, stratum ORDER BY gain DESC, k) = 1),
+common AS (SELECT k FROM own WHERE pooled),
 chosen AS (
-  SELECT stratum, rule, cutoff FROM certified WHERE sure AND gain > 0
-  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, k) = 1)
-SELECT doc_id, {", ".join(COUNTS)}, base_failed, NOT base_failed AND NOT ({over}) AS kept, {", ".join(RULES)}
-FROM rated LEFT JOIN chosen ON rated.stratum IS NOT DISTINCT FROM chosen.stratum
-GROUP BY doc_id, {", ".join(COUNTS)}, base_failed, {", ".join(RULES)}
+  SELECT DISTINCT c.stratum, CASE WHEN NOT c.rare THEN o.k
+                                  WHEN p.g <= {risk} * p.n_good THEN p.k END AS k
+  FROM (SELECT DISTINCT stratum, rare FROM tested WHERE NOT pooled) c
+  LEFT JOIN own o ON NOT o.pooled AND o.stratum IS NOT DISTINCT FROM c.stratum
+  LEFT JOIN (SELECT * FROM tested WHERE NOT pooled AND k = (SELECT k FROM common)) p
+    ON p.stratum IS NOT DISTINCT FROM c.stratum),
+placed AS (
+  SELECT r.*, CASE WHEN EXISTS (SELECT 1 FROM chosen c WHERE c.stratum IS NOT DISTINCT FROM r.stratum)
+                   THEN (SELECT max(k) FROM chosen c WHERE c.stratum IS NOT DISTINCT FROM r.stratum)
+                   ELSE (SELECT max(k) FROM common) END AS k
+  FROM rated r)
+SELECT doc_id, {", ".join(COUNTS)}, base_failed, NOT base_failed AND NOT coalesce({over}, false) AS kept, {", ".join(RULES)}
+FROM placed LEFT JOIN steps USING (k)
 """
 
 

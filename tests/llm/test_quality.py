@@ -54,60 +54,120 @@ def test_exact_tail(spark):
             assert r.x == pytest.approx(math.log(binomial(r.k, r.n, p)), rel=1e-7, abs=1e-9)
 
 
-def brute_cutoffs(measured, labels, risk, error, price):
-    strata = {m["stratum"] for m in measured if not m["base_failed"] and m["doc_id"] in labels}
+def brute_steps(measured, labels, risk=0.02, error=0.05, price=5.0):
+    """Stratum -> (step, pooled); 'every' for all strata. Tests on distinct texts, one per line of measured."""
+    texts = {}
+    for m in measured:
+        if not m["base_failed"] and labels.get(m["doc_id"]) is not None:
+            key = m["stratum"], m["text"]
+            texts[key] = m, min(labels[m["doc_id"]], texts.get(key, (m, 1))[1])
+    own = {}
+    for (s, _), (m, good) in texts.items():
+        own.setdefault(("one", s), []).append((m, good))
+        own.setdefault(("every", None), []).append((m, good))
+    level = math.log(error / max(1, len(own)))
+
+    def hits(rows, k, good):
+        return sum(any(m[r] > quality.CUTOFFS[r][k] for r in quality.RULES) for m, q in rows if q == good)
+
     out = {}
-    for s in strata:
-        for rule in quality.RULES:
-            own = [(m[rule], labels[m["doc_id"]]) for m in measured
-                   if m["stratum"] == s and not m["base_failed"] and m["doc_id"] in labels]
-            good = [v for v, q in own if q]
-            bad = [v for v, q in own if not q]
-            best = (0, None)
-            for c in quality.CUTOFFS:
-                g, b = sum(v > c for v in good), sum(v > c for v in bad)
-                share = risk / len(quality.RULES)
-                if not (good and g < share * len(good) and binomial(g, len(good), share) <= error / (len(quality.RULES) * len(strata))):
-                    break
-                if b - price * g > best[0]:
-                    best = (b - price * g, c)
-            out[s, rule] = best[1]
+    for key, rows in own.items():
+        n, best = sum(q for _, q in rows), (0, None)
+        for k in range(quality.STEPS):
+            g, b = hits(rows, k, 1), hits(rows, k, 0)
+            if not (g < risk * n and math.log(binomial(g, n, risk)) <= level):
+                break
+            if b - price * g > best[0]:
+                best = (b - price * g, k)
+        out[key] = best[1]
+    common = out.get(("every", None))
+    for (kind, s), rows in own.items():
+        n = sum(q for _, q in rows)
+        if kind == "one" and n * math.log1p(-risk) > level:
+            fits = common is not None and hits(rows, common, 1) <= risk * n
+            out[kind, s] = common if fits else None
     return out
 
 
-def test_cutoffs_against_brute_force(spark):
-    rng = __import__("random").Random(3)
+def planted(rng, spoilt):
+    """Strata with many labels, with few, with odd good documents, with copies only, NULL and unlabelled."""
     docs, labels = [], []
-    for i in range(1500):
-        bad = rng.random() < 0.3
-        lang = rng.choice(["a", "b", None])
-        body = [f"w{rng.randrange(9**9)}" + ("***" if bad and rng.random() < 0.8 else "") for _ in range(30)]
-        docs.append((i, " ".join(body), lang))
-        labels.append((i, 0 if bad else 1))
-    labels += [(0, labels[0][1]), (1, None), (None, 1), (99_999, 1)]
+
+    def add(lang, n, bad_share=0.3, odd=0.0, copies=1, label=True):
+        for _ in range(n):
+            bad = rng.random() < bad_share
+            symbols = "***" if (bad and rng.random() < 0.9) or (not bad and rng.random() < odd) else ""
+            text = " ".join(f"w{rng.randrange(9**9)}{symbols}" for _ in range(30))
+            for _ in range(copies):
+                docs.append((len(docs), text, lang))
+                if label:
+                    labels.append((len(docs) - 1, 0 if bad else 1))
+
+    add("many", 1500)
+    add("few", 60)
+    add("odd", 14, odd=0.5)
+    if spoilt:  # the pooled sequence fails at its first step
+        add("odd and many", 400, odd=0.5)
+    add("copies", 20, copies=30)
+    add(None, 30)
+    add("unlabelled", 40, label=False)
+    return docs, labels
+
+
+@pytest.mark.parametrize("spoilt", [False, True])
+def test_cutoffs_against_brute_force(spark, spoilt):
+    docs, labels = planted(__import__("random").Random(3), spoilt)
+    extra = [(0, labels[0][1]), (1, None), (None, 1), (99_999, 1)]
     df = spark.createDataFrame(docs, SCHEMA)
     measured = quality.features(df)
-    label_rows = spark.createDataFrame(labels, "doc_id long, quality int")
-    options = {"risk": 0.2, "error": 0.1, "price": 5.0}
-    got = {(r.stratum, r.rule): r.cutoff for r in quality.learn_cutoffs(measured, label_rows, **options).collect()}
-    want = brute_cutoffs([r.asDict() for r in measured.collect()], dict(labels[:1500]), **options)
-    assert got == want and any(got.values())
-    judged = quality.judge(measured, quality.learn_cutoffs(measured, label_rows, **options)).collect()
-    for r in judged:
-        cut = [want.get((r.stratum, rule)) for rule in quality.RULES]
-        assert r.kept == (not r.base_failed and not any(c is not None and r[rule] > c for c, rule in zip(cut, quality.RULES, strict=True)))
-    kept = quality.keep_good(df, label_rows, **options)
+    label_rows = spark.createDataFrame(labels + extra, "doc_id long, quality int")
+    found = quality.learn_cutoffs(measured, label_rows).collect()  # production parameters
+    got = {("every" if r.every else "one", r.stratum): r.step for r in found}
+    text = {d: t for d, t, _ in docs}
+    want = brute_steps([r.asDict() | {"text": text[r.doc_id]} for r in measured.collect()], dict(labels))
+    assert got == want
+    rows = {r.stratum: r for r in found if not r.every}
+    assert got["one", "many"] is not None and not rows["many"].pooled and rows["many"].rejects_good == 0
+    assert rows["many"].rejects_bad > 0.8 * rows["many"].n_bad
+    for s in ("few", "copies", None):  # too few distinct texts for a cutoff of their own
+        assert rows[s].pooled and got["one", s] == got["every", None]
+    assert rows["copies"].n_good + rows["copies"].n_bad == 20
+    assert got["one", "odd"] is None and got.get(("one", "odd and many")) is None
+    assert (got["every", None] is None) == spoilt
+    judged = {r.doc_id: r for r in quality.judge(measured, quality.learn_cutoffs(measured, label_rows)).collect()}
+    for d, _, lang in docs:
+        r, step = judged[d], got["one", lang] if ("one", lang) in got else got["every", None]
+        cut = step is not None and any(r[rule] > quality.CUTOFFS[rule][step] for rule in quality.RULES)
+        assert r.kept == (not r.base_failed and not cut)
+    assert spoilt != any(not judged[d].kept for d, _, lang in docs if lang == "unlabelled")
+    kept = quality.keep_good(df, label_rows)
     assert kept.columns == df.columns
-    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in judged if r.kept}
+    assert {r.doc_id for r in kept.collect()} == {d for d, r in judged.items() if r.kept}
+
+
+def test_the_given_labels_reject_bad_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    for r in quality.learn_cutoffs(quality.features(docs), labels).collect():
+        assert r.step is not None and r.rejects_good <= 0.02 * r.n_good and r.rejects_bad >= 0.9 * r.n_bad
+        assert r.every or not r.pooled
+
+
+def test_too_many_strata_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MAX_STRATA", 3)
+    df = spark.range(4).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(20)), lambda x: F.concat(F.lit("w"), x)), " ").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError):
+        quality.learn_cutoffs(quality.features(df), df.select("doc_id", F.lit(1).alias("quality")))
 
 
 def test_empty_and_clashing(spark):
-    schema = SCHEMA + ", n_words string, stratum int, kept int, `a.b` int, __words int"
+    schema = SCHEMA + ", n_words string, stratum int, kept int, `a.b` int, __words int, __stratum int, __cut int, __step int"
     empty = spark.createDataFrame([], schema)
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.keep_good(empty, labels).count() == 0
     text = " ".join(f"w{i}" for i in range(12))
-    df = spark.createDataFrame([(1, text, None, "x", 1, 2, 3, 4), (1, text, None, "x", 1, 2, 3, 4), (2, None, "e", None, None, None, None, None), (None, text, "e", "y", 1, 1, 1, 1)], schema)
+    df = spark.createDataFrame([(1, text, None, "x", 1, 2, 3, 4, 5, 6, 7), (1, text, None, "x", 1, 2, 3, 4, 5, 6, 7), (2, None, "e", *[None] * 8), (None, text, "e", "y", *[1] * 7)], schema)
     out = quality.keep_good(df, labels)
     assert out.columns == df.columns
     assert sorted((r.doc_id or 0, r["a.b"]) for r in out.collect()) == [(0, 1), (1, 3), (1, 3)]
