@@ -10,14 +10,19 @@ hit by one of them at some offset, which tests/llm checks by trying all substitu
 item has masks of its own (short_masks): its words are cut into PARTS parts, and a mask leaves out
 as many parts as words may differ, so every allowed substitution misses one of the masks.
 
+Hits that follow each other on one alignment are verified once, at the first of them: where
+words repeat, n places of a document and m of an item cost about n + m verifications, not n x m.
+
 Spark functions only, and no shuffle of texts: positions are generated, hashed, looked up and
-verified inside one stage. The benchmark's seeds are broadcast in blocks of BLOCK_ROWS rows at
-most, one pass over the documents for each, so the broadcast does not grow with the benchmark.
+verified inside one stage. Long items are cut into segments that share WINDOW - 1 words, so every
+window lies in one. Segments are dealt by hash to blocks of about BLOCK_ROWS seeds, and a block is
+broadcast, one pass over the documents for each: neither more nor longer items make a broadcast grow.
 
 Cases: NULL and empty texts or items have no words and match nothing. Items of fewer than
-LEAST words are not told from chance and match nothing. What lies beyond either end of a document
-counts as different words. Repeated documents each get their row; repeated items
-count once per item_id. Rows with a NULL id take part like any other id.
+``least`` words match nothing; report() says how many there are. With least=1 they match exactly. What
+lies beyond either end of a document counts as different words. A document is known by its id
+and its text: rows that share an id (or have none) are judged each by its own text, repeated rows each
+get their row. Repeated items count once per item_id. Other columns may have any names.
 """
 
 from __future__ import annotations
@@ -29,12 +34,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import query, table, words
+from .base import let, named_apart, query, table, words
 
 MASKS = ("11010111", "11010001011")
 WINDOW = 13
 SHARE = 0.8
 LEAST = 5
+#: Words of a segment of an item, without those that the next one shares.
+SEGMENT = 2000
 #: Parts that an item of fewer than WINDOW words is cut into.
 PARTS = 5
 #: Seed rows that are broadcast at once (32 bytes each).
@@ -82,34 +89,74 @@ def short_masks(n: int) -> list[tuple[int, str]]:
     return sorted(set(found))
 
 
-def overlap(mine: Column, theirs: Column) -> Column:
-    """Most agreeing places in WINDOW consecutive ones (all of a shorter item)."""
-    same = F.zip_with(mine, theirs, lambda x, y: F.coalesce((x == y).cast("int"), F.lit(0)))
-    width = F.least(F.lit(WINDOW), F.size(theirs))
-    return F.array_max(
-        F.transform(
-            F.sequence(F.lit(1), F.size(theirs) - width + 1),
-            lambda i: F.aggregate(F.slice(same, i, width), F.lit(0), lambda a, x: a + x),
-        )
+#: Words on either side of a hit that a window around it can have, with the hits that follow it at once.
+AROUND = 2 * WINDOW + 3
+
+
+def neighbourhood() -> dict[str, Column]:
+    """The words of a hit's item around it, and those of the document beside them.
+
+    ahead: how many of the former lie before the document. These columns are made inside the join,
+    so a hit carries a few words along and not the document.
+    """
+    low = F.greatest(F.lit(0), F.col("item_place") - WINDOW)
+    begin = F.col("place") - F.col("item_place") + low
+    return {
+        "theirs": F.slice("item_codes", low + 1, AROUND),
+        "mine": F.slice("codes", F.greatest(begin, F.lit(0)) + 1, AROUND),
+        "ahead": F.greatest(-begin, F.lit(0)),
+        "width": F.least(F.lit(WINDOW), F.size("item_codes")),
+    }
+
+
+def overlap(mine: Column, theirs: Column, ahead: Column, width: Column) -> Column:
+    """Most agreeing places in width consecutive ones, by running sums."""
+    same = F.transform(
+        theirs,
+        lambda x, k: F.when(
+            (k >= ahead) & (k - ahead < F.size(mine)), (F.get(mine, k - ahead) == x).cast("int")
+        ).otherwise(0),
     )
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("best"))
+
+    def step(s: Column, a: Column, k: Column) -> Column:
+        n = a["n"] + F.get(s, k) - F.when(k >= width, F.get(s, k - width)).otherwise(0)
+        return let(n, lambda t: F.struct(t.alias("n"), F.when(k >= width - 1, F.greatest(a["best"], t)).otherwise(0).alias("best")))
+
+    return let(same, lambda s: F.aggregate(F.sequence(F.lit(0), F.size(s) - 1), zero, lambda a, k: step(s, a, k))["best"])
+
+
+def coded_items(benchmark: DataFrame, item_col: str, item_text: str) -> DataFrame:
+    """Distinct (item_id, item_codes) of items with words."""
+    coded = benchmark.select(F.col(item_col).alias("item_id"), word_codes(F.col(item_text)).alias("item_codes"))
+    return coded.where(F.size("item_codes") > 0).distinct()
+
+
+def segments(items: DataFrame) -> DataFrame:
+    """Items in segments of bounded length that share WINDOW - 1 words; any window lies in one."""
+    last = F.greatest(F.lit(0), F.floor((F.size("item_codes") - WINDOW) / SEGMENT)).cast("int")
+    cut = F.transform(
+        F.sequence(F.lit(0), last), lambda k: F.slice(F.col("item_codes"), k * SEGMENT + 1, F.lit(SEGMENT + WINDOW - 1))
+    )
+    return items.select("item_id", F.explode(cut).alias("item_codes"))
 
 
 def leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
-    item_col: str = "item_id", item_text: str = "text",
+    item_col: str = "item_id", item_text: str = "text", least: int = LEAST,
 ) -> DataFrame:
-    """(doc_id, item_id, matched): items that a document has a window of, and its best match."""
-    items = (
-        benchmark.select(F.col(item_col).alias("item_id"), word_codes(F.col(item_text)).alias("item_codes"))
-        .where(F.size("item_codes") >= LEAST)
-        .distinct()
-    )
+    """(doc_id, text_key, item_id, matched): items that a document has a window of, and its best match.
+
+    text_key: xxhash64 of the text.
+    """
+    items = segments(coded_items(benchmark, item_col, item_text).where(F.size("item_codes") >= least))
+    items = items.select(F.xxhash64("item_id", "item_codes").alias("part"), "item_id", "item_codes")
     short = sorted(
         r.n for r in items.where(F.size("item_codes") < WINDOW).select(F.size("item_codes").alias("n")).distinct().collect()
-    )  # WINDOW - LEAST numbers at most
+    )  # fewer than WINDOW numbers
     own = [(n, at, mask) for n in short for at, mask in short_masks(n)]
     masks = (*MASKS, *sorted({mask for _, _, mask in own}))
-    item_seeds = seeds(items, "item_codes", MASKS, ["item_id"]).select("item_id", "place", "seed")
+    item_seeds = seeds(items, "item_codes", MASKS, ["part"]).select("part", "place", "seed")
     if own:
         short_seeds = [
             F.struct(
@@ -118,58 +165,83 @@ def leaks(
             )
             for n, at, mask in own
         ]
-        few = items.where(F.size("item_codes") < WINDOW).select("item_id", F.inline(F.array(*short_seeds)))
+        few = items.where(F.size("item_codes") < WINDOW).select("part", F.inline(F.array(*short_seeds)))
         item_seeds = item_seeds.union(few.where("seed IS NOT NULL"))
     item_seeds = item_seeds.select(
-        F.col("item_id").alias("seed_item"), F.col("place").alias("item_place"), F.col("seed").alias("item_seed")
+        F.col("part").alias("seed_part"), F.col("place").alias("item_place"), F.col("seed").alias("item_seed")
     )
     n_blocks = max(1, math.ceil(item_seeds.count() / BLOCK_ROWS))
-    coded = docs.select(F.col(id_col).alias("doc_id"), word_codes(F.col(text)).alias("codes"))
-    at = seeds(coded, "codes", masks, ["doc_id"])
-    part = lambda c, b: F.pmod(F.xxhash64(c), F.lit(n_blocks)) == b
+    coded = docs.select(
+        F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), word_codes(F.col(text)).alias("codes")
+    )
+    at = seeds(coded, "codes", masks, ["doc_id", "text_key"])
     found = []
     for b in range(n_blocks):
-        # About BLOCK_ROWS seeds each, and the items that they come from.
-        some_seeds = F.broadcast(item_seeds.where(part("seed_item", b)))
-        some_items = F.broadcast(items.where(part("item_id", b)))
-        hits = at.join(some_seeds, F.col("seed") == F.col("item_seed")).join(
-            some_items, F.col("seed_item").eqNullSafe(F.col("item_id"))
-        )
-        shift = F.col("place") - F.col("item_place")
-        # The item's extent in the document; places outside it agree with nothing.
-        mine = F.transform("item_codes", lambda x, k: F.when(shift + k >= 0, F.get(F.col("codes"), shift + k)))
-        matched = overlap(mine, F.col("item_codes"))
-        need = F.ceil(F.least(F.lit(WINDOW), F.size("item_codes")) * F.lit(SHARE))
+        some_seeds = F.broadcast(item_seeds.where(F.pmod("seed_part", F.lit(n_blocks)) == b))
+        some_items = F.broadcast(items.where(F.pmod("part", F.lit(n_blocks)) == b))
+        hits = at.join(some_seeds, F.col("seed") == F.col("item_seed")).join(some_items, F.col("seed_part") == F.col("part"))
+        hits = hits.where(~follows())
+        near = hits.select("doc_id", "text_key", "item_id", *[c.alias(n) for n, c in neighbourhood().items()])
+        matched = overlap(*[F.col(c) for c in ("mine", "theirs", "ahead", "width")])
+        need = F.ceil(F.col("width") * F.lit(SHARE))
         found.append(
-            hits.select("doc_id", "item_id", matched.alias("matched"), need.alias("need"))
+            near.select("doc_id", "text_key", "item_id", matched.alias("matched"), need.alias("need"))
+            .groupBy("doc_id", "text_key", "item_id")
+            .agg(F.max("matched").alias("matched"), F.min("need").alias("need"))
+            # After the sum: before it, Spark would verify inside the join, for every pair of places.
             .where("matched >= need")
-            .groupBy("doc_id", "item_id")
-            .agg(F.max("matched").alias("matched"))
+            .drop("need")
         )
-    return reduce(DataFrame.union, found)
+    every = reduce(DataFrame.union, found)
+    # Segments of an item can be in several blocks.
+    return every if n_blocks == 1 else every.groupBy("doc_id", "text_key", "item_id").agg(F.max("matched").alias("matched"))
+
 
+def follows() -> Column:
+    """True where as many words as a mask has agree from one place before, on the same alignment.
 
-def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", **items) -> DataFrame:
-    """doc_id, contaminated, n_items, item_ids (ascending) and best match for every document."""
+    That place is a hit of the same mask then, so only the first hit of such a run is left.
+    """
+    span = max(map(len, MASKS))
+    before = F.slice("codes", F.col("place"), span) == F.slice("item_codes", F.col("item_place"), span)
+    return F.when((F.size("item_codes") >= WINDOW) & (F.col("place") > 0) & (F.col("item_place") > 0), before).otherwise(False)
+
+
+def report(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id",
+    item_text: str = "text", least: int = LEAST,
+) -> DataFrame:
+    """doc_id, contaminated, n_items, item_ids (ascending), best match and the items too short to be looked for, for every row."""
+    short = coded_items(benchmark, item_col, item_text).where(F.size("item_codes") < least).count()
     per_doc = (
-        leaks(docs, benchmark, id_col, text, **items)
-        .groupBy(F.col("doc_id").alias("__hit"))
-        .agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"), F.max("matched").alias("matched"))
+        leaks(docs, benchmark, id_col, text, item_col, item_text, least)
+        .groupBy(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"))
+        .agg(
+            F.sort_array(F.collect_list("item_id")).alias("item_ids"),
+            F.count("*").alias("n_items"),
+            F.max("matched").alias("matched"),
+        )
     )
-    joined = docs.select(F.col(id_col).alias("doc_id")).join(per_doc, F.col("doc_id").eqNullSafe(F.col("__hit")), "left")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"))
+    joined = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_key") == F.col("hit_key")), "left")
     return joined.select(
         "doc_id",
         F.col("item_ids").isNotNull().alias("contaminated"),
-        F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("n_items", F.lit(0)).alias("n_items"),
         F.coalesce("item_ids", F.array().cast(joined.schema["item_ids"].dataType)).alias("item_ids"),
         F.coalesce("matched", F.lit(0)).cast("long").alias("matched"),
+        F.lit(short).cast("long").alias("short_items"),
     )
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", **items) -> DataFrame:
     """docs without the documents that hold a passage of the benchmark."""
-    bad = leaks(docs, benchmark, id_col, text, **items).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__hit")), "left_anti")
+    name = named_apart(docs, "id", "key")
+    bad = leaks(docs, benchmark, id_col, text, **items).select(
+        F.col("doc_id").alias(name["id"]), F.col("text_key").alias(name["key"])
+    )
+    same = F.col(id_col).eqNullSafe(F.col(name["id"])) & (F.xxhash64(text) == F.col(name["key"]))
+    return docs.join(bad.distinct(), same, "left_anti")
 
 
 SQL = r"""
@@ -196,7 +268,8 @@ per_doc AS (
          max(matched) AS matched
   FROM hits GROUP BY doc_id)
 SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items,
-       coalesce(item_ids, '') AS item_ids, coalesce(matched, 0) AS matched
+       coalesce(item_ids, '') AS item_ids, coalesce(matched, 0) AS matched,
+       (SELECT count(*) FROM b WHERE len(w) BETWEEN 1 AND 4) AS short_items
 FROM d LEFT JOIN per_doc USING (doc_id)
 """
 

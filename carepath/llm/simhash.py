@@ -21,7 +21,7 @@ as it has members. Links of all tasks meet in components().
 
 Cases: NULL or empty texts, and texts of spaces, have the fingerprint zero and are linked like
 any other. Shorter texts have one shingle. Repeated documents give repeated rows of one class.
-A NULL doc_id is kept, in the class of its fingerprint.
+A NULL doc_id is kept, in the class of its fingerprint. An empty table gives none. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .base import query, table
+from .base import named_apart, query, table
 from .components import components, local_roots
 from .wordbytes import blocks, text_bytes, word_bounds
 
@@ -267,15 +267,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle
     return marked.join(by_fp, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, bits: int = 4) -> DataFrame:
-    """docs without those that have a document of a smaller id in their class.
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 4, bits: int = 4) -> DataFrame:
+    """One document of each class, that of the smallest id; with the columns of docs.
 
-    Repeated rows of the id that stays are reduced to one; rows with a NULL id stay.
+    Rows that share an id are told apart by their texts: of the smallest id of a class, the row of the smallest
+    xxhash64(text) stays, and one of rows that are equal in both. Rows with a NULL id stay.
     """
-    found = classes(docs, id_col, text, shingle, bits)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    joined = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi")
-    once = joined.dropDuplicates([id_col])
+    name = named_apart(docs, "id", "code", "kept")
+    known = docs.where(F.col(id_col).isNotNull()).withColumn(name["code"], F.xxhash64(text))
+    who = F.struct(F.col(id_col).alias("id"), F.col(name["code"]).alias("code"))
+    found = classes(known.select(who.alias("who"), F.col(text).alias("text")), "who", "text", shingle, bits)
+    first = found.where("doc_id = component_id").select(F.col("doc_id.id").alias(name["id"]), F.col("doc_id.code").alias(name["kept"]))
+    same = (F.col(id_col) == F.col(name["id"])) & (F.col(name["code"]) == F.col(name["kept"]))
+    kept = known.join(first, same, "left_semi")
+    once = kept.dropDuplicates([id_col, name["code"]]).drop(name["code"])
     return once.unionByName(docs.where(F.col(id_col).isNull()))
 
 

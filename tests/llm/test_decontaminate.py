@@ -1,6 +1,8 @@
 import itertools
 import random
+import time
 
+import pytest
 import regex
 from plain import FOLDER, rows, words
 
@@ -37,8 +39,10 @@ def test_masks_stand_two_substitutions():
         assert any(all(o + k not in bad for k in m) for m in masks for o in range(13 - m[-1])), bad
 
 
-def test_against_brute_force(spark):
-    rng = random.Random(1)
+@pytest.mark.parametrize("segment", [2000, 9])
+def test_against_brute_force(spark, monkeypatch, segment):
+    monkeypatch.setattr(decontaminate, "SEGMENT", segment)  # long items in many segments
+    rng = random.Random(segment)
     word = lambda: f"W{rng.randrange(40)}"
     items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate((3, 5, 8, 12, 13, 14, 30, 60))]
     items += [(100, None), (101, ""), (102, "a a a a a a a a")]
@@ -62,9 +66,9 @@ def test_against_brute_force(spark):
     want = brute(docs, items)
     for r in got:
         found = want.get(r.doc_id, {})
-        # Seeds are sure to find up to two substitutions in 13 words; shorter items are less tolerant.
-        full = {i for i, m in found.items() if len(codes(dict(items)[i])) >= 13 or m == len(codes(dict(items)[i]))}
-        assert full <= set(r.item_ids) <= set(found), r
+        # Masks are sure to find every allowed substitution, in items of any length.
+        assert r.item_ids == sorted(found) and r.matched == max(found.values(), default=0), r
+        assert r.short_items == sum(0 < len(codes(t)) < decontaminate.LEAST for _, t in items)
         assert r.contaminated == bool(r.item_ids) and r.n_items == len(r.item_ids)
     clean = decontaminate.keep_clean(df.selectExpr("doc_id", "text AS body", "text AS codes"), bench, text="body")
     assert clean.columns == ["doc_id", "body", "codes"]
@@ -111,3 +115,35 @@ def test_query(spark):
         w = codes(t)
         if any(tuple(w[k : k + 11]) in grams for k in range(len(w) - 10)):
             assert found[d], d
+
+
+def test_repeated_words_cost_no_pairs_of_places(spark):
+    """One word 20,000 times against an item of it 200 times, and two words in turn: seconds, not hours."""
+    docs = [(1, "zero " * 20_000), (2, "a b " * 2_500), (3, "zero " * 5 + "clean words here")]
+    items = [(1, "zero " * 200), (2, "a b " * 100), (3, " ".join(f"w{k}" for k in range(20)))]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    decontaminate.report(df.limit(0), bench).collect()
+    start = time.monotonic()
+    got = {r.doc_id: (r.item_ids, r.matched) for r in decontaminate.report(df, bench).collect()}
+    assert time.monotonic() - start < 30
+    assert got == {1: ([1], 13), 2: ([2], 13), 3: ([], 0)}
+
+
+def test_rows_that_share_an_id_and_clashing_columns(spark):
+    leak = " ".join(f"w{k}" for k in range(20))
+    docs = [(7, leak), (7, "clean one"), (None, leak), (None, "clean two"), (8, "clean three"), (8, "clean three"), (9, None)]
+    df = spark.createDataFrame([(d, t, d, "x", 1, 2) for d, t in docs], "doc_id long, text string, __id long, __key string, codes int, part int")
+    bench = spark.createDataFrame([(1, leak), (1, leak), (None, leak)], "item_id long, text string")
+    kept = decontaminate.keep_clean(df, bench)
+    assert kept.columns == df.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted((str(d), t) for d, t in docs if t != leak)
+    got = decontaminate.report(df, bench).collect()
+    assert sorted((str(r.doc_id), r.contaminated, r.n_items) for r in got) == sorted((str(d), t == leak, 2 * (t == leak)) for d, t in docs)
+
+
+def test_items_of_one_word_with_least(spark):
+    df = spark.createDataFrame([(1, "yes or no"), (2, "maybe")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "Yes!"), (2, "or no"), (3, "no or")], "item_id long, text string")
+    got = {r.doc_id: (r.item_ids, r.short_items) for r in decontaminate.report(df, bench, least=1).collect()}
+    assert got == {1: ([1, 2], 0), 2: ([], 0)}
+    assert {r.short_items for r in decontaminate.report(df, bench).collect()} == {3}

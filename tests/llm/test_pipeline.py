@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from plain import FOLDER, rows, words
+from plain import FOLDER, class_of, fingerprint, rows, words
 
 import __spark_entry__
 
@@ -16,6 +16,9 @@ def test_stages_on_planted_cases(spark, tmp_path):
     docs = list(clean)
     docs += [(100 + i, clean[i][1]) for i in range(5)]  # exact copies
     docs += [(110 + i, clean[i][1].rsplit(" ", 1)[0] + " " + word()) for i in range(5)]  # near copies
+    long = text(1500)  # one word of many changed: few bits differ
+    clean.append((60, long))
+    docs += [(60, long), (150, long + " " + word()), (151, word() + " " + long)]
     docs += [(120 + i, text(40) + " " + passage + " " + text(40)) for i in range(4)]  # a passage that repeats
     docs += [(130 + i, text(40) + " " + items[i][1] + " " + text(40)) for i in range(5)]  # leaks
     docs += [(140, "few words"), (141, "same words again and " * 40), (142, None), (143, "")]
@@ -23,7 +26,7 @@ def test_stages_on_planted_cases(spark, tmp_path):
     folder = str(tmp_path)
     table.write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
-    spark.createDataFrame([(d, 1, 0) for d, _ in clean[:30]], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(d, 1, 0) for d, _ in clean[:30]] , "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
 
     after, now = {}, spark.read.parquet(f"{folder}/documents.parquet")
     for name, step in corpus_pipeline.STAGES:
@@ -36,7 +39,9 @@ def test_stages_on_planted_cases(spark, tmp_path):
     ids = {name: set(r) for name, r in after.items()}
     good = {d for d, _ in clean}
     assert ids["quality_rules"] == {d for d, _ in docs} - {140, 141, 142, 143}
-    assert good <= ids["near_dedup"] and not ids["near_dedup"] & set(range(100, 120))
+    classes = class_of({d: fingerprint(t) for d, t in docs if d in ids["quality_rules"]}, 4)
+    assert ids["near_dedup"] == set(classes.values())
+    assert good <= ids["near_dedup"] and not ids["near_dedup"] & {*range(100, 105), 150, 151}
     cut = after["substring_dedup"]
     assert ids["substring_dedup"] == ids["near_dedup"]
     assert all(cut[d].text == t and cut[d].n_chars == len(t) for d, t in clean)

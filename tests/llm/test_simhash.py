@@ -57,6 +57,13 @@ def test_cases(spark):
     kept = simhash.keep_first(df.withColumn("fp", F.lit("x")).withColumn("component_id", F.lit(1)), shingle=4)
     assert kept.columns == ["doc_id", "text", "fp", "component_id"]
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 4, 5]
+    # Rows that share an id are judged each by its own text.
+    far = [(1, "one two three four five"), (1, "six seven eight nine ten"), (2, "six seven eight nine ten"), (1, "six seven eight nine ten")]
+    shared = spark.createDataFrame([(d, t, d, "c", "k") for d, t in far], "doc_id long, text string, __id long, __code string, __kept string")
+    once = simhash.keep_first(shared)
+    assert once.columns == shared.columns
+    assert sorted((r.doc_id, r.text) for r in once.collect()) == sorted(set(far[:2]))
+    assert simhash.keep_first(shared.limit(0)).count() == 0
     assert simhash.classes(df.where("doc_id > 100")).count() == 0
 
 
