@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from carepath.llm.base import table
 from carepath.llm.decontaminate import keep_clean
-from carepath.llm.neardup import keep_first_similar
 from carepath.llm.packing import pack
 from carepath.llm.quality import keep_good
+from carepath.llm.simhash import keep_first
 from carepath.llm.substring import drop_repeats
 from carepath.sources.staging import stage
 
@@ -24,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, the smallest id stays."""
-    return keep_first_similar(docs, shingle=5)
+    """Of documents linked by fingerprints (four-word shingles) within four bits, the smallest id stays."""
+    return keep_first(docs, shingle=4, bits=4)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
