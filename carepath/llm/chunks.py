@@ -29,6 +29,10 @@ CHARACTERS = 16_000_000
 
 #: White space beyond ASCII, or what only some libraries call white space.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+#: The same in UTF-8.
+ODD_BYTES = re.compile(
+    rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
+)
 #: Bytes that such characters begin with in UTF-8.
 MAYBE_ODD = np.zeros(256, bool)
 MAYBE_ODD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -139,7 +143,9 @@ class Encoder:
         if self.drops_space:
             plain = np.array([c[:1] in WHITE and "<|" not in c and not c.isspace() for c in fresh])
         else:
-            plain = np.array([c[0] in WHITE and c[1:2] not in WHITE_OR_END and "<|" not in c for c in fresh])
+            plain = np.array(
+                [c[0] in WHITE and c[1:2] not in WHITE_OR_END and "<|" not in c and not ODD_SPACE.search(c) for c in fresh]
+            )
         first = len(self.begin)
         self.begin = np.append(self.begin, np.zeros(len(fresh), np.int64))
         self.count = np.append(self.count, np.zeros(len(fresh), np.int64))
@@ -216,9 +222,10 @@ class Encoder:
             if self.lowers:
                 raw = np.where(plain, LOWER[raw], raw)
         if not self.drops_space:
-            for d in np.unique(np.searchsorted(offsets, np.flatnonzero(MAYBE_ODD[raw]), "right") - 1):
-                if ODD_SPACE.search(raw[offsets[d] : offsets[d + 1]].tobytes().decode()):
-                    cut[offsets[d] : offsets[d + 1]] = False
+            # White space after other white space may belong to one piece with it.
+            if MAYBE_ODD[raw].any():
+                after = np.fromiter((m.end() for m in ODD_BYTES.finditer(raw.tobytes())), np.int64)
+                cut[after] = False
         cut[offsets] = True
         cut[-1] = True
         at = np.flatnonzero(cut)

@@ -12,7 +12,8 @@ Edits of a document apply one after the other, each to the text that the former
 
 Cases: NULL text is empty, and so has no ids; after an edit it is what was put in. A NULL start
 is the end of the text, a NULL length 0, a NULL insertion empty; NULL edits and lists of edits
-do nothing. Repeated documents each get their row. Documents without edits keep their count.
+do nothing. Repeated documents each get their row. Documents without edits keep their count. An
+empty table gives none. Columns n_tokens, tree and reencoded_chars of the caller are replaced; all others stay.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import query, table
+from .base import named_apart, query, table
 from .chunks import Encoder, encoder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -192,10 +193,11 @@ def recount(counted: DataFrame, edits: str, text: str = "text", tokenizer: str =
 def with_edits(counted: DataFrame, edits: DataFrame, id_col: str = "doc_id", column: str = "edits") -> DataFrame:
     """counted with an array column of its edits, from rows (id, seq, start, length, text)."""
     one = F.struct("seq", F.col("start").cast("int").alias("start"), F.col("length").cast("int").alias("length"), "text")
-    lists = edits.groupBy(F.col(id_col).alias("__edited")).agg(F.sort_array(F.collect_list(one)).alias("__edits"))
-    joined = counted.join(lists, F.col(id_col) == F.col("__edited"), "left")
-    plain = F.transform("__edits", lambda e: F.struct(e["start"].alias("start"), e["length"].alias("length"), e["text"].alias("text")))
-    return joined.withColumn(column, plain).drop("__edits", "__edited")
+    name = named_apart(counted, "edited", "edits")
+    lists = edits.groupBy(F.col(id_col).alias(name["edited"])).agg(F.sort_array(F.collect_list(one)).alias(name["edits"]))
+    joined = counted.join(lists, F.col(id_col) == F.col(name["edited"]), "left")
+    plain = F.transform(name["edits"], lambda e: F.struct(e["start"].alias("start"), e["length"].alias("length"), e["text"].alias("text")))
+    return joined.withColumn(column, plain).drop(*name.values())
 
 
 @query("op7_edit_counts")

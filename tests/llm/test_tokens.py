@@ -214,3 +214,22 @@ def test_edit_query(spark):
             (n // 3, 5, t[:12]), (n // 2, 1, ""), (2 * n // 3, 0, " [edit]\n"), (None, 0, " end."), (0, 3, ""))])
         r = got[d]
         assert (r.n_tokens, r.n_tokens_after, r.text_crc32) == (len(want(t)), len(want(after)), zlib.crc32(after.encode()))
+
+
+def test_odd_spaces_do_not_make_a_text_one_chunk(spark):
+    rng, odd = random.Random(8), "\xa0\u3000\u2003\x85\x1c\u2028"
+    text = " ".join("".join(rng.choice("abcde") for _ in range(rng.randrange(1, 9))) for _ in range(18_000))[:100_000]
+    text = text[:5000] + "".join(f"x{c} {c}  y {c}{c} z" for c in odd) + text[5000:]
+    want, enc = plain("byte_bpe_50k.json"), chunks.Encoder("byte_bpe_50k.json")
+    assert enc.ids(pa.array([text]))[0].tolist() == want(text)
+    change = [(70_000, 3, "new words")]
+    after = text[:70_000] + "new words" + text[70_003:]
+    df = spark.createDataFrame([(1, text, change)], f"doc_id long, text string, edits {edits.EDITS}")
+    row = edits.recount(edits.count(df), "edits").first()
+    assert row.text == after and row.n_tokens == len(want(after)) and row.reencoded_chars < 400
+    # Any order of words with such spaces at their edges.
+    parts = ["a", " ", "  ", "\n", "b1", *odd, "\xa0 ", " \xa0", "\u3000\u3000"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
+    flat, at = enc.ids(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert flat[at[i] : at[i + 1]].tolist() == want(t), repr(t)
