@@ -89,34 +89,27 @@ def short_masks(n: int) -> list[tuple[int, str]]:
     return sorted(set(found))
 
 
-#: Words on either side of a hit that a window around it can have, with the hits that follow it at once.
-AROUND = 2 * WINDOW + 3
+#: Words from a hit's place on that a window around it, or around the hit after it, can have.
+AHEAD = WINDOW + 3
 
 
-def neighbourhood() -> dict[str, Column]:
-    """The words of a hit's item around it, and those of the document beside them.
+def around(words_: Column, place: Column) -> Column:
+    """The words of an array from WINDOW before a place to AHEAD after it."""
+    begin = F.greatest(place - WINDOW, F.lit(0))
+    return F.slice(words_, begin + 1, place - begin + AHEAD)
 
-    ahead: how many of the former lie before the document. These columns are made inside the join,
-    so a hit carries a few words along and not the document.
+
+def overlap() -> Column:
+    """Most agreeing places in WINDOW consecutive ones around a hit (all of a shorter item), by running sums.
+
+    mine: words of the document around the hit; what is missing there agrees with nothing.
     """
-    low = F.greatest(F.lit(0), F.col("item_place") - WINDOW)
-    begin = F.col("place") - F.col("item_place") + low
-    return {
-        "theirs": F.slice("item_codes", low + 1, AROUND),
-        "mine": F.slice("codes", F.greatest(begin, F.lit(0)) + 1, AROUND),
-        "ahead": F.greatest(-begin, F.lit(0)),
-        "width": F.least(F.lit(WINDOW), F.size("item_codes")),
-    }
-
-
-def overlap(mine: Column, theirs: Column, ahead: Column, width: Column) -> Column:
-    """Most agreeing places in width consecutive ones, by running sums."""
+    ahead = F.least(F.col("place"), F.lit(WINDOW)) - F.least(F.col("item_place"), F.lit(WINDOW))
     same = F.transform(
-        theirs,
-        lambda x, k: F.when(
-            (k >= ahead) & (k - ahead < F.size(mine)), (F.get(mine, k - ahead) == x).cast("int")
-        ).otherwise(0),
+        around(F.col("item_codes"), F.col("item_place")),
+        lambda x, k: F.when(k + ahead >= 0, F.coalesce((F.get("mine", k + ahead) == x).cast("int"), F.lit(0))).otherwise(0),
     )
+    width = F.least(F.lit(WINDOW), F.size("item_codes"))
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("best"))
 
     def step(s: Column, a: Column, k: Column) -> Column:
@@ -126,6 +119,16 @@ def overlap(mine: Column, theirs: Column, ahead: Column, width: Column) -> Colum
     return let(same, lambda s: F.aggregate(F.sequence(F.lit(0), F.size(s) - 1), zero, lambda a, k: step(s, a, k))["best"])
 
 
+def follows() -> Column:
+    """True where as many words as a mask has agree from one place before, on the same alignment.
+
+    That place is a hit of the same mask then, so only the first hit of such a run is left.
+    """
+    span = max(map(len, MASKS))
+    before = F.slice("mine", F.least(F.col("place"), F.lit(WINDOW)), span) == F.slice("item_codes", F.col("item_place"), span)
+    return F.when((F.size("item_codes") >= WINDOW) & (F.col("place") > 0) & (F.col("item_place") > 0), before).otherwise(False)
+
+
 def coded_items(benchmark: DataFrame, item_col: str, item_text: str) -> DataFrame:
     """Distinct (item_id, item_codes) of items with words."""
     coded = benchmark.select(F.col(item_col).alias("item_id"), word_codes(F.col(item_text)).alias("item_codes"))
@@ -179,34 +182,23 @@ def leaks(
     for b in range(n_blocks):
         some_seeds = F.broadcast(item_seeds.where(F.pmod("seed_part", F.lit(n_blocks)) == b))
         some_items = F.broadcast(items.where(F.pmod("part", F.lit(n_blocks)) == b))
-        hits = at.join(some_seeds, F.col("seed") == F.col("item_seed")).join(some_items, F.col("seed_part") == F.col("part"))
-        hits = hits.where(~follows())
-        near = hits.select("doc_id", "text_key", "item_id", *[c.alias(n) for n, c in neighbourhood().items()])
-        matched = overlap(*[F.col(c) for c in ("mine", "theirs", "ahead", "width")])
-        need = F.ceil(F.col("width") * F.lit(SHARE))
+        # A hit carries a few words along, not the document.
+        hits = at.join(some_seeds, F.col("seed") == F.col("item_seed")).select(
+            "doc_id", "text_key", "seed_part", "place", "item_place", around(F.col("codes"), F.col("place")).alias("mine")
+        )
+        first = hits.join(some_items, F.col("seed_part") == F.col("part")).where(~follows())
+        need = F.ceil(F.least(F.lit(WINDOW), F.size("item_codes")) * F.lit(SHARE))
         found.append(
-            near.select("doc_id", "text_key", "item_id", matched.alias("matched"), need.alias("need"))
-            .groupBy("doc_id", "text_key", "item_id")
-            .agg(F.max("matched").alias("matched"), F.min("need").alias("need"))
-            # After the sum: before it, Spark would verify inside the join, for every pair of places.
+            first.select("doc_id", "text_key", "item_id", overlap().alias("matched"), need.alias("need"))
             .where("matched >= need")
-            .drop("need")
+            .groupBy("doc_id", "text_key", "item_id")
+            .agg(F.max("matched").alias("matched"))
         )
     every = reduce(DataFrame.union, found)
     # Segments of an item can be in several blocks.
     return every if n_blocks == 1 else every.groupBy("doc_id", "text_key", "item_id").agg(F.max("matched").alias("matched"))
 
 
-def follows() -> Column:
-    """True where as many words as a mask has agree from one place before, on the same alignment.
-
-    That place is a hit of the same mask then, so only the first hit of such a run is left.
-    """
-    span = max(map(len, MASKS))
-    before = F.slice("codes", F.col("place"), span) == F.slice("item_codes", F.col("item_place"), span)
-    return F.when((F.size("item_codes") >= WINDOW) & (F.col("place") > 0) & (F.col("item_place") > 0), before).otherwise(False)
-
-
 def report(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id",
     item_text: str = "text", least: int = LEAST,
