@@ -60,7 +60,11 @@ class _Numbers(dict):
 
 
 class Encoder:
-    def __init__(self, name: str):
+    #: Chunks that are remembered at most; a process with other work beside it may set less than CHUNKS.
+    limit = CHUNKS
+
+    def __init__(self, name: str, limit: int = CHUNKS):
+        self.limit = limit
         path = public_tokenizers.path(name)
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
@@ -169,7 +173,7 @@ class Encoder:
         return n
 
     def room(self) -> None:
-        if len(self.numbers) > CHUNKS or self.characters > CHARACTERS:
+        if len(self.numbers) > min(CHUNKS, self.limit) or self.characters > CHARACTERS:
             self._prune()
 
     def counts(self, chunks: list[str]) -> np.ndarray:
@@ -242,6 +246,6 @@ def _split_pattern(part: dict) -> str | None:
 
 
 @lru_cache(maxsize=2)
-def encoder(name: str) -> Encoder:
+def encoder(name: str, limit: int = CHUNKS) -> Encoder:
     """The process's encoder for a vocabulary file."""
-    return Encoder(name)
+    return Encoder(name, limit)

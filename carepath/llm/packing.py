@@ -27,6 +27,8 @@ from .chunks import encoder
 
 LENGTH = 1024
 GROUP = 4096
+#: Chunks that a task's encoder remembers: memory beside that of earlier stages.
+CHUNKS = 300_000
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
 
@@ -65,7 +67,7 @@ def tokens(docs: DataFrame, id_col: str, text: str, name: str, end: int, groups:
     kind = bare.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(name)
+        enc = encoder(name, CHUNKS)
         width = "<u2" if max(enc.size, end + 1) <= 1 << 16 else "<u4"
         for batch in batches:
             for i in range(0, batch.num_rows, 2048):
