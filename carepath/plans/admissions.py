@@ -179,6 +179,11 @@ def spell_sums(tables: Tables, window: Window) -> DataFrame:
     )
 
 
+def admission_sums(tables: Tables, window: Window) -> DataFrame:
+    """All counts of the window by raw codes; the months of a window are those of its parts."""
+    return episode_sums(tables, window).unionByName(spell_sums(tables, window))
+
+
 def category_labels(tables: Tables) -> DataFrame:
     """Descriptions of all category codes: __category, __code, __label, __chapter."""
     no_chapter = F.lit(None).cast("string")
@@ -246,16 +251,18 @@ def sub_icb_allocation(sub_icbs: DataFrame, splits: DataFrame | None = None) ->
 
 
 def admissions_counts(
-    tables: Tables, window: Window, splits: DataFrame | None = None, staged: bool = False
+    tables: Tables, window: Window, splits: DataFrame | None = None, staged: bool = False,
+    sums: DataFrame | None = None,
 ) -> DataFrame:
     """Unsuppressed counts; discharge rows are by month of discharge, others of admission.
 
     Records are summed by raw codes before any reference table is joined. The wide levels and
-    the shared-out Sub-ICBs are both made from the described sums.
+    the shared-out Sub-ICBs are both made from the described sums. ``sums`` are those of
+    ``admission_sums``, if they are stored: no record is read then.
     """
     names, code = list(COUNTS), "Sub ICB Code"
     labels = ["Month", "Category", "Variable", CHAPTER]
-    sums = episode_sums(tables, window).unionByName(spell_sums(tables, window))
+    sums = admission_sums(tables, window) if sums is None else sums
     finest = (
         described(sums, tables)
         .groupBy(*labels, *[F.col(f"`{c}`") for c in WIDE[0].columns.values()], code)
@@ -279,8 +286,9 @@ def admissions(
     splits: DataFrame | None = None,
     digits: int | None = 0,
     staged: bool = False,
+    sums: DataFrame | None = None,
 ) -> DataFrame:
-    counts = admissions_counts(tables, window, splits, staged)
+    counts = admissions_counts(tables, window, splits, staged, sums)
     shown = suppress(counts, list(COUNTS), digits=digits)
     return stamp(
         shown.select(

@@ -28,7 +28,7 @@ from ..functions.labels import group_codes, key, order_label
 from ..operators.events import earliest_latest, first_event, primary_secondary
 from ..operators.hotkeys import hot_in_any, is_hot
 from ..operators.refdata import current, decode, described_once, era_key
-from ..operators.rollup import ALL, Category, Geography, labelled_grouping_sets
+from ..operators.rollup import ALL, Category, Geography, category_sums, geography_sums
 from ..sources.publish import stamp
 from ..sources.staging import StagedRun
 from ..sources.tables import Tables
@@ -384,8 +384,15 @@ def wait_times(
     )
 
 
-def main_metrics(base: DataFrame, run: datetime, submission: str = SUBMISSION) -> DataFrame:
-    """Caseload by organisation level and patient group, with and without a diagnosis."""
+#: What metrics are kept by, besides organisation and patient group.
+METRIC_KEYS = [
+    "Month", "TeamType", "PrimReason", "LatestConditionDiagnosisCode", "LatestDiagnosisArea", "ConditionDiagnosis",
+]
+PLACES = list(dict.fromkeys(c for g in GEOGRAPHIES for c in g.columns.values()))
+
+
+def metric_sums(base: DataFrame) -> DataFrame:
+    """Caseload by provider, Sub-ICB and patient group: the finest level of the metrics."""
     banded = base.withColumns(
         {
             "AgeGroup": band_label("AgeServReferRecDate", AGE_BANDS, AGE_UNKNOWN),
@@ -394,15 +401,20 @@ def main_metrics(base: DataFrame, run: datetime, submission: str = SUBMISSION) -
             "ConditionDiagnosis": F.col("LatestConditionDiagnosisCode").isNotNull().cast("int"),
         }
     )
-    counts = labelled_grouping_sets(
-        banded,
-        [
-            "Month", "TeamType", "PrimReason", "LatestConditionDiagnosisCode",
-            "LatestDiagnosisArea", "ConditionDiagnosis",
-        ],
-        GEOGRAPHIES,
-        CATEGORIES,
-        {name: F.sum(status) for name, status in METRICS.items()},
-        additive=True,
-    ).withColumnRenamed("LatestConditionDiagnosisCode", "Condition Diagnosis Code")
-    return stamp(counts.withColumn("DataSubmissionType", F.lit(submission)), run)
+    sums = {name: F.sum(status) for name, status in METRICS.items()}
+    return category_sums(banded, [*METRIC_KEYS, *PLACES], CATEGORIES, sums)
+
+
+def metrics_from_sums(sums: DataFrame, run: datetime, submission: str = SUBMISSION) -> DataFrame:
+    """The metrics of every organisation level, from sums built now or stored."""
+    group = ["Category", "Variable"]
+    counts = geography_sums(sums, [*METRIC_KEYS, *group], GEOGRAPHIES, list(METRICS)).select(
+        *METRIC_KEYS, "Orgtype", "OrgCode", "OrgName", "Region", *group, *METRICS
+    )
+    renamed = counts.withColumnRenamed("LatestConditionDiagnosisCode", "Condition Diagnosis Code")
+    return stamp(renamed.withColumn("DataSubmissionType", F.lit(submission)), run)
+
+
+def main_metrics(base: DataFrame, run: datetime, submission: str = SUBMISSION) -> DataFrame:
+    """Caseload by organisation level and patient group, with and without a diagnosis."""
+    return metrics_from_sums(metric_sums(base), run, submission)

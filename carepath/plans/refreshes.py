@@ -6,18 +6,28 @@ returned (or logged) and the same run time; the result is the same as of one run
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime
+from collections.abc import Callable, Iterable
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import RefreshWindow, Window
 from ..sources.publish import publish_replacing_latest, publish_rolling, window_of
 from ..sources.staging import StagedRun
+from ..sources.states import SumStore
 from ..sources.tables import Tables
-from .admissions import admissions
+from .admissions import CODES, COUNTS, admission_sums, admissions
 from .readmissions import readmissions
-from .referral_pathway import main_metrics, pathway_outputs, referral_base
+from .referral_pathway import (
+    METRIC_KEYS,
+    METRICS,
+    PLACES,
+    main_metrics,
+    metric_sums,
+    metrics_from_sums,
+    pathway_outputs,
+    referral_base,
+)
 
 Job = Callable[[Window], DataFrame]
 
@@ -93,3 +103,45 @@ def refresh_pathway(
         for frame, table in zip(pathway_outputs(tables, window.insert, run, staged), (waits, metrics), strict=True):
             publish_replacing_latest(frame, table, window.insert)
     return window
+
+
+def admission_store(table: str) -> SumStore:
+    """Sums of admissions by raw codes."""
+    return SumStore(table, [c for c in CODES if c != "Month"], list(COUNTS), count="Emergency Admissions")
+
+
+def metric_store(table: str) -> SumStore:
+    """Sums of caseload at the finest level, described when their months were built."""
+    return SumStore(table, [*[k for k in METRIC_KEYS if k != "Month"], *PLACES, "Category", "Variable"], list(METRICS))
+
+
+def refresh_admissions_stored(
+    spark: SparkSession, tables: Tables, store: SumStore, table: str, archive: str, run: datetime,
+    splits: DataFrame | None = None, changed: Iterable[date] = (), **options,
+) -> RefreshWindow:
+    """A rolling refresh that reads the records of new and changed months only.
+
+    ``changed`` names the months whose records differ from what is stored. The rows are those
+    of ``refresh_admissions``, with organisations and labels as they are now.
+    """
+    changed = list(changed)
+
+    def job(months: Window) -> DataFrame:
+        store.update(spark, lambda part: admission_sums(tables, part), months, changed)
+        return admissions(tables, months, run, splits, sums=store.rows(spark, months))
+
+    return refresh_rolling(spark, job, table, archive, run, **options)
+
+
+def refresh_metrics_stored(
+    spark: SparkSession, tables: Tables, store: SumStore, table: str, run: datetime,
+    changed: Iterable[date] = (), **options,
+) -> RefreshWindow:
+    """Metrics with records of new and changed months only; stored months keep their labels."""
+    changed = list(changed)
+
+    def job(months: Window) -> DataFrame:
+        store.update(spark, lambda part: metric_sums(referral_base(tables, part)), months, changed)
+        return metrics_from_sums(store.rows(spark, months), run)
+
+    return refresh_latest(spark, job, table, **options)

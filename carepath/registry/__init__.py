@@ -11,6 +11,7 @@ from . import (  # noqa: F401
     people,
     periods,
     readmit,
+    stored,
 )
 from .base import ORACLES, QUERIES
 

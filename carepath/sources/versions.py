@@ -12,7 +12,7 @@ dropped, so a query that began before the switch can end.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: View properties: months read from a generation, and months read from it one version earlier.
 LIVE, BEFORE = "carepath.months.", "carepath.before."
+#: What the writer of a table notes with it; it stays until it is noted anew.
+NOTE = "carepath.note."
 NO_MONTH = "none"
 State = dict[str, list[str]]
 
@@ -34,6 +36,14 @@ def _generations(spark: SparkSession, table: str, prefix: str) -> State:
     return {r.key[len(prefix):]: [m for m in r.value.split(",") if m] for r in rows if r.key.startswith(prefix)}
 
 
+def notes_of(spark: SparkSession, table: str) -> dict[str, str]:
+    """What was noted with the versions of a published table."""
+    if not is_versioned(spark, table):
+        return {}
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    return {r.key[len(NOTE):]: r.value for r in rows if r.key.startswith(NOTE)}
+
+
 def is_versioned(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW"
 
@@ -59,7 +69,10 @@ def _write_generation(df: DataFrame, table: str, month: str) -> str:
     return generation
 
 
-def _switch(spark: SparkSession, table: str, columns: Sequence[str], live: State, before: State, month: str) -> None:
+def _switch(
+    spark: SparkSession, table: str, columns: Sequence[str], live: State, before: State, month: str,
+    notes: Mapping[str, str],
+) -> None:
     """The one step that readers see."""
     shown = ", ".join(map(_quoted, columns))
     parts = []
@@ -67,8 +80,9 @@ def _switch(spark: SparkSession, table: str, columns: Sequence[str], live: State
         dates = ", ".join(f"DATE'{m}'" for m in months if m != NO_MONTH)
         tests = ([f"{_quoted(month)} IN ({dates})"] if dates else []) + ([f"{_quoted(month)} IS NULL"] if NO_MONTH in months else [])
         parts.append(f"SELECT {shown} FROM {generation} WHERE {' OR '.join(tests) or 'false'}")
-    noted = {**{LIVE + g: m for g, m in live.items()}, **{BEFORE + g: m for g, m in before.items()}}
-    properties = ", ".join(f"'{k}' = '{','.join(m)}'" for k, m in noted.items())
+    read = {**{LIVE + g: m for g, m in live.items()}, **{BEFORE + g: m for g, m in before.items()}}
+    noted = {**{k: ",".join(m) for k, m in read.items()}, **{NOTE + k: v for k, v in notes.items()}}
+    properties = ", ".join(f"'{k}' = '{v}'" for k, v in noted.items())
     spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ({properties}) AS {' UNION ALL '.join(parts)}")
 
 
@@ -95,14 +109,17 @@ def adopt(spark: SparkSession, table: str, month: str = "Month") -> None:
     columns = plain.columns
     generation = _write_generation(plain, table, month)
     spark.sql(f"DROP TABLE {table}")
-    _switch(spark, table, columns, {generation: _partitions(spark, generation)}, {}, month)
+    _switch(spark, table, columns, {generation: _partitions(spark, generation)}, {}, month, {})
 
 
-def publish_version(new: DataFrame, table: str, month: str = "Month", gone: Iterable[date] = (), whole: bool = False) -> None:
+def publish_version(
+    new: DataFrame, table: str, month: str = "Month", gone: Iterable[date] = (), whole: bool = False,
+    notes: Mapping[str, str] | None = None,
+) -> None:
     """The next version: the months of ``new`` replace those of the table, ``gone`` months go.
 
     With ``whole`` the table is ``new`` and nothing else. ``new`` may read the table, unless it
-    is a plain one that was not adopted yet.
+    is a plain one that was not adopted yet. ``notes`` change in the same step.
     """
     spark = new.sparkSession
     adopt(spark, table, month)
@@ -118,7 +135,8 @@ def publish_version(new: DataFrame, table: str, month: str = "Month", gone: Iter
     out = {*arrived, *(m.isoformat() for m in gone)}
     kept = {} if whole else {g: [m for m in months if m not in out] for g, months in before.items()}
     live = {g: months for g, months in kept.items() if months} | {generation: arrived}
-    _switch(spark, table, columns, live, before, month)
+    kept_notes = {} if whole else notes_of(spark, table)
+    _switch(spark, table, columns, live, before, month, {**kept_notes, **(notes or {})})
     _forget(spark, table)
 
 
