@@ -4,17 +4,23 @@ A tolerant tree builder reads tags, implies the ones that may be left out (an op
 before a block, ``li``, ``dt``/``dd``, ``option``, table parts end before their like, a cell
 without a row gets one) and closes what is left open at the end, so truncated pages are read as
 far as they go. Elements that a browser does not show are dropped with all they contain:
-``head``, scripts, styles, templates, ``noscript``, ``hidden``, ``display:none``,
-``visibility:hidden``, hidden inputs, what a closed ``details`` hides.
+``head``, scripts, styles, templates, ``noscript``, ``hidden``, ``display:none``, inputs but for
+the labels of buttons, what a closed ``details`` hides, annotations of ``math``, ``rp``. Text under
+``visibility:hidden`` goes, but for children that are ``visible`` again; the last declaration of an
+attribute counts, an important one before others. Of ``svg`` the ``text`` and ``foreignObject``
+elements are text. The content of ``textarea`` is text as it stands. CDATA sections are text
+everywhere. Style sheets are not applied: what only they hide is emitted.
 
 The rest is laid out: white space collapses outside ``pre``; blocks begin on a new line,
 paragraphs, headings, lists and tables after an empty one; list items get a dash or their number
 and an indent per level; table cells, also spanning ones, stand under each other, columns padded
-to at most PAD characters. All text that is visible is emitted, navigation and footers too.
+to at most PAD characters as far as LINE, two spaces apart beyond it. All text that is visible is emitted, navigation and footers too.
 
 Cases: NULL stays NULL, an empty page gives an empty text. Stray ``<`` and end tags without a
 start are text and nothing, respectively. Attribute values may be of any length. Elements deeper than DEPTH levels keep their text at
-that level; tables deeper than TABLES levels are laid out as blocks. Repeated pages get their row each.
+that level; tables deeper than TABLES levels are laid out as blocks. A cell spans SPANS columns at
+most, as in the standard of HTML. Repeated pages get their row each; an empty table gives no rows, and
+columns besides id and text are not read.
 """
 
 from __future__ import annotations
@@ -30,8 +36,10 @@ from pyspark.sql import functions as F
 from .base import query, table
 
 PAD = 40
+#: Cells are aligned as far as this; it bounds a line by its text.
+LINE = 1_000
 TABLES = 8
-SPANS = 100
+SPANS = 1_000
 #: Elements that may be open at once; what opens deeper lies beside its parent.
 DEPTH = 512
 
@@ -44,14 +52,20 @@ TOKEN = re.compile(
 NAME = re.compile(r"[\s/]*(=?[^\s/>=]*)\s*(?:(=)\s*)?")
 VALUE = re.compile(r"[^\s>]*")
 BLANK = re.compile(r"[ \t\n\r\f\v]+")
-INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes".split())
+#: Their content holds character references but no tags.
+PLAIN = frozenset("textarea title".split())
 UNSHOWN = frozenset(
-    "head script style template noscript iframe noembed noframes object audio video canvas svg math datalist "
-    "title base link meta param source track area".split()
+    "head script style template noscript iframe noembed noframes object audio video canvas datalist "
+    "title base link meta param source track area annotation annotation-xml rp".split()
 )
+#: Of svg: what is shown as text, and what is a definition.
+DRAWN = frozenset("text foreignobject".split())
+UNDRAWN = UNSHOWN | frozenset("desc metadata defs symbol clippath mask pattern marker".split())
+LABELLED = frozenset("submit reset button".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu blockquote pre table figure hr fieldset".split())
 BLOCKS = SPACED | frozenset(
     "html body address article aside center details dd dialog dir div dt figcaption footer form header hgroup li "
@@ -166,20 +180,58 @@ def parse(page: str) -> Node:
             stack.append(row)
         node = Node(tag, attrs)
         stack[-1].children.append(node)
-        if tag in RAW:
+        closed = page[at - 2 : at] == "/>" and any(n.tag in ("svg", "math") for n in stack)
+        if closed or tag in VOID:
+            continue
+        if tag in RAW or tag in PLAIN:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            node.children.append(page[at : end.start() if end else len(page)])
+            text = page[at : end.start() if end else len(page)]
+            node.children.append(text if tag in RAW else entities.unescape(text))
             at = end.end() if end else len(page)
-        elif tag not in VOID and len(stack) <= DEPTH:
+        elif len(stack) <= DEPTH:
             stack.append(node)
 
 
+def declared(style: str) -> dict[str, str]:
+    """display and visibility of a style attribute."""
+    out: dict[str, str] = {}
+    firm = set()
+    for name, value, important in DECLARED.findall(style):
+        name = name.lower()
+        if important or name not in firm:
+            out[name] = value.lower()
+        if important:
+            firm.add(name)
+    return out
+
+
+def visible_in(node: Node, inherited: bool) -> bool:
+    """Whether text directly in the node is visible, by its own word or that of its parents."""
+    own = declared(node.attrs["style"]).get("visibility") if "style" in node.attrs else None
+    return own == "visible" if own in ("visible", "hidden", "collapse") else inherited
+
+
+def drawn(svg: Node) -> list[Node | str]:
+    """The texts of a drawing, apart from each other."""
+    out: list[Node | str] = [" "]
+    todo = [svg]
+    while todo:
+        node = todo.pop()
+        if node.tag in DRAWN:
+            out += [node, " "]
+        elif node.tag not in UNDRAWN and (node is svg or shown(node)):
+            todo += [c for c in reversed(node.children) if isinstance(c, Node)]
+    return out
+
+
 def shown(node: Node) -> bool:
     a = node.attrs
     return not (
         node.tag in UNSHOWN
         or a
-        and ("hidden" in a or "style" in a and INVISIBLE.search(a["style"]) or node.tag == "input")
+        and ("hidden" in a or "style" in a and declared(a["style"]).get("display") == "none")
+        or node.tag == "input"
+        and a.get("type", "").strip().lower() not in LABELLED
     )
 
 
@@ -236,14 +288,18 @@ def number(text: str | None, default: int, most: int) -> int:
     return min(max(int(text), 0), most) if text and text.strip().isdigit() and len(text) < 10 else default
 
 
-def render(root: Node, level: int = 0) -> list[str]:
+def render(root: Node, level: int = 0, visible: bool = True) -> list[str]:
     page = Page()
     # (node, first child to do, kept state); an explicit stack, as pages nest as they please.
     todo: list[tuple] = [("open", root)]
     lists: list[int | None] = []
     pre = 0
+    seen = [visible]  # visibility, which children inherit until they say otherwise
     while todo:
         what, item = todo.pop()
+        if what == "seen":
+            seen.pop()
+            continue
         if what == "close":
             tag = item.tag
             if tag in LISTS:
@@ -252,12 +308,14 @@ def render(root: Node, level: int = 0) -> list[str]:
                 page.line()
                 page.marker = ""
                 page.indents.pop()
-            if tag == "pre":
+            if tag in ("pre", "textarea"):
                 pre -= 1
             if tag in BLOCKS:
                 page.line(1 if gap_of(tag, lists) else 0)
             continue
         if isinstance(item, str):
+            if not seen[-1]:
+                continue
             if pre:
                 first, *more = item.expandtabs(8).replace("\r\n", "\n").split("\n")
                 if first:
@@ -282,12 +340,19 @@ def render(root: Node, level: int = 0) -> list[str]:
             continue
         if tag == "wbr" or tag == "img":
             continue
+        if tag == "input":
+            if seen[-1]:
+                page.text(f" {item.attrs.get('value', '')} ")
+            continue
         if tag in BLOCKS:
             page.line(1 if gap_of(tag, lists) else 0)
         if tag == "hr":
             continue
+        if "style" in item.attrs:
+            seen.append(visible_in(item, seen[-1]))
+            todo.append(("seen", item))
         if tag == "table" and level < TABLES:
-            for x in table_lines(item, level):
+            for x in table_lines(item, level, seen[-1]):
                 page.raw_line(x)
             page.line(1)
             continue
@@ -302,10 +367,10 @@ def render(root: Node, level: int = 0) -> list[str]:
             page.marker = marker
         if tag in ("dd", "blockquote"):
             page.indents.append("  ")
-        if tag == "pre":
+        if tag in ("pre", "textarea"):
             pre += 1
         todo.append(("close", item))
-        children = item.children
+        children = drawn(item) if tag == "svg" else item.children
         if tag == "details" and "open" not in item.attrs:
             children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
         todo += [("open", c) for c in reversed(children)]
@@ -318,13 +383,47 @@ def gap_of(tag: str, lists: list) -> bool:
     return tag in SPACED and not (lists and tag in LISTS | {"p", "dl"})
 
 
-def table_lines(node: Node, level: int) -> Iterator[str]:
-    """Rows of a table, cells under each other; a cell of several lines makes several lines."""
+class Columns:
+    """Which columns of a table are taken by cells of rows above."""
+
+    def __init__(self):
+        self.until: dict[int, int] = {}  # column to the row at which it is free again
+        self.skip: dict[int, tuple[int, int]] = {}  # column to a later one, and the row up to which all between are taken
+
+    def free(self, column: int, row: int) -> int:
+        """The first free column from column on."""
+        path = []
+        while True:
+            to, until = self.skip.get(column, (column, 0))
+            if until <= row:
+                to, until = column + 1, self.until.get(column, 0)
+                if until <= row:
+                    break
+            path.append((column, until))
+            column = to
+        least = None
+        for k, until in reversed(path):
+            least = until if least is None else min(least, until)
+            self.skip[k] = column, least
+        return column
+
+    def take(self, first: int, across: int, until: int) -> None:
+        for k in range(first, first + across):
+            self.until[k] = until
+            self.skip.pop(k, None)
+
+
+def table_lines(node: Node, level: int, visible: bool = True) -> Iterator[str]:
+    """Rows of a table, cells under each other; a cell of several lines makes several lines.
+
+    A column is as wide as its widest cell that spans no other; columns in which no cell begins
+    have no width.
+    """
     captions: list[Node] = []
-    rows: list[list[Node]] = []
+    rows: list[tuple[bool, list[Node]]] = []
     loose: list[Node | str] = []
 
-    def gather(parent: Node) -> None:
+    def gather(parent: Node, seen: bool) -> None:
         for c in parent.children:
             if isinstance(c, str):
                 if not BLANK.fullmatch(c):
@@ -335,48 +434,55 @@ def table_lines(node: Node, level: int) -> Iterator[str]:
                 captions.append(c)
             elif c.tag in ("tbody", "thead", "tfoot"):
                 if parent is node:
-                    gather(c)
+                    gather(c, visible_in(c, seen))
                 else:
                     loose.append(c)
             elif c.tag == "tr":
-                rows.append([x for x in c.children if isinstance(x, Node) and x.tag in ("td", "th") and shown(x)])
+                cells = [x for x in c.children if isinstance(x, Node) and x.tag in ("td", "th") and shown(x)]
+                rows.append((visible_in(c, seen), cells))
                 loose.extend(x for x in c.children if not (isinstance(x, Node) and x.tag in ("td", "th")) and (isinstance(x, Node) or not BLANK.fullmatch(x)))
             elif c.tag not in ("col", "colgroup"):
                 loose.append(c)
 
-    gather(node)
+    gather(node, visible)
     for part in [*captions, *([_group(loose)] if loose else [])]:  # misplaced text stands before a table
-        yield from render(_group(part.children), level + 1)
-    busy: dict[int, int] = {}  # column to rows still taken from above
+        yield from render(_group(part.children), level + 1, visible)
+    taken = Columns()
     grid = []
-    for row in rows:
+    for at, (seen, row) in enumerate(rows):
         placed, column = {}, 0
         for cell in row:
-            while busy.get(column, 0):
-                column += 1
+            column = taken.free(column, at)
             across = max(1, number(cell.attrs.get("colspan"), 1, SPANS))
             down = max(1, number(cell.attrs.get("rowspan"), 1, 65_534))
-            placed[column] = (render(_group(cell.children), level + 1), across)
-            for k in range(column, column + across):
-                busy[k] = down
+            placed[column] = (render(_group([cell]), level + 1, seen), across)
+            if down > 1:
+                taken.take(column, across, at + down)
             column += across
-        busy = {k: n - 1 for k, n in busy.items() if n > 1}
         grid.append(placed)
     widths: dict[int, int] = {}
     for placed in grid:
         for column, (lines, across) in placed.items():
-            if across == 1:
-                widths[column] = max(widths.get(column, 0), min(PAD, max(map(len, lines), default=0)))
+            width = min(PAD, max(map(len, lines), default=0)) if across == 1 else 0
+            widths[column] = max(widths.get(column, 0), width)
+    offsets, to = {}, 0
+    for column in sorted(widths):
+        offsets[column] = to
+        to += 2 + widths[column]
     for placed in grid:
-        for k in range(max((len(lines) for lines, _ in placed.values()), default=0)):
-            out, to = "", 0
-            for column in sorted(placed):
-                to = sum(2 + widths.get(c, 0) for c in range(column))
-                lines, _ = placed[column]
-                word = lines[k] if k < len(lines) else ""
-                if word:
-                    out = (out.ljust(to) if len(out) + 2 <= to or not out else out + "  ") + word
-            yield out
+        filled = [(offsets[column], lines) for column, (lines, _) in placed.items() if lines]
+        for k in range(max((len(lines) for _, lines in filled), default=0)):
+            filled = [(to, lines) for to, lines in filled if len(lines) > k]
+            parts, length = [], 0
+            for to, lines in filled:
+                if not lines[k]:
+                    continue
+                gap = to - length if to <= LINE else 0
+                if length and gap < 2:
+                    gap = 2
+                parts += [" " * gap, lines[k]]
+                length += gap + len(lines[k])
+            yield "".join(parts)
 
 
 def _group(children: list[Node | str]) -> Node:

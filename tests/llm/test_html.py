@@ -128,6 +128,42 @@ def test_long_attribute_values():
     assert len(visible_text("<p a=\">x" * 100_000)) < 10**6
 
 
+def test_visibility():
+    hidden = "<div style='visibility:hidden'>a<b style='visibility: VISIBLE'>b<i>c</i></b>d<p>e</div>f"
+    assert visible_text(hidden) == "bc\n\nf"
+    assert visible_text("<p style='display:none;display:block'>a<p style='display:block;display:none'>b") == "a"
+    assert visible_text("<p style='display:none!important;display:block'>a<p style='color:red'>b") == "b"
+    rows = "<tr style='visibility:collapse'><td>a<td style='visibility:visible'>b<tr><td style='visibility:hidden'>c<td>d"
+    assert visible_text(f"<table>{rows}</table>") == "  b\n  d"  # a hidden cell keeps its place
+    assert visible_text(f"<div style='visibility:hidden'><table>{rows}</table></div>") == "  b"
+    assert visible_text("<ruby>x<rp>(</rp><rt>y</rt><rp>)</rp></ruby>") == "xy"
+
+
+def test_drawings_formulas_and_forms():
+    svg = "<svg><title>t</title><defs><text>no</text></defs><path d='m'/>loose<g><text x=1>one <tspan>two</tspan></text><text>three</text></g></svg>"
+    assert visible_text(f"<p>a{svg}b</p>") == "a one two three b"
+    assert visible_text("<svg><rect/><foreignObject><div>in</div></foreignObject></svg>") == "in"
+    assert visible_text("<math><semantics><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></semantics></math>") == "x=1"
+    assert visible_text("<input type=submit value='Go &amp; on'><input value=no><input type=hidden value=no>x") == "Go & on x"
+    assert visible_text("<textarea>a <b>b</b> &lt;c&gt;</textarea>d") == "a <b>b</b> <c>\nd"
+    assert visible_text("<svg><text>cut off") == "cut off"
+
+
+def test_large_tables_take_linear_time():
+    import time
+
+    began = time.monotonic()
+    assert visible_text("<table><tr>" + "<td>x" * 50_000 + "</table>").count("x") == 50_000
+    assert visible_text("<table>" + ("<tr>" + "<td colspan=100>x" * 400) * 20 + "</table>").count("x") == 8_000
+    assert visible_text("<table><tr>" + "<td rowspan=60000>x" * 5_000 + "<tr><td>y" * 5_000 + "</table>").count("y") == 5_000
+    assert time.monotonic() - began < 20
+
+
+def test_rows_under_spanning_cells():
+    page = "<table><tr><td rowspan=3>a<td>b<td rowspan=2>c<tr><td>d<td>e<tr><td>f<td>g<tr><td>h</table>"
+    assert visible_text(page) == "a  b  c\n   d     e\n   f  g\nh"
+
+
 def test_unclosed_quotes_take_linear_time():
     import time
 
