@@ -4,9 +4,10 @@ A word's subwords are its character n-grams with marks for both ends, hashed int
 of an embedding table. A text is the mean of the embeddings of all its subwords; a linear layer
 and softmax give the probability of each language. Both layers are trained together by
 stochastic gradient descent in numpy, on a sample of at most MAX_SAMPLE labelled texts per
-language (the smallest by hash of id), each cut to windows of TRAIN_CHARS characters for training
-only. A part of the sample is kept from training: on it a temperature is fitted, which makes
-the score a probability, and a rejection threshold, the smallest one above which a share of at
+language and MAX_ROWS in all (the smallest by hash of id and text; a repeated row counts once),
+each cut to WINDOWS windows of TRAIN_CHARS characters for training only. Every fifth text of the
+sample is kept from training: on these, read whole as in prediction, a temperature is fitted, which
+makes the score a probability, and a rejection threshold, the smallest one above which a share of at
 least PRECISION of the predictions is right. Rejection is a column of its own.
 
 Prediction reads whole texts. As the layers are linear, a subword's embedding times the linear
@@ -15,7 +16,8 @@ once and added up per text. The model (BUCKETS x languages numbers) goes along w
 
 Cases: NULL texts and texts without a letter get ``und`` with score 0 and are rejected; so do
 all texts if there is nothing to learn from. Equal texts get equal answers. Labels that are NULL
-are not learned from. One language only is predicted with score 1.
+are not learned from. One language only is predicted with score 1. More than MAX_LANGUAGES labels are
+refused. An empty table gives no rows; columns besides id, text and label are not read.
 """
 
 from __future__ import annotations
@@ -27,9 +29,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
 from .base import query, table
 from .wordbytes import BLOCK, SPACE, blocks, mix, text_bytes
 
@@ -38,6 +41,8 @@ DIMENSIONS = 16
 GRAMS = (1, 2, 3)
 #: Labelled texts per language that are learned from and calibrated on.
 MAX_SAMPLE = 2_000
+#: The same for all languages together.
+MAX_ROWS = 40_000
 MAX_LANGUAGES = 500
 TRAIN_CHARS = 200
 WINDOWS = 4
@@ -130,6 +135,13 @@ def bags(texts: list[str]) -> list[np.ndarray]:
     ]
 
 
+def pieces_of(text: str) -> list[str]:
+    """At most WINDOWS pieces of at most TRAIN_CHARS characters, evenly over the text."""
+    n = max(1, min(WINDOWS, -(-len(text) // TRAIN_CHARS)))
+    at = [k * len(text) // n for k in range(n + 1)]
+    return [text[i : min(j, i + TRAIN_CHARS)] for i, j in zip(at, at[1:], strict=False)]
+
+
 def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     """Fit the model on labelled texts; every fifth text of a language calibrates."""
     languages = sorted(set(labels))
@@ -142,9 +154,8 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
         if turn[lang] % 5 == 0:
             held_texts.append(text), held_targets.append(index[lang])
             continue
-        step = max(TRAIN_CHARS, len(text) // WINDOWS)  # windows over the whole text
-        for at in range(0, max(1, len(text)), step):
-            pieces.append(text[at : at + TRAIN_CHARS]), targets.append(index[lang])
+        for piece in pieces_of(text):
+            pieces.append(piece), targets.append(index[lang])
     examples = [(b, y) for b, y in zip(bags(pieces), targets, strict=True) if len(b)]
     n = len(languages)
     table_ = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
@@ -169,18 +180,18 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
             np.add.at(table_, rows, -rate * np.repeat(back / sizes[:, None], sizes, axis=0))
             done += 1
     model = Model(languages, (table_ @ linear).astype(np.float32), bias, 1.0, 0.0)
-    calibrate(model, held_texts, np.array(held_targets, int))
+    held = [(b, y) for b, y in zip(bags(held_texts), held_targets, strict=True) if len(b)]
+    if held:
+        sums = np.stack([model.logits[b].sum(axis=0) for b, _ in held])
+        calibrate(model, sums, np.array([len(b) for b, _ in held]), np.array([y for _, y in held]))
     return model
 
 
-def calibrate(model: Model, texts: list[str], targets: np.ndarray) -> None:
-    """Temperature of least log loss, then the smallest threshold of enough precision."""
-    known = [(b, y) for b, y in zip(bags(texts), targets, strict=True) if len(b)]
-    if not known:
-        return
-    y = np.array([t for _, t in known])
-    sums = np.stack([model.logits[b].sum(axis=0) for b, _ in known])
-    counts = np.array([len(b) for b, _ in known])
+def calibrate(model: Model, sums: np.ndarray, counts: np.ndarray, y: np.ndarray) -> None:
+    """Temperature of least log loss, then the smallest threshold of enough precision.
+
+    sums: summed logits of the subwords of each text; counts: their number; y: the language.
+    """
     losses = []
     doubt = 1 / (len(y) + 2)  # a finite sample never shows certainty
     grid = np.geomspace(0.02, 20, 61)
@@ -197,25 +208,63 @@ def calibrate(model: Model, texts: list[str], targets: np.ndarray) -> None:
     model.threshold = float(p.max(axis=1)[order][good[-1]]) if len(good) else 1.0
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "lang") -> Model | None:
-    """A model from docs, of which at most MAX_SAMPLE texts per language reach the driver."""
-    known = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull())
-    counts = known.groupBy(F.col(label).alias("lang")).count().limit(MAX_LANGUAGES + 1).collect()
+def sampled(docs: DataFrame, id_col: str, text: str, label: str) -> DataFrame | None:
+    """(lang, turn, text): at most MAX_SAMPLE texts per language and MAX_ROWS in all, written once.
+
+    Repeated rows are one candidate, combined before the exchange, so no id or text can fill the
+    sample or a task; the candidates are few more than the texts that are kept.
+    """
+    known = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
+        F.xxhash64(F.col(id_col).cast("string"), F.col(text)).alias("key"),
+        F.col(label).alias("lang"),
+        F.col(text).alias("text"),
+    )
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("key", 0.02).alias("n")).limit(MAX_LANGUAGES + 1).collect()
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
         return None
-    # A little more than asked for, by hash of the id; the rest is cut below.
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.1 * MAX_SAMPLE / r["count"]))])
-    key = F.xxhash64(F.col(id_col).cast("string"))
-    some = known.where(F.pmod(key, F.lit(1 << 30)) < F.element_at(share, F.col(label)) * float(1 << 30))
-    rows = some.select(key.alias("key"), F.col(label).alias("lang"), windows_of(F.col(text)).alias("text")).collect()
-    texts, labels, taken = [], [], {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["key"], r["text"])):
-        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-        if taken[r["lang"]] <= MAX_SAMPLE:
-            texts.append(r["text"]), labels.append(r["lang"])
-    return train(texts, labels)
+    most = max(5, min(MAX_SAMPLE, MAX_ROWS // len(counts)))
+    # A little more than asked for, by hash; the rest is cut by rank.
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.1 * most / r["n"]))])
+    some = known.where(F.pmod("key", F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * float(1 << 30))
+    once = some.groupBy("lang", "key").agg(F.min("text").alias("text"))
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    return stage(once.select("lang", turn.alias("turn"), "text").where(F.col("turn") <= most), "language-sample")
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "lang") -> Model | None:
+    """A model from docs, of whose sample only windows and summed logits reach the driver."""
+    sample = sampled(docs, id_col, text, label)
+    if sample is None:
+        return None
+    rows = sample.select("lang", "turn", windows_of(F.col("text")).alias("text")).collect()
+    rows.sort(key=lambda r: (r["lang"], r["turn"]))
+    model = train([r["text"] for r in rows], [r["lang"] for r in rows])
+    if model is not None:
+        # The texts that train() kept from learning, whole.
+        held = summed_logits(sample.where(F.col("turn") % 5 == 0), model).where("n > 0").collect()
+        if held:
+            index = {lang: i for i, lang in enumerate(model.languages)}
+            held.sort(key=lambda r: (r["lang"], r["turn"]))
+            sums, counts = np.array([r["sums"] for r in held]), np.array([r["n"] for r in held])
+            calibrate(model, sums, counts, np.array([index[r["lang"]] for r in held]))
+    return model
+
+
+def summed_logits(texts: DataFrame, model: Model) -> DataFrame:
+    """(lang, turn, sums, n): logits of all subwords of a text, and their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(model)
+        for batch in batches:
+            found = scorer.sums(batch.column(2))
+            sums = pa.array(found[:, :-2].tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), sums, pa.array(found[:, -2])], ["lang", "turn", "sums", "n"]
+            )
+
+    return texts.select("lang", "turn", "text").mapInArrow(run, "lang string, turn int, sums array<double>, n double")
 
 
 def windows_of(text):
@@ -248,6 +297,11 @@ class _Scorer:
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities, and whether the text has a letter."""
+        sums = self.sums(texts)
+        return self.model.probabilities(sums[:, :-2], sums[:, -2]), sums[:, -1] > 0.5
+
+    def sums(self, texts: pa.Array) -> np.ndarray:
+        """Summed logits, number of subwords and of chunks with a letter of each text."""
         raw, offsets = text_bytes(texts)
         n = len(offsets) - 1
         sums = np.zeros((n, len(self.model.languages) + 2))
@@ -266,7 +320,7 @@ class _Scorer:
             total = np.vstack([np.zeros((1, own.shape[1])), np.cumsum(own, axis=0)])
             first = np.searchsorted(at, bounds)
             sums[i:j] = total[first[1:]] - total[first[:-1]]
-        return self.model.probabilities(sums[:, :-2], sums[:, -2]), sums[:, -1] > 0.5
+        return sums
 
     def values(self, chunks: list[str]) -> np.ndarray:
         """Logits, subwords and letters (0 or 1) of chunks, which end at white space."""

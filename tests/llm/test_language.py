@@ -60,3 +60,39 @@ def test_sample_is_bounded(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"text {i} " * 400, "ab"[i % 2]) for i in range(300)], "doc_id long, text string, lang string")
     language.learn(df)
     assert 0 < len(seen) <= 10 and max(len(t) for t, _ in seen) <= language.WINDOWS * (language.TRAIN_CHARS + 1)
+
+
+def test_repeated_rows_are_sampled_once(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_SAMPLE", 50)
+    same = spark.range(20_000).selectExpr("7L AS doc_id", "'one text' AS text", "'a' AS lang")
+    one_id = spark.range(20_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "concat('text ', id) AS text", "'b' AS lang")
+    few = spark.range(30).selectExpr("id AS doc_id", "concat('rare ', id) AS text", "'c' AS lang")
+    found = language.sampled(same.unionByName(one_id).unionByName(few), "doc_id", "text", "lang").collect()
+    texts = {lang: [r.text for r in found if r.lang == lang] for lang in "abc"}
+    assert texts["a"] == ["one text"] and 30 < len(texts["b"]) <= 50 and len(texts["c"]) == 30
+    assert len(set(texts["b"])) == len(texts["b"])
+    assert sorted(r.turn for r in found if r.lang == "c") == list(range(1, 31))
+    monkeypatch.setattr(language, "MAX_ROWS", 30)
+    assert spark.createDataFrame(language.sampled(few.unionByName(same), "doc_id", "text", "lang").collect()).count() <= 30
+
+
+def test_pieces_cover_texts_evenly():
+    for n in (0, 1, 199, 200, 201, 399, 605, 800, 803, 5_000):
+        pieces = language.pieces_of("x" * n)
+        assert len(pieces) <= language.WINDOWS and max(map(len, pieces)) <= language.TRAIN_CHARS
+        assert n <= 200 or min(map(len, pieces)) >= 100
+        assert n > 800 or sum(map(len, pieces)) == n
+
+
+def test_calibrated_on_whole_texts(spark):
+    docs = [(i, ("aba bab " if i % 2 else "zyz yzz ") * 40 + ("zyz " if i % 2 else "aba ") * (i % 9) * 60, "xy"[i % 2 == 0]) for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = language.learn(df)
+    sample = sorted(language.sampled(df, "doc_id", "text", "lang").collect(), key=lambda r: (r.lang, r.turn))
+    held = [r for r in sample if r.turn % 5 == 0]
+    bags = language.bags([r.text for r in held])
+    sums = np.stack([model.logits[b].astype(float).sum(axis=0) for b in bags])
+    want = language.Model(model.languages, model.logits, model.bias, 1.0, 0.0)
+    y = np.array([model.languages.index(r.lang) for r in held])
+    language.calibrate(want, sums, np.array([len(b) for b in bags]), y)
+    assert model.temperature == want.temperature and abs(model.threshold - want.threshold) < 1e-6
