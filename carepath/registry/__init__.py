@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     coding,
     dashboards,
     lookups,
+    options,
     pathway,
     people,
     periods,
