@@ -191,3 +191,13 @@ def test_hot_keys_are_bounded(spark):
     assert df.where(~is_hot("k", [1])).count() == 6667
     found = hot_in_any({"a": df, "b": df}, {"a": "k", "b": "k"}, 10, least=1)
     assert sorted(found["k"], key=str) == [1, 2, None]
+
+
+def test_hot_keys_are_told_from_keys_counted_with_them(spark, monkeypatch):
+    from carepath.operators import hotkeys
+
+    df = spark.range(1000).select(F.when(F.col("id") < 600, 1).when(F.col("id") < 800, None).otherwise(F.col("id")).alias("k"))
+    for groups in (1, 7, 1 << 16):
+        monkeypatch.setattr(hotkeys, "GROUPS", groups)
+        assert sorted(hotkeys.hot_keys(df, "k", 10, least=150), key=str) == [1, None]
+        assert hotkeys.hot_keys(df, "k", 10, least=600) == []
