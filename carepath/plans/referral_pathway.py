@@ -204,6 +204,16 @@ def _with_organisations(codes: DataFrame, tables: Tables) -> DataFrame:
     )
 
 
+def _joined_where_it_lies(df: DataFrame, other: DataFrame, dealt: str, same: str) -> DataFrame:
+    """Left join by both columns of rows that lie by the first one.
+
+    The second is compared as a range: as a join key it would have Spark deal both sides anew.
+    """
+    right = other.withColumnsRenamed({dealt: "__dealt", same: "__same"})
+    matched = (F.col(dealt) == F.col("__dealt")) & F.col(same).between(F.col("__same"), F.col("__same"))
+    return df.join(right, matched, "left").drop("__dealt", "__same")
+
+
 #: Record tables and the column that each is bucketed by.
 BUCKETED_BY = {
     "referral": "RecordNumber",
@@ -236,7 +246,7 @@ def bucketed_base(
         return df
 
     inputs = {n: staged.bucketed(cold(n), [c], buckets, n.replace("_", "-")) for n, c in BUCKETED_BY.items()}
-    base = staged.part(lambda: referral_base({**tables, **inputs}, months, **options))
+    base = staged.part(lambda: referral_base({**tables, **inputs}, months, buckets=buckets, **options))
     if not any(hot.values()):
         return base
     busy = F.lit(False)
@@ -255,13 +265,22 @@ def referral_base(
     wildcards: bool = False,
     one_row_per_referral: bool = False,
     person_id_from: date = PERSON_ID_FROM,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per referral and reporting month, with waits and status flags.
 
     A record with care plans on both sides of the period end gives two rows, as
     does a referral with two team types; ``one_row_per_referral`` keeps the greater
     care-plan flag.
+
+    Rows move twice: to their record, which all that is known by record meets, and to their
+    referral, where contacts, diagnoses and the rows that are equal meet. ``buckets`` says
+    that the inputs lie in so many buckets by record and by referral (see BUCKETED_BY).
     """
+
+    def to(df: DataFrame, column: str) -> DataFrame:
+        return df.repartition(column) if buckets is None else df
+
     flags = (
         current(tables["submission_flags"], end=None, flag=("Der_IsLatest", "Y"))
         .where(F.col("ReportingPeriodStartDate").cast("date").between(*months))
@@ -269,7 +288,7 @@ def referral_base(
     )
     start, end = F.col("ReportingPeriodStartDate"), F.col("ReportingPeriodEndDate")
     teams = (
-        tables["service_type"]
+        to(tables["service_type"], "RecordNumber")
         .select(
             "UniqServReqID",
             "RecordNumber",
@@ -292,17 +311,18 @@ def referral_base(
     )
     recorded = tables["referral"].join(flags, "NHSEUniqSubmissionID", "inner")
     base = (
-        recorded.join(
-            tables["patient_index"].select("RecordNumber", "EthnicCategory", "Gender"), "RecordNumber"
-        )
+        to(recorded.withColumn("__person", era_key(start, person_id_from, "Der_Person_ID", "Person_ID")), "RecordNumber")
+        .join(tables["patient_index"].select("RecordNumber", "EthnicCategory", "Gender"), "RecordNumber")
         .join(_plan_span(tables["care_plan"]), "RecordNumber", "left")
-        .withColumn("__person", era_key(start, person_id_from, "Der_Person_ID", "Person_ID"))
-    )
-    base = (
-        base.join(teams, ["UniqServReqID", "RecordNumber"], "left")
-        .join(contacts, ["UniqServReqID", "__person"], "left")
-        .join(ranked, ["UniqServReqID", "__diag_person"], "left")
+        .transform(lambda df: _joined_where_it_lies(df, teams, "RecordNumber", "UniqServReqID"))
+        .withColumn(
+            "RefwithCarePlanCreated", F.explode(_plan_flags(is_open("ServDischDate", as_date(end)), as_date(end)))
+        )
+        .drop("RecordNumber", "NHSEUniqSubmissionID", "Person_ID", "__plan_first", "__plan_last", "__plan_undated")
     )
+    base = base.repartition("UniqServReqID") if buckets is None else base.repartition(buckets, "UniqServReqID")
+    base = _joined_where_it_lies(base, to(contacts, "UniqServReqID"), "UniqServReqID", "__person")
+    base = _joined_where_it_lies(base, to(ranked, "UniqServReqID"), "UniqServReqID", "__diag_person")
     base = described_once(
         base, ["ServTeamTypeRefToMH"], lambda codes: _with_team(codes, tables), tables["service_type"]
     ).withColumn("TeamType", F.coalesce("TeamType", F.lit(MISSING)))
@@ -327,7 +347,7 @@ def referral_base(
         wait_days(received, contact, end).alias("WaitRefContact"),
         in_period(contact, start, end).alias("FirstContactDateMonthFlag"),
         *[c.alias(n) for n, c in status.items()],
-        F.explode(_plan_flags(is_open("ServDischDate", as_date(end)), as_date(end))).alias("RefwithCarePlanCreated"),
+        "RefwithCarePlanCreated",
         "EarliestDiagDate", "EarliestConditionDiagnosisCode", "EarliestDiagnosisArea",
         wait_days(received, diagnosed, end).alias("WaitRefDiag"),
         in_period(diagnosed, start, end).alias("EarliestDiagDateMonthFlag"),
@@ -345,6 +365,11 @@ def referral_base(
     return base.distinct()
 
 
+def laid_out(base: DataFrame) -> DataFrame:
+    """The base for writing: rows of a group side by side, which makes what metrics move small."""
+    return base.sortWithinPartitions(*BASE_ORDER)
+
+
 def pathway_outputs(
     tables: Tables, months: Window, run: datetime, staged: StagedRun, key: Hashable = "referral-base", **options
 ) -> tuple[DataFrame, DataFrame]:
@@ -352,7 +377,7 @@ def pathway_outputs(
 
     Write both before the run is closed, which removes the base.
     """
-    base = staged.table(key, lambda: referral_base(tables, months, **options), "referral-base")
+    base = staged.table(key, lambda: laid_out(referral_base(tables, months, **options)), "referral-base")
     return wait_times(base, run), main_metrics(base, run)
 
 
@@ -388,6 +413,7 @@ def wait_times(
 METRIC_KEYS = [
     "Month", "TeamType", "PrimReason", "LatestConditionDiagnosisCode", "LatestDiagnosisArea", "ConditionDiagnosis",
 ]
+BASE_ORDER = [*METRIC_KEYS[:5], "OrgIDProv", "OrgIDComm"]
 PLACES = list(dict.fromkeys(c for g in GEOGRAPHIES for c in g.columns.values()))
 
 

@@ -9,12 +9,13 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, month_bounds, month_end, month_start
 from ..functions.labels import recode
 from ..plans.population import area_lookup, open_referral_rates, population_table
-from ..plans.referral_pathway import bucketed_base, main_metrics, pathway_outputs, referral_base, wait_times
+from ..plans.referral_pathway import bucketed_base, laid_out, main_metrics, pathway_outputs, referral_base, wait_times
 from ..sources.tables import literal_rows
 from .base import query, session_run, shared, shared_key, table
 from .domain import ORGS_SQL, activity_tables, hierarchy
@@ -33,36 +34,43 @@ def _record(order_key, month):
     return order_key * 1000 + (F.year(month) - 1990) * 12 + F.month(month)
 
 
-def pathway_tables(spark, folder) -> dict[str, DataFrame]:
+def pathway_tables(spark, folder, keep=None) -> dict[str, DataFrame]:
+    """The tables of the pathway. keep(name, df) may store what several tables come from."""
     lines = table(
         spark, folder, "lineitem",
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate",
     ).select("*", as_date("l_shipdate").alias("day"), month_start("l_shipdate").alias("Month"))
     people = table(spark, folder, "orders", "o_orderkey", "o_custkey")
+    orders = table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customers = table(spark, folder, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
     order, person = F.col("l_orderkey"), _text("p", F.col("o_custkey"))
-    left = lines.groupBy("l_orderkey").agg(
-        F.max(F.when(F.col("l_returnflag") == "N", F.col("day"))).alias("ServDischDate")
-    )
-    # Months of an order, joined with no more of the order than each table needs.
-    reported = lines.select("l_orderkey", "Month").distinct().withColumn(
-        "RecordNumber", _record(order, F.col("Month"))
-    )
-    records = reported.join(
-        table(spark, folder, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(left, F.col("o_orderkey") == order)
-        .drop("l_orderkey"),
-        order == F.col("o_orderkey"),
-    )
-    segments = reported.join(
-        people.join(customers, F.col("o_custkey") == F.col("c_custkey")),
-        order == F.col("o_orderkey"),
+    # Months of an order and its last day, while the lines of the order are together.
+    discharged = F.max(F.when(F.col("l_returnflag") == "N", F.col("day")))
+    reported = (
+        lines.select("l_orderkey", "Month", "l_returnflag", "day")
+        .repartition("l_orderkey")
+        .groupBy("l_orderkey", "Month")
+        .agg(discharged.alias("__last"))
+        .select(
+            "l_orderkey",
+            "Month",
+            F.max("__last").over(W.partitionBy("l_orderkey")).alias("ServDischDate"),
+            _record(order, F.col("Month")).alias("RecordNumber"),
+        )
     )
-    served = reported.where(order % 7 != 0).join(people, order == F.col("o_orderkey"))
-    seen = lines.join(people, order == F.col("o_orderkey")).withColumns(
-        {"UniqServReqID": _text("r", order), "Der_Person_ID": person}
+    # A customer's rows are numbered: what is not about customers takes a record once.
+    numbered = customers.withColumn(
+        "__nth", F.row_number().over(W.partitionBy("c_custkey").orderBy("c_nationkey", "c_mktsegment"))
     )
+    placed = orders.join(numbered, F.col("o_custkey") == F.col("c_custkey"), "left")
+    built = reported.join(placed, order == F.col("o_orderkey")).drop("l_orderkey")
+    if keep is not None:  # rows of a month side by side move in less space
+        built = keep("records", built.sortWithinPartitions("Month", "o_orderdate"))
+    records = built.where(F.col("c_custkey").isNotNull())
+    served = built.where((F.col("o_orderkey") % 7 != 0) & (F.coalesce("__nth", F.lit(1)) == 1))
+    seen = lines.drop("Month").join(people, order == F.col("o_orderkey")).drop("o_orderkey")
+    seen = seen if keep is None else keep("seen", seen)
+    seen = seen.withColumns({"UniqServReqID": _text("r", order), "Der_Person_ID": person})
     diagnosed = seen.where(F.col("l_returnflag") != "N").select(
         "Der_Person_ID",
         "UniqServReqID",
@@ -70,6 +78,7 @@ def pathway_tables(spark, folder) -> dict[str, DataFrame]:
         F.col("l_shipdate").alias("CodedDiagTimestamp"),
     )
     months = lines.select("Month").distinct()
+    months = months if keep is None else keep("reported-months", months)
     reports = months.select(
         F.concat(F.lit("s"), F.date_format("Month", "yyyyMM")).alias("NHSEUniqSubmissionID"),
         F.lit("Y").alias("Der_IsLatest"),
@@ -96,7 +105,7 @@ def pathway_tables(spark, folder) -> dict[str, DataFrame]:
             (F.col("o_custkey") % 60 + 40).cast("int").alias("AgeServReferRecDate"),
             F.substring("o_orderpriority", 1, 1).alias("PrimReasonReferralMH"),
         ),
-        "patient_index": segments.select(
+        "patient_index": records.select(
             "RecordNumber",
             F.substring("c_mktsegment", 1, 1).alias("EthnicCategory"),
             (key % 3).cast("string").alias("Gender"),
@@ -213,17 +222,17 @@ def months_of(spark, folder):
 
 
 def stored_tables(spark, folder) -> dict[str, DataFrame]:
-    """The tables of the pathway, referrals written once: they are read for their codes as well."""
-    tables = pathway_tables(spark, folder)
-    referral = shared(spark, folder, "referral", INPUTS, lambda: tables["referral"])
-    return {**tables, "referral": referral}
+    """The tables of the pathway; joins and months that they come from are written once."""
+    return pathway_tables(spark, folder, lambda name, df: shared(spark, folder, name, INPUTS, lambda: df))
 
 
 def base(spark, folder):
     """The referral base, built once for all queries that read it."""
     return shared(
         spark, folder, "referral-base", INPUTS,
-        lambda: referral_base(stored_tables(spark, folder), months_of(spark, folder), person_id_from=CUT),
+        lambda: laid_out(
+            referral_base(stored_tables(spark, folder), months_of(spark, folder), person_id_from=CUT)
+        ),
     )
 
 

@@ -363,3 +363,31 @@ def test_codes_are_described_once_per_combination(spark):
     assert seen == [6] and out.columns == ["id", "a", "b", "name"]
     assert {(r.a, r.b, r.name) for r in out.collect()} == {(a, b, a + ("-x" if b else "")) for a in "012" for b in ("x", None)}
     assert out.count() == 3000
+
+
+def test_rows_move_once_to_their_record_and_once_to_their_referral(spark):
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "true"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, value in names.items():
+        spark.conf.set(n, value)
+    try:
+        base = referral_base(tables(spark), Window(d(2021, 3, 1), d(2021, 6, 30)))
+        plan = base._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    moved = [x for x in plan if "Exchange hashpartitioning" in x]
+    # Neither by referral and person, nor by record and referral, nor by the whole row for distinct().
+    assert not [x for x in moved if "__person#" in x or "__diag_person#" in x or "RecordNumber#" in x and "UniqServReqID#" in x]
+    assert not [x for x in moved if "hashpartitioning(Month#" in x]
+
+
+def test_tables_of_records_come_from_one_stored_join(spark):
+    from carepath.registry import care as domain
+
+    stored = domain.stored_tables(spark, "/root/testdata/sf0.001")
+    plain = domain.pathway_tables(spark, "/root/testdata/sf0.001")
+    for name in ("referral", "patient_index", "service_type", "care_contact", "primary_diagnosis"):
+        plan = stored[name]._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+        assert stored[name].exceptAll(plain[name]).isEmpty() and plain[name].exceptAll(stored[name]).isEmpty()
