@@ -417,8 +417,18 @@ BASE_ORDER = [*METRIC_KEYS[:5], "OrgIDProv", "OrgIDComm"]
 PLACES = list(dict.fromkeys(c for g in GEOGRAPHIES for c in g.columns.values()))
 
 
+#: Levels that no other level can be summed from, with those that are.
+LEVELS = {PROVIDER: GEOGRAPHIES[:1], SUB_ICB: GEOGRAPHIES[1:]}
+PATIENT_GROUPS = [c.column for c in CATEGORIES if c.column]
+
+
 def metric_sums(base: DataFrame) -> DataFrame:
-    """Caseload by provider, Sub-ICB and patient group: the finest level of the metrics."""
+    """Caseload by provider and by Sub-ICB, per patient group: the finest levels of the metrics.
+
+    A row counts once at either level (column Level), never per pair of provider and Sub-ICB, as
+    pairs are nearly as many as rows. Rows move to their group before they are summed: what
+    is broken down by category afterwards are sums, whose number doesn't grow with the rows.
+    """
     banded = base.withColumns(
         {
             "AgeGroup": band_label("AgeServReferRecDate", AGE_BANDS, AGE_UNKNOWN),
@@ -427,16 +437,34 @@ def metric_sums(base: DataFrame) -> DataFrame:
             "ConditionDiagnosis": F.col("LatestConditionDiagnosisCode").isNotNull().cast("int"),
         }
     )
-    sums = {name: F.sum(status) for name, status in METRICS.items()}
-    return category_sums(banded, [*METRIC_KEYS, *PLACES], CATEGORIES, sums)
+    out = []
+    for level, geographies in LEVELS.items():
+        places = list(dict.fromkeys(c for g in geographies for c in g.columns.values()))
+        keys = [*METRIC_KEYS, *places]
+        moved = banded.select(*keys, *PATIENT_GROUPS, *METRICS.values()).repartition(*keys)
+        sums = moved.groupBy(*keys, *PATIENT_GROUPS).agg(*[F.sum(c).alias(n) for n, c in METRICS.items()])
+        by_group = category_sums(sums, keys, CATEGORIES, {n: F.sum(n) for n in METRICS})
+        out.append(
+            by_group.select(
+                *METRIC_KEYS,
+                F.lit(level).alias("Level"),
+                *[F.col(c) if c in places else F.lit(None).cast(base.schema[c].dataType).alias(c) for c in PLACES],
+                "Category", "Variable", *METRICS,
+            )
+        )
+    return out[0].unionByName(out[1])
 
 
 def metrics_from_sums(sums: DataFrame, run: datetime, submission: str = SUBMISSION) -> DataFrame:
     """The metrics of every organisation level, from sums built now or stored."""
     group = ["Category", "Variable"]
-    counts = geography_sums(sums, [*METRIC_KEYS, *group], GEOGRAPHIES, list(METRICS)).select(
-        *METRIC_KEYS, "Orgtype", "OrgCode", "OrgName", "Region", *group, *METRICS
-    )
+    levels = [
+        geography_sums(
+            sums.where(F.col("Level") == level), [*METRIC_KEYS, *group], geographies, list(METRICS)
+        ).select(*METRIC_KEYS, "Orgtype", "OrgCode", "OrgName", "Region", *group, *METRICS)
+        for level, geographies in LEVELS.items()
+    ]
+    counts = levels[0].unionByName(levels[1])
     renamed = counts.withColumnRenamed("LatestConditionDiagnosisCode", "Condition Diagnosis Code")
     return stamp(renamed.withColumn("DataSubmissionType", F.lit(submission)), run)
 

@@ -111,8 +111,8 @@ def admission_store(table: str) -> SumStore:
 
 
 def metric_store(table: str) -> SumStore:
-    """Sums of caseload at the finest level, described when their months were built."""
-    return SumStore(table, [*[k for k in METRIC_KEYS if k != "Month"], *PLACES, "Category", "Variable"], list(METRICS))
+    """Sums of caseload at the finest levels, described when their months were built."""
+    return SumStore(table, [*[k for k in METRIC_KEYS if k != "Month"], "Level", *PLACES, "Category", "Variable"], list(METRICS))
 
 
 def refresh_admissions_stored(

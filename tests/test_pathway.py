@@ -15,6 +15,7 @@ from carepath.plans.referral_pathway import (
     diagnosis_cohort,
     first_contacts,
     main_metrics,
+    metric_sums,
     pathway_outputs,
     ranked_diagnoses,
     referral_base,
@@ -391,3 +392,23 @@ def test_tables_of_records_come_from_one_stored_join(spark):
         plan = stored[name]._jdf.queryExecution().executedPlan().toString()
         assert "Join" not in plan and "Exchange" not in plan
         assert stored[name].exceptAll(plain[name]).isEmpty() and plain[name].exceptAll(stored[name]).isEmpty()
+
+
+def test_metric_sums_have_no_row_per_pair_of_organisations(spark):
+    places = {
+        "OrgIDProv": F.concat(F.lit("P"), F.col("id") % 10), "OrgIDComm": F.concat(F.lit("C"), (F.col("id") / 10).cast("int")),
+        "Provider_Name": F.lit("p"), "Prov_Region_Name": F.lit("r"), "Sub_ICB_Name": F.lit("s"), "ICB_Code": F.lit("i"),
+        "ICB_Name": F.lit("i"), "Comm_Region_Name": F.lit(None).cast("string"),
+    }
+    rest = {
+        "Month": F.lit(d(2021, 5, 1)), "TeamType": F.lit("t"), "PrimReason": F.lit("r"),
+        "LatestConditionDiagnosisCode": F.lit(None).cast("string"), "LatestDiagnosisArea": F.lit(None).cast("string"),
+        "AgeServReferRecDate": F.lit(70), "Gender": F.lit("1"), "EthnicCategory": F.lit("A"),
+        **{c: F.lit(1) for c in ("NewRef", "OpenRef", "DischRef", "Refwaiting1stcontact", "RefwithCarePlanCreated")},
+    }
+    base = spark.range(100).withColumns({**places, **rest})
+    assert metric_sums(base).count() == (10 + 10) * 4
+    metrics = main_metrics(base, RUN).where("Category = 'Total'").groupBy("Orgtype").agg(F.count("*").alias("n"), F.sum("OpenReferrals").alias("s"))
+    assert {r.Orgtype: (r.n, r.s) for r in metrics.collect()} == {
+        "Provider": (10, 100), "Sub-ICB": (10, 100), "ICB": (1, 100), "National": (1, 100)
+    }
