@@ -111,6 +111,22 @@ def described_once(
     return df.join(right, same, "left").drop(*tmp.values())
 
 
+def numbered(
+    df: DataFrame, columns: Sequence[str], number: str, source: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """df with a number in place of the columns, and a staged table of the numbers and what they stand for.
+
+    For columns that come in few combinations, NULLs included: rows that have to move then move
+    as numbers, and what is left of them afterwards meets the table again. ``source`` is a cheaper
+    frame that has all combinations, if there is one; otherwise df is read twice, so it should be stored.
+    """
+    found = (df if source is None else source).select(*columns).distinct()
+    combinations = stage(found.withColumn(number, F.monotonically_increasing_id()), "numbers")
+    tmp = {c: f"__numbered_{i}" for i, c in enumerate(columns)}
+    same = [F.col(c).eqNullSafe(F.col(t)) for c, t in tmp.items()]
+    return df.join(combinations.withColumnsRenamed(tmp), same).drop(*columns, *tmp.values()), combinations
+
+
 def resolve_code(
     df: DataFrame,
     code: str,

@@ -27,7 +27,7 @@ from ..functions.groups import (
 from ..functions.labels import group_codes, key, order_label
 from ..operators.events import earliest_latest, first_event, primary_secondary
 from ..operators.hotkeys import hot_in_any, is_hot
-from ..operators.refdata import current, decode, described_once, era_key
+from ..operators.refdata import current, decode, described_once, era_key, numbered
 from ..operators.rollup import ALL, Category, Geography, category_sums, geography_sums
 from ..sources.publish import stamp
 from ..sources.staging import StagedRun
@@ -214,6 +214,48 @@ def _joined_where_it_lies(df: DataFrame, other: DataFrame, dealt: str, same: str
     return df.join(right, matched, "left").drop("__dealt", "__same")
 
 
+def _folded(df: DataFrame, column: str, usual: str) -> DataFrame:
+    """The column as nothing where it is what the usual one is, which moves in less space."""
+    same = F.col(column).eqNullSafe(F.col(usual))
+    return df.withColumn(f"{column}_usual", same).withColumn(column, F.when(~F.col(f"{column}_usual"), F.col(column)))
+
+
+def _few_valued_first(df: DataFrame) -> DataFrame:
+    """df with what neighbouring rows share in front, and the rest together: it moves in less space."""
+    few = [c for c in FEW_VALUED if c in df.columns]
+    return df.select(*few, *[c for c in df.columns if c not in few])
+
+
+def _unfolded(df: DataFrame, column: str, usual: str) -> DataFrame:
+    whole = F.when(F.col(f"{column}_usual"), F.col(usual)).otherwise(F.col(column))
+    return df.withColumn(column, whole).drop(f"{column}_usual")
+
+
+#: Columns of few values; by those named here rows lie side by side before they move to their referral.
+MOVED_ORDER = [
+    "ReportingPeriodStartDate", "ServTeamTypeRefToMH", "PrimReasonReferralMH", "Gender", "EthnicCategory",
+    "OrgIDComm", "OrgIDProv",
+]
+FEW_VALUED = [
+    *MOVED_ORDER[:-2], "ReportingPeriodEndDate", "UniqMonthID", "__person_usual", "__person", "__diag_person_usual",
+    "__diag_person", "RefwithCarePlanCreated",
+]
+
+BASE_COLUMNS = [
+    "Month",
+    "FirstContactDate", "UniqServReqID", "Der_Person_ID",
+    "OrgIDComm", "Sub_ICB_Name", "ICB_Code", "ICB_Name", "Comm_Region_Name",
+    "Comm_Region_Code", "OrgIDProv", "Provider_Name", "Prov_Region_Name",
+    "ReferralRequestReceivedDate", "ServDischDate", "UniqMonthID", "EthnicCategory",
+    "Gender", "AgeServReferRecDate", "ReportingPeriodStartDate", "ReportingPeriodEndDate",
+    "ServTeamTypeRefToMH", "TeamType", "PrimReasonReferralMH", "PrimReason",
+    "WaitRefContact", "FirstContactDateMonthFlag", "NewRef", "DischRef", "OpenRef", "Refwaiting1stcontact",
+    "RefwithCarePlanCreated",
+    "EarliestDiagDate", "EarliestConditionDiagnosisCode", "EarliestDiagnosisArea",
+    "WaitRefDiag", "EarliestDiagDateMonthFlag",
+    "LatestConditionDiagnosisCode", "LatestDiagnosisArea", "RefToEarliestDiagOrder",
+]
+
 #: Record tables and the column that each is bucketed by.
 BUCKETED_BY = {
     "referral": "RecordNumber",
@@ -310,17 +352,24 @@ def referral_base(
         "LatestDiagnosisArea",
     )
     recorded = tables["referral"].join(flags, "NHSEUniqSubmissionID", "inner")
+    named = recorded.withColumn("__person", era_key(start, person_id_from, "Der_Person_ID", "Person_ID"))
+    named = _few_valued_first(_folded(named, "__person", "Der_Person_ID").drop("NHSEUniqSubmissionID", "Person_ID"))
     base = (
-        to(recorded.withColumn("__person", era_key(start, person_id_from, "Der_Person_ID", "Person_ID")), "RecordNumber")
-        .join(tables["patient_index"].select("RecordNumber", "EthnicCategory", "Gender"), "RecordNumber")
+        to(named, "RecordNumber")
+        .join(tables["patient_index"].select("EthnicCategory", "Gender", "RecordNumber"), "RecordNumber")
         .join(_plan_span(tables["care_plan"]), "RecordNumber", "left")
         .transform(lambda df: _joined_where_it_lies(df, teams, "RecordNumber", "UniqServReqID"))
+        .transform(lambda df: _folded(df, "__diag_person", "Der_Person_ID"))
+        .sortWithinPartitions(*MOVED_ORDER)
         .withColumn(
             "RefwithCarePlanCreated", F.explode(_plan_flags(is_open("ServDischDate", as_date(end)), as_date(end)))
         )
-        .drop("RecordNumber", "NHSEUniqSubmissionID", "Person_ID", "__plan_first", "__plan_last", "__plan_undated")
+        .drop("RecordNumber", "__plan_first", "__plan_last", "__plan_undated")
+        .transform(_few_valued_first)
     )
     base = base.repartition("UniqServReqID") if buckets is None else base.repartition(buckets, "UniqServReqID")
+    for person in ("__person", "__diag_person"):
+        base = _unfolded(base, person, "Der_Person_ID")
     base = _joined_where_it_lies(base, to(contacts, "UniqServReqID"), "UniqServReqID", "__person")
     base = _joined_where_it_lies(base, to(ranked, "UniqServReqID"), "UniqServReqID", "__diag_person")
     base = described_once(
@@ -333,36 +382,29 @@ def referral_base(
         lambda codes: _with_organisations(codes, tables),
         recorded.withColumnsRenamed(raw),
     )
+    # Rows are told apart by what is not derived from other columns.
+    columns, plan = BASE_COLUMNS, "RefwithCarePlanCreated"
+    base = base.select(*[c for c in columns if c in base.columns])
+    if one_row_per_referral:
+        columns = [*[c for c in columns if c != plan], plan]
+        base = base.groupBy(*[c for c in base.columns if c != plan]).agg(F.max(plan).alias(plan))
+    else:
+        base = base.distinct()
     received, contact = F.col("ReferralRequestReceivedDate"), F.col("FirstContactDate")
     diagnosed = F.col("EarliestDiagDate").cast("date")
-    status = caseload_flags(received, "ServDischDate", contact, start, end)
-    base = base.select(
-        month_start(start).alias("Month"),
-        "FirstContactDate", "UniqServReqID", "Der_Person_ID",
-        "OrgIDComm", "Sub_ICB_Name", "ICB_Code", "ICB_Name", "Comm_Region_Name",
-        "Comm_Region_Code", "OrgIDProv", "Provider_Name", "Prov_Region_Name",
-        "ReferralRequestReceivedDate", "ServDischDate", "UniqMonthID", "EthnicCategory",
-        "Gender", "AgeServReferRecDate", "ReportingPeriodStartDate", "ReportingPeriodEndDate",
-        "ServTeamTypeRefToMH", "TeamType", "PrimReasonReferralMH", "PrimReason",
-        wait_days(received, contact, end).alias("WaitRefContact"),
-        in_period(contact, start, end).alias("FirstContactDateMonthFlag"),
-        *[c.alias(n) for n, c in status.items()],
-        "RefwithCarePlanCreated",
-        "EarliestDiagDate", "EarliestConditionDiagnosisCode", "EarliestDiagnosisArea",
-        wait_days(received, diagnosed, end).alias("WaitRefDiag"),
-        in_period(diagnosed, start, end).alias("EarliestDiagDateMonthFlag"),
-        "LatestConditionDiagnosisCode", "LatestDiagnosisArea",
-        order_label(
+    derived = {
+        "Month": month_start(start),
+        "WaitRefContact": wait_days(received, contact, end),
+        "FirstContactDateMonthFlag": in_period(contact, start, end),
+        **caseload_flags(received, "ServDischDate", contact, start, end),
+        "WaitRefDiag": wait_days(received, diagnosed, end),
+        "EarliestDiagDateMonthFlag": in_period(diagnosed, start, end),
+        "RefToEarliestDiagOrder": order_label(
             diagnosed, received,
             "Diagnosis After Referral", "Diagnosis Before Referral", "No Diagnosis",
-        ).alias("RefToEarliestDiagOrder"),
-    )
-    if one_row_per_referral:
-        keys = [c for c in base.columns if c != "RefwithCarePlanCreated"]
-        return base.groupBy(*keys).agg(
-            F.max("RefwithCarePlanCreated").alias("RefwithCarePlanCreated")
-        )
-    return base.distinct()
+        ),
+    }
+    return base.withColumns(derived).select(*columns)
 
 
 def laid_out(base: DataFrame) -> DataFrame:
@@ -422,12 +464,14 @@ LEVELS = {PROVIDER: GEOGRAPHIES[:1], SUB_ICB: GEOGRAPHIES[1:]}
 PATIENT_GROUPS = [c.column for c in CATEGORIES if c.column]
 
 
-def metric_sums(base: DataFrame) -> DataFrame:
+def metric_sums(base: DataFrame, stored: bool = False) -> DataFrame:
     """Caseload by provider and by Sub-ICB, per patient group: the finest levels of the metrics.
 
     A row counts once at either level (column Level), never per pair of provider and Sub-ICB, as
     pairs are nearly as many as rows. Rows move to their group before they are summed: what
     is broken down by category afterwards are sums, whose number doesn't grow with the rows.
+    ``stored`` says that the base lies in files, so that it can be read again for numbers: rows
+    move as a month and three of these, without names and labels, and are counted, then summed.
     """
     banded = base.withColumns(
         {
@@ -437,13 +481,28 @@ def metric_sums(base: DataFrame) -> DataFrame:
             "ConditionDiagnosis": F.col("LatestConditionDiagnosisCode").isNotNull().cast("int"),
         }
     )
+    subject, patients = METRIC_KEYS[1:], [*PATIENT_GROUPS, *METRICS.values()]
+    rows = banded.select("Month", *subject, *PLACES, *patients)
+    if stored:
+        rows, subjects = numbered(rows, subject, "__subject", banded)
+        rows, kinds = numbered(rows, patients, "__kind", banded)
     out = []
     for level, geographies in LEVELS.items():
         places = list(dict.fromkeys(c for g in geographies for c in g.columns.values()))
-        keys = [*METRIC_KEYS, *places]
-        moved = banded.select(*keys, *PATIENT_GROUPS, *METRICS.values()).repartition(*keys)
-        sums = moved.groupBy(*keys, *PATIENT_GROUPS).agg(*[F.sum(c).alias(n) for n, c in METRICS.items()])
-        by_group = category_sums(sums, keys, CATEGORIES, {n: F.sum(n) for n in METRICS})
+        if stored:
+            placed, known = numbered(rows, places, "__place", banded)
+            keys = ["Month", "__subject", "__place"]
+            moved = placed.select(*keys, "__kind").repartition(*keys)
+            sums = moved.groupBy(*keys, "__kind").agg(F.count("*").alias("__rows")).join(kinds, "__kind")
+            measures = {n: F.sum(F.col("__rows") * F.col(c)) for n, c in METRICS.items()}
+        else:
+            keys = [*METRIC_KEYS, *places]
+            moved = rows.select(*keys, *patients).repartition(*keys)
+            sums = moved.groupBy(*keys, *PATIENT_GROUPS).agg(*[F.sum(c).alias(n) for n, c in METRICS.items()])
+            measures = {n: F.sum(n) for n in METRICS}
+        by_group = category_sums(sums, keys, CATEGORIES, measures)
+        if stored:
+            by_group = by_group.join(subjects, "__subject").join(known, "__place")
         out.append(
             by_group.select(
                 *METRIC_KEYS,
@@ -469,6 +528,6 @@ def metrics_from_sums(sums: DataFrame, run: datetime, submission: str = SUBMISSI
     return stamp(renamed.withColumn("DataSubmissionType", F.lit(submission)), run)
 
 
-def main_metrics(base: DataFrame, run: datetime, submission: str = SUBMISSION) -> DataFrame:
+def main_metrics(base: DataFrame, run: datetime, submission: str = SUBMISSION, stored: bool = False) -> DataFrame:
     """Caseload by organisation level and patient group, with and without a diagnosis."""
-    return metrics_from_sums(metric_sums(base), run, submission)
+    return metrics_from_sums(metric_sums(base, stored), run, submission)

@@ -39,45 +39,48 @@ def pathway_tables(spark, folder, keep=None) -> dict[str, DataFrame]:
     lines = table(
         spark, folder, "lineitem",
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate",
-    ).select("*", as_date("l_shipdate").alias("day"), month_start("l_shipdate").alias("Month"))
-    people = table(spark, folder, "orders", "o_orderkey", "o_custkey")
+    )
     orders = table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customers = table(spark, folder, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
     order, person = F.col("l_orderkey"), _text("p", F.col("o_custkey"))
-    # Months of an order and its last day, while the lines of the order are together.
-    discharged = F.max(F.when(F.col("l_returnflag") == "N", F.col("day")))
-    reported = (
-        lines.select("l_orderkey", "Month", "l_returnflag", "day")
+    day, month = as_date("l_shipdate"), month_start("l_shipdate")
+    # The last day of an order, and the lines that stand for a month of it, while its lines are together.
+    nth_of_month = F.row_number().over(W.partitionBy("l_orderkey", "Month").orderBy("l_linenumber"))
+    discharged = F.max(F.when(F.col("l_returnflag") == "N", day)).over(W.partitionBy("l_orderkey"))
+    dealt = (
+        lines.select("l_returnflag", "l_linestatus", "l_shipdate", "l_orderkey", "l_linenumber")
         .repartition("l_orderkey")
-        .groupBy("l_orderkey", "Month")
-        .agg(discharged.alias("__last"))
-        .select(
-            "l_orderkey",
-            "Month",
-            F.max("__last").over(W.partitionBy("l_orderkey")).alias("ServDischDate"),
-            _record(order, F.col("Month")).alias("RecordNumber"),
-        )
+        .withColumn("Month", month)
+        .withColumn("__reported", nth_of_month == 1)
+        .withColumn("ServDischDate", discharged)
     )
     # A customer's rows are numbered: what is not about customers takes a record once.
     numbered = customers.withColumn(
         "__nth", F.row_number().over(W.partitionBy("c_custkey").orderBy("c_nationkey", "c_mktsegment"))
     )
-    placed = orders.join(numbered, F.col("o_custkey") == F.col("c_custkey"), "left")
-    built = reported.join(placed, order == F.col("o_orderkey")).drop("l_orderkey")
-    if keep is not None:  # rows of a month side by side move in less space
-        built = keep("records", built.sortWithinPartitions("Month", "o_orderdate"))
-    records = built.where(F.col("c_custkey").isNotNull())
-    served = built.where((F.col("o_orderkey") % 7 != 0) & (F.coalesce("__nth", F.lit(1)) == 1))
-    seen = lines.drop("Month").join(people, order == F.col("o_orderkey")).drop("o_orderkey")
-    seen = seen if keep is None else keep("seen", seen)
-    seen = seen.withColumns({"UniqServReqID": _text("r", order), "Der_Person_ID": person})
+    placed = (
+        orders.join(numbered, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .withColumn("__known", F.col("c_custkey").isNotNull())
+        .drop("c_custkey")
+    )
+    built = dealt.join(placed, order == F.col("o_orderkey")).drop("l_orderkey")
+    once = F.coalesce("__nth", F.lit(1)) == 1
+    if keep is None:
+        seen = lines.join(orders.select("o_orderkey", "o_custkey"), order == F.col("o_orderkey"))
+    else:  # rows of a month side by side move in less space
+        built = keep("records", built.sortWithinPartitions("Month", "o_orderpriority", "c_nationkey", "c_mktsegment"))
+        seen = built.where(once)
+    seen = seen.withColumns({"UniqServReqID": _text("r", F.col("o_orderkey")), "Der_Person_ID": person})
+    recorded = built.where("__reported").withColumn("RecordNumber", _record(F.col("o_orderkey"), F.col("Month")))
+    records = recorded.where("__known")
+    served = recorded.where((F.col("o_orderkey") % 7 != 0) & once)
     diagnosed = seen.where(F.col("l_returnflag") != "N").select(
         "Der_Person_ID",
         "UniqServReqID",
         F.coalesce(recode("l_linenumber", LINE_CODES), F.lit("Z99")).alias("PrimDiag"),
         F.col("l_shipdate").alias("CodedDiagTimestamp"),
     )
-    months = lines.select("Month").distinct()
+    months = lines.select(month.alias("Month")).distinct()
     months = months if keep is None else keep("reported-months", months)
     reports = months.select(
         F.concat(F.lit("s"), F.date_format("Month", "yyyyMM")).alias("NHSEUniqSubmissionID"),
@@ -111,9 +114,9 @@ def pathway_tables(spark, folder, keep=None) -> dict[str, DataFrame]:
             (key % 3).cast("string").alias("Gender"),
         ),
         "care_plan": lines.where("l_returnflag = 'R'").select(
-            _record(order, F.col("Month")).alias("RecordNumber"),
+            _record(order, month).alias("RecordNumber"),
             F.when(
-                F.col("l_linenumber") != 5, F.date_add("day", (F.col("l_linenumber") % 3) * 20)
+                F.col("l_linenumber") != 5, F.date_add(day, (F.col("l_linenumber") % 3) * 20)
             ).alias("CarePlanCreatDate"),
         ),
         "service_type": served.select(
@@ -126,7 +129,7 @@ def pathway_tables(spark, folder, keep=None) -> dict[str, DataFrame]:
         "care_contact": seen.select(
             "UniqServReqID",
             "Der_Person_ID",
-            F.col("day").alias("CareContDate"),
+            day.alias("CareContDate"),
             recode("l_returnflag", {"A": "5", "R": "6"}, "7").alias("AttendOrDNACode"),
             F.when(F.col("l_linestatus") == "F", "01").otherwise("99").alias("ConsMechanismMH"),
         ),
@@ -317,7 +320,7 @@ FROM metrics GROUP BY 1, 2, 3, 4, 5, 6
 )
 def referral_metrics_dashboard(spark, folder):
     """The metrics table, summed up over months and organisations for comparison."""
-    metrics = main_metrics(base(spark, folder), RUN)
+    metrics = main_metrics(base(spark, folder), RUN, stored=True)
     keys = ["Orgtype", "Region", "Category", "Variable", "TeamType", "LatestDiagnosisArea"]
     per_org = metrics.groupBy(*keys, "OrgCode").agg(
         F.count("*").alias("n"),
@@ -346,7 +349,7 @@ FROM metrics
 )
 def referral_metrics_table(spark, folder):
     """The metrics table, row by row."""
-    return main_metrics(base(spark, folder), RUN)
+    return main_metrics(base(spark, folder), RUN, stored=True)
 
 
 ROW = {
@@ -520,5 +523,5 @@ LEFT JOIN (SELECT t, c, cat, var, CASE WHEN cat = 'Ethnicity' THEN ROUND(pop) EL
 """,
 )
 def open_referral_rate_dashboard(spark, folder):
-    metrics = main_metrics(base(spark, folder), RUN)
+    metrics = main_metrics(base(spark, folder), RUN, stored=True)
     return open_referral_rates(metrics, population_dashboard(spark, folder))

@@ -41,7 +41,7 @@ def metrics_from_states(spark, folder):
     records, (older, newer) = base(spark, folder), _cut(months_of(spark, folder))
 
     def part(months: Window) -> DataFrame:
-        return metric_sums(records.where(F.col("Month").between(*months)))
+        return metric_sums(records.where(F.col("Month").between(*months)), stored=True)
 
     stored = stage(part(older), "metric-states")
     return metrics_from_sums(stored.unionByName(part(newer)), RUN)

@@ -52,8 +52,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("errorifexists").parquet(path)
+def _written(df: DataFrame, path: str, **options: str) -> DataFrame:
+    df.write.mode("errorifexists").options(**options).parquet(path)
     remove_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -98,7 +98,7 @@ class StagedRun:
             path, parts = new_path(self.spark, name), []
             self.paths.append(path)
             with _noting(parts):
-                self.tables[key] = _written(build(), path)
+                self.tables[key] = _written(build(), path, compression="zstd")  # large ones: keys take half the space
             for part in parts:  # what was staged on the way has served its purpose
                 remove(self.spark, part)
             self.built += 1

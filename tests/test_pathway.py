@@ -412,3 +412,40 @@ def test_metric_sums_have_no_row_per_pair_of_organisations(spark):
     assert {r.Orgtype: (r.n, r.s) for r in metrics.collect()} == {
         "Provider": (10, 100), "Sub-ICB": (10, 100), "ICB": (1, 100), "National": (1, 100)
     }
+
+
+def test_stored_metrics_move_rows_as_numbers(spark, tmp_path):
+    care, months = tables(spark), Window(d(2021, 3, 1), d(2021, 6, 30))
+    referral_base(care, months).write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+    # One code with two names, rows that come again, an organisation and flags that are not known.
+    again = base.withColumn("Provider_Name", F.lit("Another name"))
+    unknown = base.withColumns({"OrgIDProv": F.lit(None).cast("string"), "OpenRef": F.lit(None).cast("int")})
+    base.unionByName(again).unionByName(base).unionByName(unknown).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    found = main_metrics(rows, RUN, stored=True)
+    want = main_metrics(rows, RUN)
+    assert found.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    plan = metric_sums(rows, stored=True)._jdf.queryExecution().executedPlan().toString().splitlines()
+    moved = [x for x in plan if "Exchange hashpartitioning" in x]
+    assert len([x for x in moved if "REPARTITION_BY_COL" in x and "__subject#" in x and "__place#" in x]) == 2
+    assert not [x for x in moved if "Name" in x or "TeamType" in x]
+
+
+def test_lines_of_an_order_move_once_and_are_stored_once(spark):
+    from carepath.registry import care as domain
+
+    stored = domain.stored_tables(spark, "/root/testdata/sf0.001")
+    files = {n: set(stored[n].inputFiles()) for n in ("referral", "patient_index", "service_type", "care_contact", "primary_diagnosis")}
+    assert all(f == files["referral"] for f in files.values())
+
+
+def test_ids_that_are_as_usual_do_not_move(spark):
+    from carepath.plans.referral_pathway import _folded, _unfolded
+
+    rows = [("a", "a"), ("b", "a"), (None, "a"), ("a", None), (None, None)]
+    df = literal_rows(spark, rows, "other string, usual string")
+    folded = _folded(df, "other", "usual")
+    assert [r.other for r in folded.collect()] == [None, "b", None, "a", None]
+    assert [tuple(r) for r in _unfolded(folded, "other", "usual").select("other", "usual").collect()] == rows
